@@ -395,13 +395,24 @@ def media_manifest(spark, d):
         exprs.base_name("src_path").alias("base_name"), exprs.dir_name("src_path").alias("dir_name"))
 
 
-@query("media_bytes", """SELECT page_id, CAST(strlen(html) + 1 AS BIGINT) AS length FROM pages""")
+_URL_LANG = r"^[a-z]+://[^/]+/([^/]+)/"
+
+
+@query("media_bytes", f"""
+SELECT regexp_extract(url, '{_URL_LANG}', 1) AS lang,
+       CAST(sum(strlen(html) - strlen(replace(html, chr(10), '')) + 1) AS BIGINT) AS n_lines,
+       CAST(sum(strlen(html) + 1) AS BIGINT) AS length
+FROM pages GROUP BY 1""")
 def media_bytes(spark, d):
+    """Pages land as one media object per language folder; the bytes are read back."""
     root = work_dir(spark, "media")
-    t(spark, d, "pages").select("page_id", "html").write.partitionBy("page_id").text(root)
+    pages = t(spark, d, "pages").select(F.regexp_extract("url", _URL_LANG, 1).alias("lang"), "html")
+    pages.repartition("lang").write.partitionBy("lang").text(root)
     files = media.read_media(spark, root, glob="*.txt")
-    return files.select(F.regexp_extract("path", r"page_id=(\d+)", 1).cast("bigint").alias("page_id"),
-                        F.octet_length("content").cast("bigint").alias("length"))
+    return files.select(
+        F.regexp_extract("path", r"lang=([^/]+)", 1).alias("lang"),
+        (F.size(F.split(F.decode("content", "UTF-8"), "\n")) - 1).cast("bigint").alias("n_lines"),
+        F.octet_length("content").cast("bigint").alias("length"))
 
 
 # J8 export -----------------------------------------------------------------------------------

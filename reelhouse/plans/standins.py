@@ -30,6 +30,19 @@ def _s(c: str) -> Column:
     return F.col(c).cast("string")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a source that arrives in fewer splits than cores.
+
+    The test tables are single-row-group files (one split each), which would
+    run the per-row document building in one task. A cluster-scale source
+    already has many splits and passes through untouched (no extra shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores * 2)
+    return df
+
+
 def _keep(*elements: Column) -> Column:
     """Array of the non-null elements (a null element = an absent entry)."""
     return F.filter(F.array(*elements), lambda x: x.isNotNull())
@@ -76,7 +89,7 @@ def video_payloads(orders: DataFrame) -> DataFrame:
         tracks.alias("caption_tracks"),
         captions.alias("captions"),
     )
-    return orders.select(F.to_json(doc).alias("value"))
+    return spread(orders).select(F.to_json(doc).alias("value"))
 
 
 def channel_payloads(customer: DataFrame) -> DataFrame:
@@ -110,7 +123,7 @@ def channel_payloads(customer: DataFrame) -> DataFrame:
             F.struct(F.struct(tabs.alias("tabs")).alias("twoColumnBrowseResultsRenderer")).alias("contents"),
         ).alias("initial_data"),
     )
-    return customer.select(F.to_json(doc).alias("value"))
+    return spread(customer).select(F.to_json(doc).alias("value"))
 
 
 def video_docs(orders: DataFrame) -> DataFrame:
@@ -130,4 +143,4 @@ def page_image_docs(pages: DataFrame) -> DataFrame:
         _s("page_id").alias("videoId"),
         F.struct(images.alias("thumbnails")).alias("thumbnail"),
     ).alias("videoDetails")).alias("vid_info"))
-    return raw.parse_videos(pages.select(F.to_json(doc).alias("value")))
+    return raw.parse_videos(spread(pages).select(F.to_json(doc).alias("value")))
