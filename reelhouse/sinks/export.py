@@ -72,6 +72,15 @@ def part_file_name(stem: str, part: int, n_parts: int) -> str:
     return f"{stem}.csv" if n_parts <= 1 else f"{stem}-part{part}.csv"
 
 
+def part_size(rows_per_part: int, batch_rows: int | None = None) -> int:
+    """Rows per part; with ``batch_rows`` rounded up to whole fetch batches."""
+    if rows_per_part <= 0:
+        raise ValueError("rows_per_part must be positive")
+    if batch_rows:
+        return batch_rows * -(-rows_per_part // batch_rows)
+    return rows_per_part
+
+
 def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None = None,
                 num_partitions: int | None = None, batch_rows: int | None = None) -> tuple[DataFrame, int]:
     """Adds ``_rn`` (1-based global row number) and ``part``; returns (df, total rows).
@@ -79,10 +88,7 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
     ``batch_rows`` reproduces the original fetch-batch rounding: a part
     then holds ``batch_rows * ceil(rows_per_part / batch_rows)`` rows.
     """
-    if rows_per_part <= 0:
-        raise ValueError("rows_per_part must be positive")
-    if batch_rows:
-        rows_per_part = batch_rows * -(-rows_per_part // batch_rows)
+    rows_per_part = part_size(rows_per_part, batch_rows)
     spark = df.sparkSession
     checkpoint_root(spark)
     staged = df
@@ -91,7 +97,8 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
         staged = staged.repartitionByRange(n, *[F.col(c) for c in order_by]).sortWithinPartitions(*order_by)
     staged = staged.checkpoint(eager=True)
     pid = F.spark_partition_id()
-    counts = staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n"))
+    # One row per partition: cached so the total and the offsets share one pass.
+    counts = staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).cache()
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_offset"))
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
@@ -126,14 +133,17 @@ def export_csv(df: DataFrame, out_dir: str, file_name: str, rows_per_part: int =
     cols = data.columns
     stem = file_name[:-4] if file_name.endswith(".csv") else file_name
     staging = f"{out_dir.rstrip('/')}/_staging_{stem}"
-    if not split:
-        rows_per_part = 1 << 62
-    numbered, total = number_rows(data, rows_per_part, order_by, num_partitions, batch_rows)
+    rows_per_part = part_size(rows_per_part, batch_rows) if split else 1 << 62
+    numbered, total = number_rows(data, rows_per_part, order_by, num_partitions)
     n_parts = max(1, -(-total // rows_per_part))
     if total == 0:
         data.limit(0).coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{staging}/part=1")
     else:
-        (numbered.repartition(n_parts, "part").sortWithinPartitions("part", "_rn")
+        # Each part in exactly one task; many parts may share a task, so the task
+        # count stays bounded however many parts a large export has.
+        tasks = min(n_parts, max(spark.sparkContext.defaultParallelism,
+                                 int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+        (numbered.repartition(tasks, "part").sortWithinPartitions("part", "_rn")
          .select("part", *[F.col(f"`{c}`") for c in cols])
          .write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("part").csv(staging))
     fs, _, jvm = _fs(spark, staging)
