@@ -72,7 +72,8 @@ def watch_url(video_id: Column | str) -> Column:
 
 
 # FN-10: JSON encode keeping nulls -------------------------------------------------
-JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
+# Nulls kept and non-ASCII written as \u escapes, as a default JSON encoder does.
+JSON_KEEP_NULLS = {"ignoreNullFields": "false", "writeNonAsciiCharacterAsCodePoint": "true"}
 
 
 def to_json_keep_nulls(c: Column) -> Column:

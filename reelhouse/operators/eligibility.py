@@ -80,9 +80,10 @@ def not_stored(candidates: DataFrame, names: DataFrame, key: str = "video_id", n
         method = "ngram"
     if method != "ngram":
         raise ValueError(f"unknown method {method!r}")
-    lengths = _key_lengths(candidates, key)
-    grams = name_substrings(names, name_col, lengths)
-    return candidates.join(grams, candidates[key] == grams["gram"], "left_anti")
+    # Match distinct keys first (a key repeated by a third of all candidates is
+    # one row here), then drop the hits from the candidates.
+    hits = stored_keys(candidates, names, key, name_col)
+    return candidates.join(hits, key, "left_anti")
 
 
 def in_scope(listing: DataFrame, name_col: str = "path", scope: str | None = "Video/") -> DataFrame:

@@ -195,6 +195,38 @@ def category_flatten(spark, d):
     return reference.categories(responses)
 
 
+@query("metadata_end_to_end", f"""
+WITH f AS (
+  SELECT coalesce(o.o_orderstatus <> 'P', false) AND o.o_orderdate IS NOT NULL AS v_ok,
+         coalesce(c.c_mktsegment <> 'HOUSEHOLD', false) AS ch_ok,
+         coalesce(o.o_orderpriority <> '5-LOW', false) AS cap_ok,
+         coalesce(o.o_orderpriority <> '4-NOT SPECIFIED', false) AS th_ok
+  FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
+n AS (
+  SELECT count(*) FILTER (WHERE v_ok) AS v, count(*) FILTER (WHERE v_ok AND ch_ok) AS ch,
+         2 * count(*) FILTER (WHERE v_ok AND ch_ok AND cap_ok) AS cap,
+         2 * count(*) FILTER (WHERE v_ok AND ch_ok AND cap_ok AND th_ok) AS th FROM f)
+SELECT 'video' AS entity, CAST(v AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_failed_files FROM n
+UNION ALL SELECT 'channel', CAST(ch AS BIGINT), 0 FROM n
+UNION ALL SELECT 'caption', CAST(cap AS BIGINT), 0 FROM n
+UNION ALL SELECT 'thumbnail', CAST(th AS BIGINT), 0 FROM n""")
+def metadata_end_to_end(spark, d):
+    """J1 -> J2 -> J3: extract, land one day, strict-load into the four tables."""
+    from .jobs import WIRE_SCHEMA, ingest_metadata, load_warehouse
+    root = work_dir(spark, "e2e")
+    ingest_metadata(spark, standins.video_docs(t(spark, d, "orders")), standins.channel_docs(t(spark, d, "customer")),
+                    root + "/landing", day="2024-1-1", run_ts=RUN_TS)
+    report = load_warehouse(spark, root + "/landing", root + "/warehouse", day="2024-1-1")
+    failed = report.groupBy("entity").agg(F.count_if(F.col("status") == "failed").cast("bigint").alias("n_failed_files"))
+    counts = None
+    for name in WIRE_SCHEMA:
+        c = spark.read.parquet(f"{root}/warehouse/{name}").agg(F.count(F.lit(1)).alias("n_rows")) \
+            .withColumn("entity", F.lit(name))
+        counts = c if counts is None else counts.unionByName(c)
+    return counts.join(failed, "entity", "left").select(
+        "entity", "n_rows", F.coalesce("n_failed_files", F.lit(0)).cast("bigint").alias("n_failed_files"))
+
+
 # J2 landing / J3 load / J4 incremental ---------------------------------------------------
 _EVENT_DAY = _ymd("ts", "-")
 

@@ -20,6 +20,7 @@ DAY_COL = "ingest_date"
 # Full microsecond precision on the wire (the JSON default keeps milliseconds).
 JSON_WRITE_OPTIONS = {
     "ignoreNullFields": "false",
+    "writeNonAsciiCharacterAsCodePoint": "true",
     "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
     "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }

@@ -33,8 +33,12 @@ def media_dest(path: Column, source: str | Column, run_ts=None) -> Column:
 
 
 def manifest(files: DataFrame, source: str | Column, run_ts=None, path_col: str = "path",
-             length_col: str | None = "length", identity: bool = False) -> DataFrame:
-    """Manifest rows; ``identity=True`` keeps the name as is (plain upload, SNK-10)."""
+             length_col: str | None = "length", identity: bool = False,
+             keep: list[str] | None = None) -> DataFrame:
+    """Manifest rows; ``identity=True`` keeps the name as is (plain upload, SNK-10).
+
+    ``keep`` carries extra input columns (e.g. ``content``) along the projection.
+    """
     path = F.col(path_col)
     dest = path if identity else media_dest(path, source, run_ts)
     length = F.col(length_col).cast("bigint") if length_col else F.lit(None).cast("bigint")
@@ -43,6 +47,7 @@ def manifest(files: DataFrame, source: str | Column, run_ts=None, path_col: str
         dest.alias("dest_path"),
         lookup(CONTENT_TYPE, extension(path), DEFAULT_CONTENT_TYPE).alias("content_type"),
         length.alias("length"),
+        *[F.col(c) for c in (keep or [])],
     )
 
 
@@ -62,28 +67,39 @@ def read_media(spark: SparkSession, root: str, glob: str | None = None) -> DataF
     return r.load(root).select("path", "length", "content")
 
 
-def _local(p: str) -> str:
-    return p[len("file:"):] if p.startswith("file:") else p
-
-
 def copy_media(spark: SparkSession, src_root: str, dest_root: str, source: str, run_ts=None,
                glob: str | None = None) -> DataFrame:
     """Copy every media file to its manifest destination; returns the manifest.
 
-    Bytes move executor-side (``foreachPartition``), one file at a time per
-    task. Destinations are written through the local/NFS file API; object
-    stores go through their Hadoop connector in production deployments.
+    One scan of the media files: the destination is a projection of the same
+    rows that carry the bytes (no join, no shuffle of content). Bytes are
+    written executor-side (``foreachPartition``) through ``pyarrow.fs``, which
+    resolves local, HDFS and object-store URIs; one file per row, so a task
+    holds one object at a time.
     """
     media = read_media(spark, src_root, glob)
-    plan = manifest(media, source, run_ts).join(media.select(F.col("path").alias("src_path"), "content"), "src_path")
-    root = _local(dest_root.rstrip("/"))
+    plan = manifest(media, source, run_ts, keep=["content"])
+    write_objects(plan, dest_root)
+    return plan.drop("content")
+
+
+def write_objects(plan: DataFrame, dest_root: str) -> None:
+    """Write each row's ``content`` to ``<dest_root>/<dest_path>`` from the executors."""
+    root = dest_root.rstrip("/")
 
     def write_partition(rows):
+        from pyarrow import fs as pafs
+
         for r in rows:
-            target = os.path.join(root, r.dest_path)
-            os.makedirs(os.path.dirname(target), exist_ok=True)
-            with open(target, "wb") as fh:
-                fh.write(bytes(r.content))
+            target = f"{root}/{r.dest_path}"
+            fs, path = pafs.FileSystem.from_uri(target if "://" in target else "file://" + _abs(target))
+            fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+            with fs.open_output_stream(path) as out:
+                out.write(bytes(r.content))
 
     plan.select("dest_path", "content").foreachPartition(write_partition)
-    return plan.drop("content")
+
+
+def _abs(p: str) -> str:
+    p = p[len("file:"):] if p.startswith("file:") else p
+    return os.path.abspath(p)
