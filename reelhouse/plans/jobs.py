@@ -87,7 +87,7 @@ def ingest_media(spark: SparkSession, videos: DataFrame, bucket_root: str, media
     ok = eligibility.eligible(videos, names).select("video_id")
     files = media.read_media(spark, media_root, glob="*.mp4")
     chosen = files.join(ok, F.regexp_extract(files["path"], r"([^/]*)\.mp4$", 1) == ok["video_id"], "left_semi")
-    plan = media.manifest(chosen, source, run_ts, keep=["content"])
+    plan = media.manifest(chosen, source, media._ts(run_ts), keep=["content"])
     media.write_objects(plan, dest_root)
     return plan.drop("content")
 

@@ -11,7 +11,9 @@ the stage cascade come from data attributes, never from id subsets:
 * ``o_orderpriority = '5-LOW'``    -> second caption track has no content
 * ``o_orderpriority = '4-NOT SPECIFIED'`` -> second image has no height
 
-Every builder is a narrow projection: no collect, no grouping.
+Every builder is a narrow projection (no collect, no grouping); the documents
+are written as NDJSON files and read back with the real reader, as J1 reads
+landed raw documents.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lookups import SEARCH_TERM
+from ..session import work_dir
 from ..sources import raw
 
 CHANNEL_URL_PREFIX = "https://www.youtube.com/channel/C"
@@ -126,12 +129,20 @@ def channel_payloads(customer: DataFrame) -> DataFrame:
     return spread(customer).select(F.to_json(doc).alias("value"))
 
 
+def land_documents(payloads: DataFrame, name: str) -> str:
+    """Write JSON document lines as raw NDJSON files (the at-rest form J1 reads)."""
+    path = work_dir(payloads.sparkSession, f"raw-{name}")
+    payloads.write.mode("overwrite").text(path)
+    return path
+
+
 def video_docs(orders: DataFrame) -> DataFrame:
-    return raw.parse_videos(video_payloads(orders))
+    """Video documents landed as NDJSON and read back with the declared schema (SRC-2)."""
+    return raw.read_raw_videos(orders.sparkSession, land_documents(video_payloads(orders), "videos"))
 
 
 def channel_docs(customer: DataFrame) -> DataFrame:
-    return raw.parse_channels(channel_payloads(customer))
+    return raw.read_raw_channels(customer.sparkSession, land_documents(channel_payloads(customer), "channels"))
 
 
 def page_image_docs(pages: DataFrame) -> DataFrame:
@@ -143,4 +154,5 @@ def page_image_docs(pages: DataFrame) -> DataFrame:
         _s("page_id").alias("videoId"),
         F.struct(images.alias("thumbnails")).alias("thumbnail"),
     ).alias("videoDetails")).alias("vid_info"))
-    return raw.parse_videos(spread(pages).select(F.to_json(doc).alias("value")))
+    path = land_documents(spread(pages).select(F.to_json(doc).alias("value")), "pages")
+    return raw.read_raw_videos(pages.sparkSession, path)

@@ -10,6 +10,7 @@ task per input split; nothing passes through the driver.
 from __future__ import annotations
 
 import os
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,10 @@ from ..functions.lookups import CONTENT_TYPE, DEFAULT_CONTENT_TYPE, lookup
 
 
 def _ts(run_ts) -> Column:
+    """The ingest time as a literal: every evaluation of a plan (the copy, a
+    later read of the returned manifest) must name the same destination."""
     if run_ts is None:
-        return F.current_timestamp()
+        run_ts = datetime.now(timezone.utc)
     return F.lit(run_ts) if not isinstance(run_ts, Column) else run_ts
 
 
@@ -78,7 +81,7 @@ def copy_media(spark: SparkSession, src_root: str, dest_root: str, source: str,
     holds one object at a time.
     """
     media = read_media(spark, src_root, glob)
-    plan = manifest(media, source, run_ts, keep=["content"])
+    plan = manifest(media, source, _ts(run_ts), keep=["content"])
     write_objects(plan, dest_root)
     return plan.drop("content")
 
@@ -86,13 +89,15 @@ def copy_media(spark: SparkSession, src_root: str, dest_root: str, source: str,
 def write_objects(plan: DataFrame, dest_root: str) -> None:
     """Write each row's ``content`` to ``<dest_root>/<dest_path>`` from the executors."""
     root = dest_root.rstrip("/")
+    root_uri = root if "://" in root else "file://" + _abs(root)
 
     def write_partition(rows):
+        # Self-contained: executors need only pyarrow, not this package.
         from pyarrow import fs as pafs
 
+        fs, base = pafs.FileSystem.from_uri(root_uri)   # once per task
         for r in rows:
-            target = f"{root}/{r.dest_path}"
-            fs, path = pafs.FileSystem.from_uri(target if "://" in target else "file://" + _abs(target))
+            path = f"{base.rstrip('/')}/{r.dest_path}"
             fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
             with fs.open_output_stream(path) as out:
                 out.write(bytes(r.content))
