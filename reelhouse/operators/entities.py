@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import epoch_seconds, json_variant, nth, slash_date
 from ..sources.raw import strict_video_id
+from .skew import hot_keys, salted_join
 
 _HEADER = "initial_data.header.c4TabbedHeaderRenderer"
 _META = "initial_data.metadata.channelMetadataRenderer"
@@ -94,12 +95,23 @@ def lookup_descriptions(items: DataFrame, channel_key: str = "channel_url",
     )
 
 
-def join_documents(videos: DataFrame, channels: DataFrame) -> DataFrame:
-    """Videos with their channel row, description and the H1 stage flags."""
+def join_documents(videos: DataFrame, channels: DataFrame, hot_share: float | None = None,
+                   hot_buckets: int = 16) -> DataFrame:
+    """Videos with their channel row, description and the H1 stage flags.
+
+    ``hot_share`` splits channels holding at least that share of all videos
+    over ``hot_buckets`` tasks (deterministic salt on the video id); without
+    it the join is left to size-checked broadcast / AQE skew handling.
+    """
     v = videos.withColumn("video_id", strict_video_id(F.col("vid_info.videoDetails.videoId")))
     facts = channel_facts(channels)
     desc = lookup_descriptions(grid_items(channels)).withColumnRenamed("item_video_id", "video_id")
-    j = v.join(facts, "channel_url", "inner").join(desc, ["channel_url", "video_id"], "left")
+    if hot_share:
+        hot = hot_keys(v.select("channel_url"), "channel_url", hot_share)
+        j = salted_join(v, facts, "channel_url", hot, hot_buckets, "inner", salt_cols=["video_id"])
+    else:
+        j = v.join(facts, "channel_url", "inner")
+    j = j.join(desc, ["channel_url", "video_id"], "left")
 
     tracks = F.coalesce(F.col("caption_tracks"), F.array())
     thumbs = F.col("vid_info.videoDetails.thumbnail.thumbnails")
@@ -197,14 +209,14 @@ class Entities:
 
 
 def extract_entities(videos: DataFrame, channels: DataFrame, run_ts: float | None = None,
-                     persist: bool = False) -> Entities:
+                     persist: bool = False, hot_share: float | None = None, hot_buckets: int = 16) -> Entities:
     """PRJ-7: parse once, feed four entity projections.
 
     With ``persist=True`` the joined rows are kept (memory, spilling to
     disk) so four writes share one scan + join; lost blocks are recomputed
     from the deterministic lineage.
     """
-    j = join_documents(videos, channels)
+    j = join_documents(videos, channels, hot_share, hot_buckets)
     if persist:
         j = j.persist(StorageLevel.MEMORY_AND_DISK)
     return Entities(

@@ -155,3 +155,19 @@ def test_plan_has_no_python_udf(spark):
     for df in ent.tables().values():
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_hot_channel_salting_gives_same_rows(spark):
+    from reelhouse.operators import skew
+    videos = [video(f"h{i}") for i in range(40)] + [video("c1", channel="cold")]
+    chans = [channel("ch1", items=[item("h3", "d3")]), channel("cold")]
+    v = raw.parse_videos(json_rows(spark, videos))
+    c = raw.parse_channels(json_rows(spark, chans))
+    plain = entities.extract_entities(v, c, run_ts=1.0)
+    salted = entities.extract_entities(v, c, run_ts=1.0, hot_share=0.3, hot_buckets=4)
+    for name in ("video", "channel", "caption", "thumbnail"):
+        a = sorted(map(tuple, plain.tables()[name].drop("Contents").collect()))
+        b = sorted(map(tuple, salted.tables()[name].drop("Contents").collect()))
+        assert a == b, name
+    hot = [r.channel_url for r in skew.hot_keys(v, "channel_url", 0.3).collect()]
+    assert hot == ["url/ch1"]
