@@ -20,6 +20,7 @@ report.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,10 +57,10 @@ def _field_bad(v: Column, f: T.StructField) -> Column:
 
 def line_checks(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Adds ``v`` (VARIANT of the line) and ``is_bad`` to a ``value`` text column."""
-    v = F.try_parse_json(F.col("value"))
     expected = F.array(*[F.lit(f.name) for f in schema.fields])
-    keys = F.json_object_keys(F.col("value"))
-    parsed = lines.withColumn("v", v)
+    parsed = lines.withColumn("v", F.try_parse_json(F.col("value")))
+    # Keys from the parsed value (no second parse of the text); null unless an object.
+    keys = F.map_keys(F.try_variant_get(F.col("v"), "$", "map<string,variant>"))
     bad = F.col("v").isNull() | keys.isNull() | (F.size(F.array_except(keys, expected)) > 0)
     for f in schema.fields:
         bad = bad | _field_bad(F.col("v"), f)
@@ -101,15 +102,25 @@ def strict_load(spark: SparkSession, path: str, schema: T.StructType, table_path
     there (SNK-2; a re-run appends again, as the append-only log does).
     """
     lines = read_lines(spark, path, day)
-    checked = line_checks(lines, schema)
-    report = load_report(checked)
-    if fail_fast:
-        failed = report.where("status = 'failed'").select("file_name").limit(1).collect()
-        if failed:
-            raise LoadError(f"strict load failed on {failed[0].file_name}")
-    rows = strict_rows(checked, report, schema)
+    checked = line_checks(lines, schema).select("file_path", "file_name", "v", "is_bad")
     if table_path:
-        append(rows, table_path)
+        # The report and the appended rows come from one read of the files;
+        # a lost block is re-derived from the same files (deterministic).
+        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        report = load_report(checked)
+        if fail_fast:
+            failed = report.where("status = 'failed'").select("file_name").limit(1).collect()
+            if failed:
+                raise LoadError(f"strict load failed on {failed[0].file_name}")
+        rows = strict_rows(checked, report, schema)
+        if table_path:
+            report = report.persist()
+            append(rows, table_path)
+            report.count()
+    finally:
+        if table_path:
+            checked.unpersist()
     return rows, report
 
 
