@@ -39,6 +39,11 @@ def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
     spark = local_session()
+    if os.environ.get("CHECK_TZ"):   # results must not depend on the session time zone
+        spark.conf.set("spark.sql.session.timeZone", os.environ["CHECK_TZ"])
+    for kv in filter(None, os.environ.get("CHECK_CONF", "").split(",")):   # e.g. spark.sql.ansi.enabled=false
+        k, v = kv.split("=", 1)
+        spark.conf.set(k, v)
     con = duckdb.connect()
     for tname in TABLES:
         con.execute(f"CREATE VIEW {tname} AS SELECT * FROM read_parquet('{sf}/{tname}.parquet')")
