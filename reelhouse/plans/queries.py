@@ -80,6 +80,19 @@ def video_rows(spark, d):
     return _entities(spark, d).video
 
 
+@query("video_rows_salted", f"""
+SELECT CAST(o.o_orderkey AS VARCHAR) AS VideoID, 'C' || CAST(o.o_custkey AS VARCHAR) AS ChannelID,
+       o.o_custkey AS Length, {_ymd('o.o_orderdate', '/')} AS Publish_date, o.o_orderpriority AS Title,
+       o.o_orderkey AS Views, CAST(NULL AS VARCHAR) AS Description, {RUN_TS_SQL} AS Timestamp
+{_VIDEO_JOIN}""")
+def video_rows_salted(spark, d):
+    """J1 with hot channels (>= 0.1% of all videos) split over 8 salted tasks."""
+    ent = entities.extract_entities(standins.video_docs(t(spark, d, "orders")),
+                                    standins.channel_docs(t(spark, d, "customer")), run_ts=RUN_TS,
+                                    hot_share=0.001, hot_buckets=8)
+    return ent.video
+
+
 @query("channel_rows_per_video", f"""
 SELECT 'C' || CAST(c.c_custkey AS VARCHAR) AS ChannelID,
        'https://www.youtube.com/channel/C' || CAST(c.c_custkey AS VARCHAR) AS URL, c.c_name AS Name,
@@ -294,22 +307,39 @@ _DOC_SCHEMA = T.StructType([
 ])
 
 
-@query("strict_load_report", """
-SELECT source, count(*) AS n_rows, count(*) FILTER (WHERE lang = 'de') AS n_bad,
-       CASE WHEN count(*) FILTER (WHERE lang = 'de') = 0 THEN 'loaded' ELSE 'failed' END AS status
-FROM documents GROUP BY source""")
-def strict_load_report(spark, d):
+def _land_documents_with_faults(spark, d) -> str:
+    """Documents as NDJSON, one file per (source, language); 'de' lines carry an
+    unexpected field, so exactly the 'de' files must fail the strict load."""
     base = work_dir(spark, "strict")
     docs = t(spark, d, "documents")
-    # 'de' lines carry a field that is not in the schema: their files must fail.
     lines = docs.select("doc_id", "text", "lang", "n_chars",
-                        F.when(F.col("lang") == "de", F.lit("x")).alias("unexpected"), "source")
-    lines.repartition("source").write.mode("overwrite").partitionBy("source").json(base)
+                        F.when(F.col("lang") == "de", F.lit("x")).alias("unexpected"),
+                        "source", F.col("lang").alias("lang_dir"))
+    lines.repartition("source", "lang_dir").write.mode("overwrite").partitionBy("source", "lang_dir").json(base)
+    return base
+
+
+@query("strict_load_report", """
+SELECT source, lang, count(*) AS n_rows, count(*) FILTER (WHERE lang = 'de') AS n_bad,
+       CASE WHEN count(*) FILTER (WHERE lang = 'de') = 0 THEN 'loaded' ELSE 'failed' END AS status
+FROM documents GROUP BY source, lang""")
+def strict_load_report(spark, d):
+    base = _land_documents_with_faults(spark, d)
     _, report = warehouse.strict_load(spark, base, _DOC_SCHEMA)
     return report.select(F.regexp_extract("file_path", r"source=([^/]+)", 1).alias("source"),
+                         F.regexp_extract("file_path", r"lang_dir=([^/]+)", 1).alias("lang"),
                          "n_rows", "n_bad", "status")
 
 
+@query("strict_load_rows", """
+SELECT doc_id, text, lang, n_chars FROM documents WHERE lang <> 'de'""")
+def strict_load_rows(spark, d):
+    base = _land_documents_with_faults(spark, d)
+    table = work_dir(spark, "strict-table")
+    warehouse.strict_load(spark, base, _DOC_SCHEMA, table_path=table)
+    return spark.read.parquet(table)
+
+
 @query("incremental_load", """SELECT event_id, ts, user_id, event_type, value, props FROM events""")
 def incremental_load(spark, d):
     root = work_dir(spark, "incr")
@@ -322,17 +352,28 @@ def incremental_load(spark, d):
     return spark.read.parquet(root + "/table").drop("ingest_date")
 
 
-@query("skip_already_stored", """SELECT DISTINCT conv_id FROM conversations""")
-def skip_already_stored(spark, d):
+def _dedup_two_arrivals(spark, d, mode: str) -> DataFrame:
     root = work_dir(spark, "dedup")
     conv = t(spark, d, "conversations")
     for batch in (conv.where("turn < 4"), conv.where("turn >= 4")):  # two arrivals
         batch.write.mode("append").json(root + "/src")
         incremental.load_new_files(spark, root + "/src", conv.schema, root + "/table", root + "/ckpt",
-                                   dedup_keys=["conv_id"])
+                                   dedup_keys=["conv_id"], dedup_mode=mode)
     return spark.read.parquet(root + "/table").select("conv_id")
 
 
+@query("skip_already_stored", """SELECT DISTINCT conv_id FROM conversations""")
+def skip_already_stored(spark, d):
+    """STR-2 with the seen keys in the stream's state store."""
+    return _dedup_two_arrivals(spark, d, "state")
+
+
+@query("skip_already_stored_target", """SELECT DISTINCT conv_id FROM conversations""")
+def skip_already_stored_target(spark, d):
+    """STR-2 without state: each micro-batch is anti-joined with the target's keys."""
+    return _dedup_two_arrivals(spark, d, "target")
+
+
 # J5 / J6 eligibility --------------------------------------------------------------------
 _DOC_KEY_SQL = "'/' || d.lang || '/' || CAST(d.doc_id AS VARCHAR)"
 _NOT_STORED_SQL = f"""
@@ -376,6 +417,26 @@ def eligible_videos(spark, d):
     return eligibility.eligible(cand, _listing(spark, d)).select("doc_id", "video_id")
 
 
+@query("eligibility_reasons", f"""
+WITH tox AS (SELECT doc_id, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+c AS (SELECT coalesce(tox.toxic, false) AS r,
+             EXISTS (SELECT 1 FROM pages p WHERE contains(p.url, {_DOC_KEY_SQL})) AS s,
+             NOT coalesce(d.n_chars > 100, false) AS n
+      FROM documents d LEFT JOIN tox ON tox.doc_id = d.doc_id)
+SELECT NULLIF(concat_ws(',', CASE WHEN r THEN 'age_restricted' END, CASE WHEN s THEN 'already_stored' END,
+                        CASE WHEN n THEN 'no_itag_22' END), '') AS reject_reason,
+       count(*) AS n_videos
+FROM c GROUP BY 1""")
+def eligibility_reasons(spark, d):
+    tox = t(spark, d, "labels").groupBy("doc_id").agg(F.bool_or(F.col("toxic") == 1).alias("age_restricted"))
+    cand = _doc_candidates(spark, d).join(tox, "doc_id", "left").withColumn(
+        "streams", F.array(F.struct(
+            F.when(F.col("n_chars") > 100, F.lit(22)).otherwise(F.lit(18)).alias("itag"),
+            F.lit(True).alias("progressive"), F.lit("mp4").alias("file_extension"))))
+    out = eligibility.classify(cand, eligibility.in_scope(_listing(spark, d), scope=None))
+    return out.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n_videos"))
+
+
 @query("has_stream", """
 SELECT l_orderkey, NOT coalesce(bool_or(l_linenumber = 2 AND l_returnflag <> 'R' AND l_linestatus = 'O'), false)
        AS no_itag_22

@@ -54,3 +54,10 @@ def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared root for one job run's scratch tables."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/work/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists, resolved through the cluster's Hadoop file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

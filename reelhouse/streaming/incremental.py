@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from ..session import path_exists
 from ..sinks.landing import DAY_COL
 
 
@@ -35,15 +36,41 @@ def with_day_column(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(DAY_COL, T.StringType(), True)])
 
 
+def _append_new_keys(table_path: str, keys: list[str], partition_by: list[str] | None):
+    """foreachBatch body: de-duplicate the batch, drop keys the target already holds, append."""
+
+    def run(batch: DataFrame, epoch_id: int) -> None:
+        spark = batch.sparkSession
+        fresh = batch.dropDuplicates(keys)
+        if path_exists(spark, table_path):   # the first batch has no target yet
+            fresh = fresh.join(spark.read.parquet(table_path).select(*keys), keys, "left_anti")
+        w = fresh.write.mode("append")
+        if partition_by:
+            w = w.partitionBy(*partition_by)
+        w.parquet(table_path)
+
+    return run
+
+
 def load_new_files(spark: SparkSession, src: str, schema: T.StructType, table_path: str, checkpoint: str,
                    dedup_keys: list[str] | None = None, fmt: str = "json", glob: str | None = "*.json",
-                   partition_by: list[str] | None = None) -> int:
+                   partition_by: list[str] | None = None, dedup_mode: str = "state") -> int:
     """Append the rows of files not seen before; returns rows appended this run.
 
     ``dedup_keys`` turns on STR-2: a key already appended in any earlier run
-    (or earlier in this run) is skipped.
+    (or earlier in this run) is skipped. ``dedup_mode="state"`` keeps the
+    seen keys in the stream's state store; ``"target"`` keeps no state and
+    anti-joins each micro-batch against the keys already in the target
+    table (a retried batch re-checks the target, so it never appends twice).
     """
     stream = file_stream(spark, src, schema, fmt, glob)
+    if dedup_keys and dedup_mode == "target":
+        q = (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+             .foreachBatch(_append_new_keys(table_path, dedup_keys, partition_by)).start())
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise q.exception()
+        return -1  # row counts of foreachBatch sinks are not reported by the stream
     if dedup_keys:
         stream = stream.dropDuplicates(dedup_keys)
     w = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)

@@ -29,3 +29,15 @@ def test_skip_already_stored_keys(spark, tmp_dir):
     spark.createDataFrame([("a", 9), ("c", 1)], schema).write.mode("append").json(src)
     incremental.load_new_files(spark, src, st, table, ck, dedup_keys=["VideoID"])
     assert sorted(r.VideoID for r in spark.read.parquet(table).collect()) == ["a", "b", "c"]
+
+
+def test_skip_already_stored_against_target(spark, tmp_dir):
+    schema = "VideoID string, Views bigint"
+    from pyspark.sql import types as T
+    st = T._parse_datatype_string(schema)
+    src, table, ck = (os.path.join(tmp_dir, x) for x in ("src", "table", "ck"))
+    spark.createDataFrame([("a", 1), ("a", 2), ("b", 1)], schema).write.json(src)
+    incremental.load_new_files(spark, src, st, table, ck, dedup_keys=["VideoID"], dedup_mode="target")
+    spark.createDataFrame([("a", 9), ("c", 1)], schema).write.mode("append").json(src)
+    incremental.load_new_files(spark, src, st, table, ck, dedup_keys=["VideoID"], dedup_mode="target")
+    assert sorted(r.VideoID for r in spark.read.parquet(table).collect()) == ["a", "b", "c"]
