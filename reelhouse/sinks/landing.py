@@ -56,16 +56,19 @@ def with_day(df: DataFrame, day=None, ts_col: str | None = None) -> DataFrame:
 
 
 def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = None,
-         files_per_day: int | None = None) -> str:
+         files_per_day: int | None = None, spread_col: str | None = None) -> str:
     """SNK-1: write one entity's rows as JSON, one directory per day.
 
-    ``files_per_day`` bounds the number of files per day directory
-    (rows of a day are hash-spread over that many tasks; a day is never
-    forced into one task).
+    ``files_per_day`` bounds the number of files per day directory: rows of a
+    day are hash-spread (on ``spread_col``, default the first column, e.g. the
+    record id) over that many buckets, so a day is never forced into one task
+    and never scattered into one file per task.
     """
     out = with_day(df, day, ts_col)
     if files_per_day:
-        out = out.repartition(files_per_day, F.col(DAY_COL), F.xxhash64(*[F.col(c) for c in df.columns]) % files_per_day)
+        key = F.col(spread_col or df.columns[0])
+        bucket = F.pmod(F.xxhash64(key), F.lit(files_per_day))
+        out = out.repartition(F.col(DAY_COL), bucket)
     target = entity_dir(base, entity)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

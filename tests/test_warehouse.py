@@ -88,3 +88,13 @@ def test_landing_path_and_legacy(spark, tmp_dir):
     target = landing.land_legacy(cap, tmp_dir, "caption")
     back = spark.read.json(target)
     assert "Timestamp" not in back.columns and "Caption_id" in back.columns
+
+
+def test_files_per_day_bound(spark, tmp_dir):
+    rows = [(f"v{i}", dt.datetime(2023, 6, 1 + i % 2, 1)) for i in range(200)]
+    df = spark.createDataFrame(rows, "VideoID string, ts timestamp_ntz").repartition(16)
+    path = landing.land(df, tmp_dir, "video", ts_col="ts", files_per_day=3)
+    for day in ("2023-6-1", "2023-6-2"):
+        files = [f for f in os.listdir(os.path.join(path, f"ingest_date={day}")) if f.endswith(".json")]
+        assert 1 <= len(files) <= 3
+    assert landed.read_day(spark, path, df.schema).count() == 200
