@@ -31,6 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import epoch_seconds, json_variant, nth, slash_date
+from ..session import checkpoint_root
 from ..sources.raw import strict_video_id
 from .skew import hot_keys, salted_join
 
@@ -209,15 +210,21 @@ class Entities:
 
 
 def extract_entities(videos: DataFrame, channels: DataFrame, run_ts: float | None = None,
-                     persist: bool = False, hot_share: float | None = None, hot_buckets: int = 16) -> Entities:
+                     persist: bool | str = False, hot_share: float | None = None, hot_buckets: int = 16) -> Entities:
     """PRJ-7: parse once, feed four entity projections.
 
-    With ``persist=True`` the joined rows are kept (memory, spilling to
-    disk) so four writes share one scan + join; lost blocks are recomputed
-    from the deterministic lineage.
+    ``persist=True`` (or ``"memory_and_disk"``) keeps the joined rows in
+    executor storage, spilling to disk, so four writes share one scan +
+    join; lost blocks are recomputed from the deterministic lineage.
+    ``persist="checkpoint"`` instead stages them on reliable storage under
+    ``spark.checkpoint.dir`` (lineage cut: a lost executor costs a re-read,
+    not a re-join) -- the choice for very large runs on preemptible nodes.
     """
     j = join_documents(videos, channels, hot_share, hot_buckets)
-    if persist:
+    if persist == "checkpoint":
+        checkpoint_root(j.sparkSession)
+        j = j.checkpoint(eager=True)
+    elif persist:
         j = j.persist(StorageLevel.MEMORY_AND_DISK)
     return Entities(
         joined=j,

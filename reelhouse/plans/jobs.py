@@ -31,17 +31,20 @@ WIRE_SCHEMA = {"video": schemas.VIDEO, "channel": schemas.CHANNEL, "caption": sc
 
 
 def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: DataFrame | str, landing_base: str,
-                    day=None, run_ts: float | None = None, first_page_only: bool = True) -> dict[str, str]:
+                    day=None, run_ts: float | None = None, first_page_only: bool = True,
+                    stage: bool | str = True, hot_share: float | None = None) -> dict[str, str]:
     """J1 + J2: parse once, four projections, four day-partitioned landings.
 
-    The joined rows are persisted so the four writes share one scan and join.
+    The joined rows are staged (``stage=True``: persisted; ``"checkpoint"``:
+    reliable checkpoint) so the four writes share one scan and join.
+    ``hot_share`` turns on salting of channels above that share of videos.
     Returns the landing folder per entity.
     """
     v = raw.read_raw_videos(spark, videos) if isinstance(videos, str) else videos
     c = raw.read_raw_channels(spark, channels) if isinstance(channels, str) else channels
     if first_page_only:
         v = raw.first_page(v)
-    ent = entities.extract_entities(v, c, run_ts=run_ts, persist=True)
+    ent = entities.extract_entities(v, c, run_ts=run_ts, persist=stage, hot_share=hot_share)
     try:
         return {name: landing.land(df, landing_base, name, day=day) for name, df in ent.tables().items()}
     finally:

@@ -40,10 +40,12 @@ def spread(df: DataFrame) -> DataFrame:
     run the per-row document building in one task. A cluster-scale source
     already has many splits and passes through untouched (no extra shuffle).
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores * 2)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001  sessions without RDD access: leave the plan as is
+        return df
+    return df.repartition(cores * 2) if splits < cores else df
 
 
 def _keep(*elements: Column) -> Column:

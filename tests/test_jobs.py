@@ -54,3 +54,16 @@ def test_category_table(spark, tmp_dir):
     with open(path, "w") as fh:
         fh.write(json.dumps({"kind": "list", "items": [{"id": "1", "snippet": {"title": "Film", "assignable": True}}]}))
     assert [(r.id, r.title) for r in jobs.category_table(spark, path).collect()] == [("1", "Film")]
+
+
+def test_checkpoint_staging_same_rows(spark, tmp_dir):
+    vids = raw.parse_videos(json_rows(spark, [video("a"), video("b")]))
+    chans = raw.parse_channels(json_rows(spark, [channel("ch1")]))
+    a = jobs.ingest_metadata(spark, vids, chans, os.path.join(tmp_dir, "p"), day="2023-6-4", run_ts=1.0)
+    b = jobs.ingest_metadata(spark, vids, chans, os.path.join(tmp_dir, "c"), day="2023-6-4", run_ts=1.0,
+                             stage="checkpoint")
+    for name in a:
+        ra = sorted(r.value for r in spark.read.text(a[name]).collect())
+        rb = sorted(r.value for r in spark.read.text(b[name]).collect())
+        assert ra == rb, name
+    assert len(sorted(r.value for r in spark.read.text(b["thumbnail"]).collect())) == 4
