@@ -17,12 +17,14 @@ from pyspark.sql import types as T
 
 from ..functions import exprs
 from ..operators import eligibility, entities, gate, reference
+from ..schemas import CATEGORY_RESPONSE, legacy
 from ..session import work_dir
 from ..sinks import export, landing, media, publish, warehouse
 from ..sources import landed, raw
 from ..sources.sql import register_tables
 from ..streaming import incremental
 from . import standins
+from .jobs import WIRE_SCHEMA, ingest_metadata, load_warehouse
 from .standins import RUN_TS
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -203,7 +205,6 @@ def category_flatten(spark, d):
         F.struct(F.col("p_brand").alias("id"), F.struct(F.col("p_type").alias("title")).alias("snippet")),
     )
     payload = part.select(F.to_json(F.struct(items.alias("items"))).alias("value"))
-    from ..schemas import CATEGORY_RESPONSE
     responses = payload.select(F.from_json("value", CATEGORY_RESPONSE).alias("r")).select("r.*")
     return reference.categories(responses)
 
@@ -225,7 +226,6 @@ UNION ALL SELECT 'caption', CAST(cap AS BIGINT), 0 FROM n
 UNION ALL SELECT 'thumbnail', CAST(th AS BIGINT), 0 FROM n""")
 def metadata_end_to_end(spark, d):
     """J1 -> J2 -> J3: extract, land one day, strict-load into the four tables."""
-    from .jobs import WIRE_SCHEMA, ingest_metadata, load_warehouse
     root = work_dir(spark, "e2e")
     ingest_metadata(spark, standins.video_docs(t(spark, d, "orders")), standins.channel_docs(t(spark, d, "customer")),
                     root + "/landing", day="2024-1-1", run_ts=RUN_TS)
@@ -284,7 +284,6 @@ SELECT CAST(page_id AS VARCHAR) || '_' || CAST(pos AS VARCHAR) AS ThumbnailID, C
        url AS URL, CAST(length(url) AS BIGINT) AS Width, CAST(pos AS BIGINT) AS Height
 FROM u""")
 def legacy_layout_rows(spark, d):
-    from ..schemas import legacy
     base = work_dir(spark, "legacy")
     rows = entities.thumbnail_rows(standins.page_image_docs(t(spark, d, "pages")), RUN_TS)
     target = landing.land_legacy(rows, base, "thumbnail")
