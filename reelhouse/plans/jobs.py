@@ -85,7 +85,9 @@ def ingest_media(spark: SparkSession, videos: DataFrame, bucket_root: str, media
     copied files.
     """
     listing = media.list_objects(spark, bucket_root)
-    rel = F.regexp_replace(F.col("path"), "^.*?" + bucket_root.rstrip("/").split("://")[-1] + "/", "")
+    # Object names relative to the bucket root (\Q..\E quotes the root inside the regex).
+    root_text = bucket_root.rstrip("/").split("://")[-1]
+    rel = F.regexp_replace(F.col("path"), "^.*?\\Q" + root_text + "\\E/", "")
     names = eligibility.in_scope(listing.select(rel.alias("path")), scope=scope)
     ok = eligibility.eligible(videos, names).select("video_id")
     files = media.read_media(spark, media_root, glob="*.mp4")

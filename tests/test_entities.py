@@ -171,3 +171,17 @@ def test_hot_channel_salting_gives_same_rows(spark):
         assert a == b, name
     hot = [r.channel_url for r in skew.hot_keys(v, "channel_url", 0.3).collect()]
     assert hot == ["url/ch1"]
+
+
+def test_nested_pruning_reaches_the_json_scan(spark, tmp_path):
+    import json as _json
+    vpath, cpath = str(tmp_path / "v"), str(tmp_path / "c")
+    for path, docs in ((vpath, [video("a")]), (cpath, [channel("ch1")])):
+        import os as _os
+        _os.makedirs(path)
+        with open(_os.path.join(path, "part.json"), "w") as fh:
+            fh.write("\n".join(_json.dumps(d) for d in docs) + "\n")
+    ent = entities.extract_entities(raw.read_raw_videos(spark, vpath), raw.read_raw_channels(spark, cpath), 1.0)
+    plan = ent.video._jdf.queryExecution().executedPlan().toString()
+    schemas_read = [line for line in plan.split("\n") if "ReadSchema" in line]
+    assert schemas_read and not any("streams" in s or "captions" in s or "avatar" in s for s in schemas_read)
