@@ -4,15 +4,16 @@ Plan, with no step that pulls rows through one task or the driver:
 
 1. optional ``repartitionByRange`` + ``sortWithinPartitions`` on the caller's
    order keys (Spark rows have no order otherwise);
-2. ``checkpoint()`` into ``spark.checkpoint.dir``: the partitions are fixed
-   on reliable storage, so the counting pass and the writing pass read the
-   very same rows even if executors are lost in between (an unpersisted
-   or merely cached input can be recomputed differently);
-3. rows per partition (one tiny aggregate row per partition), prefix sum by
-   a window over that tiny table, broadcast back (its size is the
-   partition count);
-4. global row number = offset + position inside the partition
-   (``monotonically_increasing_id`` carries the position in its low 33 bits),
+2. the ordered rows are written once as a Parquet table under
+   ``spark.checkpoint.dir`` together with their partition id and position
+   inside the partition (``monotonically_increasing_id`` carries it in its
+   low 33 bits), so the counting pass and the writing pass read the very
+   same numbering even if executors are lost in between (an unpersisted or
+   merely cached input can be recomputed differently);
+3. rows per partition (reading only the partition-id column; one tiny
+   aggregate row per partition), prefix sum by a window over that tiny
+   table, broadcast back (its size is the partition count);
+4. global row number = offset + position inside the partition,
    ``part = (rn - 1) div N + 1``;
 5. ``repartition(parts, part)``: every part lands in exactly one task, so
    each part directory holds one file; files are renamed to
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import csv_stem, padded_datetime
-from ..session import checkpoint_root
+from ..session import work_dir
 
 CSV_OPTIONS = {
     "header": "true",
@@ -85,26 +86,32 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
                 num_partitions: int | None = None, batch_rows: int | None = None) -> tuple[DataFrame, int]:
     """Adds ``_rn`` (1-based global row number) and ``part``; returns (df, total rows).
 
+    The ordered rows are written once as a Parquet table under the shared
+    checkpoint folder, with their task (``_pid``) and position in the task
+    (``_local``) as columns. Both passes that follow (counting, writing)
+    read that table, so they see identical numbering even if executors are
+    lost; counting reads only the ``_pid`` column.
+
     ``batch_rows`` reproduces the original fetch-batch rounding: a part
     then holds ``batch_rows * ceil(rows_per_part / batch_rows)`` rows.
     """
     rows_per_part = part_size(rows_per_part, batch_rows)
     spark = df.sparkSession
-    checkpoint_root(spark)
     staged = df
     if order_by:
         n = num_partitions or spark.sparkContext.defaultParallelism
         staged = staged.repartitionByRange(n, *[F.col(c) for c in order_by]).sortWithinPartitions(*order_by)
-    staged = staged.checkpoint(eager=True)
     pid = F.spark_partition_id()
-    # One row per partition: cached so the total and the offsets share one pass.
-    counts = staged.groupBy(pid.alias("_pid")).agg(F.count(F.lit(1)).alias("_n")).cache()
+    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
+    path = work_dir(spark, "export-stage")
+    staged.select("*", pid.alias("_pid"), local.alias("_local")).write.parquet(path)
+    staged = spark.read.parquet(path)
+    # One row per task: cached so the total and the offsets share one pass.
+    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).cache()
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_offset"))
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    numbered = (staged.withColumn("_pid", pid).withColumn("_local", local)
-                .join(F.broadcast(offsets), "_pid")
+    numbered = (staged.join(F.broadcast(offsets), "_pid")
                 .withColumn("_rn", F.col("_offset") + F.col("_local") + 1)
                 .withColumn("part", F.floor((F.col("_rn") - 1) / F.lit(rows_per_part)).cast("bigint") + 1)
                 .drop("_pid", "_local", "_offset"))
