@@ -130,8 +130,17 @@ def join_documents(videos: DataFrame, channels: DataFrame, hot_share: float | No
 
 
 # --- the four projections (PRJ-1..4); each also works on its own -------------------
-def video_rows(j: DataFrame, run_ts: float | None = None) -> DataFrame:
+RECORD = "_record"
+
+
+def _record_of_video() -> list[Column]:
+    """Per-record landing key ``<video id>_1`` (one record per video)."""
+    return [F.concat(F.col("video_id"), F.lit("_1")).alias(RECORD)]
+
+
+def video_rows(j: DataFrame, run_ts: float | None = None, record: bool = False) -> DataFrame:
     return j.where("video_ok").select(
+        *(_record_of_video() if record else []),
         F.col("video_id").alias("VideoID"),
         F.col("channel_id").alias("ChannelID"),
         F.col("length").alias("Length"),
@@ -143,9 +152,10 @@ def video_rows(j: DataFrame, run_ts: float | None = None) -> DataFrame:
     )
 
 
-def channel_rows(j: DataFrame, run_ts: float | None = None) -> DataFrame:
+def channel_rows(j: DataFrame, run_ts: float | None = None, record: bool = False) -> DataFrame:
     """One row per video (not per channel), as the observation log keeps it."""
     return j.where("emit_channel").select(
+        *(_record_of_video() if record else []),
         F.col("ch_id").alias("ChannelID"),
         F.col("channel_url").alias("URL"),
         F.col("ch_name").alias("Name"),
@@ -156,7 +166,8 @@ def channel_rows(j: DataFrame, run_ts: float | None = None) -> DataFrame:
     )
 
 
-def caption_rows(docs: DataFrame, run_ts: float | None = None, gate: str | None = None) -> DataFrame:
+def caption_rows(docs: DataFrame, run_ts: float | None = None, gate: str | None = None,
+                 record: bool = False) -> DataFrame:
     """PRJ-3 / JOIN-4 / WIN-1: one row per caption track, ordinal key.
 
     The content is looked up by language code inside the same document
@@ -168,8 +179,10 @@ def caption_rows(docs: DataFrame, run_ts: float | None = None, gate: str | None
         docs = docs.withColumn("video_id", strict_video_id(F.col("vid_info.videoDetails.videoId")))
     exploded = docs.select("video_id", "captions", F.posexplode("caption_tracks").alias("pos", "t"))
     content = F.element_at(F.filter("captions", lambda c: c["code"] == F.col("t.code")), -1)
+    key = F.concat_ws("_", "video_id", (F.col("pos") + 1).cast("string"))
     return exploded.select(
-        F.concat_ws("_", "video_id", (F.col("pos") + 1).cast("string")).alias("Contents_caption_id"),
+        *([key.alias(RECORD)] if record else []),
+        key.alias("Contents_caption_id"),
         F.col("video_id").alias("VideoID"),
         F.col("t.name").alias("Language"),
         json_variant(content["json_captions"]).alias("Contents"),
@@ -177,15 +190,18 @@ def caption_rows(docs: DataFrame, run_ts: float | None = None, gate: str | None
     )
 
 
-def thumbnail_rows(docs: DataFrame, run_ts: float | None = None, gate: str | None = None) -> DataFrame:
+def thumbnail_rows(docs: DataFrame, run_ts: float | None = None, gate: str | None = None,
+                   record: bool = False) -> DataFrame:
     """PRJ-4 / WIN-1: one row per image; an empty list gives no rows."""
     if gate:
         docs = docs.where(gate)
     if "video_id" not in docs.columns:
         docs = docs.withColumn("video_id", strict_video_id(F.col("vid_info.videoDetails.videoId")))
     exploded = docs.select("video_id", F.posexplode("vid_info.videoDetails.thumbnail.thumbnails").alias("pos", "t"))
+    key = F.concat_ws("_", "video_id", (F.col("pos") + 1).cast("string"))
     return exploded.select(
-        F.concat_ws("_", "video_id", (F.col("pos") + 1).cast("string")).alias("ThumbnailID"),
+        *([key.alias(RECORD)] if record else []),
+        key.alias("ThumbnailID"),
         F.col("video_id").alias("VideoID"),
         F.col("t.url").alias("URL"),
         F.col("t.width").alias("Width"),
@@ -202,9 +218,21 @@ class Entities:
     caption: DataFrame
     thumbnail: DataFrame
 
+    run_ts: float | None = None
+
     def tables(self) -> dict[str, DataFrame]:
         return {"video": self.video, "channel": self.channel, "caption": self.caption, "thumbnail": self.thumbnail}
 
+    def landing_tables(self) -> dict[str, DataFrame]:
+        """The four tables with their per-record landing key ``_record`` first."""
+        j, ts = self.joined, self.run_ts
+        return {
+            "video": video_rows(j, ts, record=True),
+            "channel": channel_rows(j, ts, record=True),
+            "caption": caption_rows(j, ts, gate="emit_caption", record=True),
+            "thumbnail": thumbnail_rows(j, ts, gate="emit_thumbnail", record=True),
+        }
+
     def unpersist(self) -> None:
         self.joined.unpersist()
 
@@ -232,6 +260,7 @@ def extract_entities(videos: DataFrame, channels: DataFrame, run_ts: float | Non
         channel=channel_rows(j, run_ts),
         caption=caption_rows(j, run_ts, gate="emit_caption"),
         thumbnail=thumbnail_rows(j, run_ts, gate="emit_thumbnail"),
+        run_ts=run_ts,
     )
 
 

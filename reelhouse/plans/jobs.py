@@ -45,8 +45,11 @@ def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: Data
     if first_page_only:
         v = raw.first_page(v)
     ent = entities.extract_entities(v, c, run_ts=run_ts, persist=stage, hot_share=hot_share)
+    day = landing.day_text(day) if day is not None else landing.today_text(spark)
     try:
-        return {name: landing.land(df, landing_base, name, day=day) for name, df in ent.tables().items()}
+        # Records keep their identity: re-running a day replaces only the records landed again.
+        return {name: landing.land(df, landing_base, name, day=day, merge=True)
+                for name, df in ent.landing_tables().items()}
     finally:
         ent.unpersist()
 

@@ -15,8 +15,13 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import dash_date
 from ..functions.lookups import FOLDER
+from ..session import path_exists, work_dir
 
 DAY_COL = "ingest_date"
+# Landing-format field: the per-record key of the original one-file-per-record
+# layout (``<video id>_<n>``). The strict loader knows it and drops it.
+RECORD = "_record"
+LANDING_FIELDS = (RECORD,)
 # Full microsecond precision on the wire (the JSON default keeps milliseconds).
 JSON_WRITE_OPTIONS = {
     "ignoreNullFields": "false",
@@ -33,6 +38,11 @@ def day_text(day) -> str:
     return f"{day.year}-{day.month}-{day.day}"
 
 
+def today_text(spark) -> str:
+    """Today's unpadded day in the session time zone (one value for the whole run)."""
+    return spark.range(1).select(dash_date(F.current_date())).first()[0]
+
+
 def entity_dir(base: str, entity: str) -> str:
     return f"{base.rstrip('/')}/Metadata/{FOLDER[entity]}"
 
@@ -55,21 +65,45 @@ def with_day(df: DataFrame, day=None, ts_col: str | None = None) -> DataFrame:
     return df.withColumn(DAY_COL, F.lit(day_text(day)))
 
 
+def _merge_day(df: DataFrame, target: str, day: str) -> DataFrame:
+    """The day's landed records not re-landed now, plus the new rows (staged copy)."""
+    spark = df.sparkSession
+    day_dir = f"{target}/{DAY_COL}={day}"
+    if not path_exists(spark, day_dir):
+        return df
+    old = (spark.read.option("pathGlobFilter", "*.json").text(day_dir)
+           .select(F.from_json("value", df.schema).alias("r")).select("r.*")
+           .join(df.select(RECORD), RECORD, "left_anti"))
+    # Spark cannot overwrite a partition it is reading: stage the merged day first.
+    stage = work_dir(spark, "landing-merge")
+    old.unionByName(df).write.options(**JSON_WRITE_OPTIONS).json(stage)
+    return (spark.read.option("pathGlobFilter", "*.json").text(stage)
+            .select(F.from_json("value", df.schema).alias("r")).select("r.*"))
+
+
 def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = None,
-         files_per_day: int | None = None, spread_col: str | None = None) -> str:
+         files_per_day: int | None = None, spread_col: str | None = None, merge: bool = False) -> str:
     """SNK-1: write one entity's rows as JSON, one directory per day.
 
     ``files_per_day`` bounds the number of files per day directory: rows of a
     day are hash-spread (on ``spread_col``, default the first column, e.g. the
     record id) over that many buckets, so a day is never forced into one task
     and never scattered into one file per task.
+
+    ``merge=True`` (rows carrying ``_record``, one fixed ``day``) reproduces
+    per-record files: a re-run of the same day replaces the records it lands
+    again and keeps the day's other records. Without it the day is replaced.
     """
+    target = entity_dir(base, entity)
+    if merge:
+        if ts_col is not None or day is None or RECORD not in df.columns:
+            raise ValueError("merge needs a fixed day and a _record column")
+        df = _merge_day(df, target, day_text(day))
     out = with_day(df, day, ts_col)
     if files_per_day:
         key = F.col(spread_col or df.columns[0])
         bucket = F.pmod(F.xxhash64(key), F.lit(files_per_day))
         out = out.repartition(F.col(DAY_COL), bucket)
-    target = entity_dir(base, entity)
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**JSON_WRITE_OPTIONS)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sinks.landing import LANDING_FIELDS
 from ..sources.landed import read_lines
 
 
@@ -55,9 +56,12 @@ def _field_bad(v: Column, f: T.StructField) -> Column:
     return present & F.try_variant_get(v, path, dt.simpleString()).isNull()
 
 
-def line_checks(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Adds ``v`` (VARIANT of the line) and ``is_bad`` to a ``value`` text column."""
-    expected = F.array(*[F.lit(f.name) for f in schema.fields])
+def line_checks(lines: DataFrame, schema: T.StructType, extra_fields: tuple[str, ...] = LANDING_FIELDS) -> DataFrame:
+    """Adds ``v`` (VARIANT of the line) and ``is_bad`` to a ``value`` text column.
+
+    ``extra_fields`` are landing-format keys that are allowed and not loaded.
+    """
+    expected = F.array(*[F.lit(f.name) for f in schema.fields], *[F.lit(x) for x in extra_fields])
     parsed = lines.withColumn("v", F.try_parse_json(F.col("value")))
     # Keys from the parsed value (no second parse of the text); null unless an object.
     keys = F.map_keys(F.try_variant_get(F.col("v"), "$", "map<string,variant>"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import path_exists
 from ..sinks.landing import DAY_COL
 
 
@@ -24,6 +25,8 @@ def read_day(spark: SparkSession, entity_path: str, schema: T.StructType, day: s
 def read_lines(spark: SparkSession, entity_path: str, day: str | None = None) -> DataFrame:
     """Raw lines with their file (``value, file_path, file_name``)."""
     src = entity_path if day is None else f"{entity_path.rstrip('/')}/{DAY_COL}={day}"
+    if not path_exists(spark, src):   # nothing landed for that day: nothing to load
+        return spark.createDataFrame([], "value string, file_path string, file_name string")
     df = (spark.read.option("pathGlobFilter", "*.json").text(src)
           .select("value", F.col("_metadata.file_path").alias("file_path"),
                   F.col("_metadata.file_name").alias("file_name")))

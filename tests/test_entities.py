@@ -6,13 +6,13 @@ from reelhouse.operators import entities
 from reelhouse.sources import raw
 
 
-def video(vid, channel="ch1", date="2023-06-04T00:00:00", thumbs=None, tracks=None, captions=None, **kw):
+def video(vid, channel="ch1", date="2023-06-04T00:00:00", thumbs=None, tracks=None, captions=None, title=None, **kw):
     d = {
         "search_term": "meme", "page": 1,
         "vid_info": {"videoDetails": {"videoId": vid, "thumbnail": {"thumbnails": thumbs if thumbs is not None else [
             {"url": f"u/{vid}/1", "width": 120, "height": 90}, {"url": f"u/{vid}/2", "width": 640, "height": 480}]}}},
         "channel_id": "CID-" + channel, "channel_url": "url/" + channel, "length": 10,
-        "title": f"t-{vid}", "views": 5,
+        "title": title or f"t-{vid}", "views": 5,
         "caption_tracks": tracks if tracks is not None else [],
         "captions": captions if captions is not None else [],
     }

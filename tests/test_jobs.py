@@ -67,3 +67,18 @@ def test_checkpoint_staging_same_rows(spark, tmp_dir):
         rb = sorted(r.value for r in spark.read.text(b[name]).collect())
         assert ra == rb, name
     assert len(sorted(r.value for r in spark.read.text(b["thumbnail"]).collect())) == 4
+
+
+def test_same_day_rerun_replaces_only_relanded_records(spark, tmp_dir):
+    chans = raw.parse_channels(json_rows(spark, [channel("ch1")]))
+    base, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    run1 = raw.parse_videos(json_rows(spark, [video("a"), video("b", title="old")]))
+    run2 = raw.parse_videos(json_rows(spark, [video("b", title="new"), video("c")]))
+    jobs.ingest_metadata(spark, run1, chans, base, day="2023-6-4", run_ts=1.0)
+    jobs.ingest_metadata(spark, run2, chans, base, day="2023-6-4", run_ts=2.0)
+    jobs.load_warehouse(spark, base, wh, day="2023-6-4")
+    got = {r.VideoID: (r.Title, r.Timestamp) for r in spark.read.parquet(f"{wh}/video").collect()}
+    assert got == {"a": ("t-a", 1.0), "b": ("new", 2.0), "c": ("t-c", 2.0)}
+    thumbs = sorted(r.ThumbnailID for r in spark.read.parquet(f"{wh}/thumbnail").collect())
+    assert thumbs == ["a_1", "a_2", "b_1", "b_2", "c_1", "c_2"]
+    assert spark.read.parquet(f"{wh}/channel").count() == 3
