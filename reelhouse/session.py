@@ -44,7 +44,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    # Unset: this only happens in local tests / the local driver run.
+    # Unset. A machine-local folder is only acceptable when everything runs in
+    # this one process (local mode, tests); on a cluster executors could not
+    # reach it, so the shared folder must be configured.
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
     local = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

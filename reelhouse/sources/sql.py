@@ -49,3 +49,19 @@ def read_connection(spark: SparkSession, conn_type: str, url: str, query: str,
                     fetch_rows: int = DEFAULT_FETCH_ROWS, **extra: str) -> DataFrame:
     fmt, opts = source_options(conn_type, url, query, fetch_rows, **extra)
     return spark.read.format(fmt).options(**opts).load()
+
+
+# SRC-12: the warehouse, object-store and document-store connectors of the
+# original are thin wrappers; here they are reader/writer formats + options.
+CONNECTOR_FORMATS = {"warehouse": "bigquery", "document_store": "mongodb", "object_store": None}
+
+
+def connector_reader(spark: SparkSession, kind: str, path: str | None = None, fmt: str | None = None,
+                     **options: str):
+    """A DataFrameReader for a connector kind (object store = file formats on its URI)."""
+    if kind not in CONNECTOR_FORMATS:
+        raise UnsupportedConnection(f"unknown connector kind {kind!r}")
+    reader = spark.read.options(**options)
+    if kind == "object_store":
+        return reader.format(fmt or "parquet").load(path) if path else reader.format(fmt or "parquet")
+    return reader.format(CONNECTOR_FORMATS[kind])

@@ -57,3 +57,16 @@ def test_connection_types():
     assert fmt == "jdbc" and opts["fetchsize"] == "1000" and opts["query"] == "SELECT 1"
     with pytest.raises(UnsupportedConnection):
         source_options("mongo", "u", "q")
+
+
+def test_connector_kinds(spark, tmp_path):
+    from reelhouse.sources.sql import UnsupportedConnection, connector_reader
+    spark.range(3).write.parquet(str(tmp_path / "t"))
+    assert connector_reader(spark, "object_store", str(tmp_path / "t")).count() == 3
+    with pytest.raises(UnsupportedConnection):
+        connector_reader(spark, "queue")
+
+
+def test_shared_folder_required_off_local(spark):
+    from reelhouse.session import checkpoint_root
+    assert checkpoint_root(spark)            # local mode: a private folder is fine
