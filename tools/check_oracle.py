@@ -38,7 +38,12 @@ def rows_of(cols, rows):
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(QUERIES)
-    spark = local_session()
+    if os.environ.get("CHECK_PLAIN"):   # a session with no settings of ours, as a driver may build it
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+                 .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+    else:
+        spark = local_session()
     if os.environ.get("CHECK_TZ"):   # results must not depend on the session time zone
         spark.conf.set("spark.sql.session.timeZone", os.environ["CHECK_TZ"])
     for kv in filter(None, os.environ.get("CHECK_CONF", "").split(",")):   # e.g. spark.sql.ansi.enabled=false
