@@ -80,7 +80,7 @@ def load_incremental(spark: SparkSession, landing_base: str, warehouse_base: str
 
 
 def ingest_media(spark: SparkSession, videos: DataFrame, bucket_root: str, media_root: str, dest_root: str,
-                 source: str = "youtube", scope: str | None = "Video/", run_ts=None) -> DataFrame:
+                 source: str = "clips", scope: str | None = "Video/", run_ts=None) -> DataFrame:
     """J5-J7: eligible videos (not restricted, has itag 22, not stored) -> copy their media files.
 
     ``videos`` carries ``video_id, age_restricted, streams``; media files are

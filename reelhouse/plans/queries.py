@@ -97,7 +97,7 @@ def video_rows_salted(spark, d):
 
 @query("channel_rows_per_video", f"""
 SELECT 'C' || CAST(c.c_custkey AS VARCHAR) AS ChannelID,
-       'https://www.youtube.com/channel/C' || CAST(c.c_custkey AS VARCHAR) AS URL, c.c_name AS Name,
+       'https://video.example.com/channel/C' || CAST(c.c_custkey AS VARCHAR) AS URL, c.c_name AS Name,
        c.c_mktsegment AS Description, CAST(c.c_nationkey AS VARCHAR) AS Subcribed, c.c_name AS Keywords,
        {RUN_TS_SQL} AS Timestamp
 {_VIDEO_JOIN} AND coalesce(c.c_mktsegment <> 'HOUSEHOLD', false)""")
@@ -471,7 +471,7 @@ _HEAD = "regexp_extract(url, '^(.*/)', 1)"
 
 @query("media_manifest", f"""
 SELECT page_id, url AS src_path,
-       'Video/youtube/2024-01-01/2024-01-01 00:00:00_' || {_BASE} AS dest_path,
+       'Video/clips/2024-01-01/2024-01-01 00:00:00_' || {_BASE} AS dest_path,
        CASE lower(regexp_extract({_BASE}, '\\.([^.]*)$', 1)) WHEN 'json' THEN 'application/json'
             WHEN 'mp4' THEN 'video/mp4' ELSE 'application/octet-stream' END AS content_type,
        CAST(length(html) AS BIGINT) AS length,
@@ -481,7 +481,7 @@ SELECT page_id, url AS src_path,
 FROM pages""")
 def media_manifest(spark, d):
     pages = t(spark, d, "pages").select("page_id", F.col("url").alias("path"), F.length("html").alias("length"))
-    m = media.manifest(pages, "youtube", run_ts=F.expr(RUN_NTZ))
+    m = media.manifest(pages, "clips", run_ts=F.expr(RUN_NTZ))
     return m.join(pages.select("page_id", F.col("path").alias("src_path")), "src_path").select(
         "page_id", "src_path", "dest_path", "content_type", "length",
         exprs.base_name("src_path").alias("base_name"), exprs.dir_name("src_path").alias("dir_name"))

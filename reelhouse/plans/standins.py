@@ -25,7 +25,7 @@ from ..functions.lookups import SEARCH_TERM
 from ..session import work_dir
 from ..sources import raw
 
-CHANNEL_URL_PREFIX = "https://www.youtube.com/channel/C"
+CHANNEL_URL_PREFIX = "https://video.example.com/channel/C"
 RUN_TS = 1704067200.0  # 2024-01-01T00:00:00Z, pinned so results are comparable
 
 

@@ -24,7 +24,7 @@ def test_each_condition_alone(spark):
         ("notprog", False, [(22, False, "mp4")]),
         ("webm", False, [(22, True, "webm")]),
     ])
-    names = spark.createDataFrame([("Video/youtube/2024-01-01/x_stored.mp4",)], "path string")
+    names = spark.createDataFrame([("Video/clips/2024-01-01/x_stored.mp4",)], "path string")
     out = {r.video_id: r for r in eligibility.classify(cand, names).collect()}
     assert out["ok1"].eligible and out["ok1"].reject_reason is None
     assert out["restr"].reject_reason == "age_restricted"

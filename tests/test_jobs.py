@@ -32,9 +32,9 @@ def test_ingest_land_load_and_stream(spark, tmp_dir):
 
 def test_ingest_media(spark, tmp_dir):
     bucket, media_root, dest = (os.path.join(tmp_dir, x) for x in ("bucket", "media", "dest"))
-    os.makedirs(os.path.join(bucket, "Video", "youtube"))
+    os.makedirs(os.path.join(bucket, "Video", "clips"))
     os.makedirs(media_root)
-    with open(os.path.join(bucket, "Video", "youtube", "old_v2.mp4"), "wb") as fh:
+    with open(os.path.join(bucket, "Video", "clips", "old_v2.mp4"), "wb") as fh:
         fh.write(b"x")
     for v in ("v1", "v2", "v3"):
         with open(os.path.join(media_root, f"{v}.mp4"), "wb") as fh:

@@ -17,15 +17,15 @@ def test_manifest_and_copy(spark, tmp_dir):
             fh.write(data)
     dest = os.path.join(tmp_dir, "dest")
     ts = F.expr("TIMESTAMP_NTZ '2024-01-02 03:04:05'")
-    m = {os.path.basename(r.src_path): r for r in media.copy_media(spark, src, dest, "youtube", run_ts=ts).collect()}
+    m = {os.path.basename(r.src_path): r for r in media.copy_media(spark, src, dest, "clips", run_ts=ts).collect()}
     assert m["clip.mp4"].content_type == "video/mp4" and m["meta.json"].content_type == "application/json"
-    assert m["clip.mp4"].dest_path == "Video/youtube/2024-01-02/2024-01-02 03:04:05_clip.mp4"
+    assert m["clip.mp4"].dest_path == "Video/clips/2024-01-02/2024-01-02 03:04:05_clip.mp4"
     assert m["clip.mp4"].length == 7
     with open(os.path.join(dest, m["clip.mp4"].dest_path), "rb") as fh:
         assert fh.read() == b"\x00\x01video"
     listing = media.list_objects(spark, src)
     assert set(listing.columns) == {"path", "length", "modificationTime"} and listing.count() == 2
-    ident = media.manifest(listing, "youtube", identity=True).collect()
+    ident = media.manifest(listing, "clips", identity=True).collect()
     assert all(r.src_path == r.dest_path for r in ident)
 
 
