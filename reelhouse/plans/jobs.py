@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators import eligibility, entities
@@ -71,12 +72,18 @@ def load_warehouse(spark: SparkSession, landing_base: str, warehouse_base: str,
 
 
 def load_incremental(spark: SparkSession, landing_base: str, warehouse_base: str, checkpoint_base: str,
-                     name: str, dedup_keys: list[str] | None = None) -> int:
-    """J4: append rows of landing files not seen by earlier runs (stream, availableNow)."""
-    schema = incremental.with_day_column(WIRE_SCHEMA[name])
+                     name: str, state_days: int = 2) -> int:
+    """J4: append records of landing files not seen by earlier runs (stream, availableNow).
+
+    Records are taken once per (record, day): a same-day re-run that rewrote
+    the day's files does not append the records it kept.
+    """
+    schema = T.StructType([*WIRE_SCHEMA[name].fields, T.StructField(landing.RECORD, T.StringType()),
+                           T.StructField(landing.DAY_COL, T.StringType())])
     return incremental.load_new_files(spark, landing.entity_dir(landing_base, name), schema,
                                       f"{warehouse_base.rstrip('/')}/{name}_stream",
-                                      f"{checkpoint_base.rstrip('/')}/{name}", dedup_keys=dedup_keys)
+                                      f"{checkpoint_base.rstrip('/')}/{name}",
+                                      transform=lambda s: incremental.once_per_record(s, state_days))
 
 
 def ingest_media(spark: SparkSession, videos: DataFrame, bucket_root: str, media_root: str, dest_root: str,

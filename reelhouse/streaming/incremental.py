@@ -13,11 +13,14 @@ state store of the checkpoint).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists
-from ..sinks.landing import DAY_COL
+from ..sinks.landing import DAY_COL, RECORD
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
@@ -52,9 +55,24 @@ def _append_new_keys(table_path: str, keys: list[str], partition_by: list[str] |
     return run
 
 
+def once_per_record(stream: DataFrame, state_days: int = 2) -> DataFrame:
+    """Each landed record once, even when a same-day re-run rewrites the day's files.
+
+    Keys are the record identity and its day; the day (as a timestamp) is also
+    the watermark, so de-dup state older than ``state_days`` days is dropped
+    instead of growing forever. The landing-only ``_record`` field is dropped.
+    """
+    day_ts = F.to_timestamp(F.col(DAY_COL), "y-M-d")
+    return (stream.withColumn("_day_ts", day_ts)
+            .withWatermark("_day_ts", f"{int(state_days)} days")
+            .dropDuplicates([RECORD, DAY_COL, "_day_ts"])
+            .drop(RECORD, "_day_ts"))
+
+
 def load_new_files(spark: SparkSession, src: str, schema: T.StructType, table_path: str, checkpoint: str,
                    dedup_keys: list[str] | None = None, fmt: str = "json", glob: str | None = "*.json",
-                   partition_by: list[str] | None = None, dedup_mode: str = "state") -> int:
+                   partition_by: list[str] | None = None, dedup_mode: str = "state",
+                   transform: Callable[[DataFrame], DataFrame] | None = None) -> int:
     """Append the rows of files not seen before; returns rows appended this run.
 
     ``dedup_keys`` turns on STR-2: a key already appended in any earlier run
@@ -64,6 +82,8 @@ def load_new_files(spark: SparkSession, src: str, schema: T.StructType, table_pa
     table (a retried batch re-checks the target, so it never appends twice).
     """
     stream = file_stream(spark, src, schema, fmt, glob)
+    if transform is not None:
+        stream = transform(stream)
     if dedup_keys and dedup_mode == "target":
         q = (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
              .foreachBatch(_append_new_keys(table_path, dedup_keys, partition_by)).start())

@@ -26,8 +26,16 @@ def test_ingest_land_load_and_stream(spark, tmp_dir):
     cap = spark.read.parquet(f"{wh}/caption").selectExpr("variant_get(Contents, '$.e[0]', 'int') AS e").first()
     assert cap.e == 1
     ck = os.path.join(tmp_dir, "ck")
-    assert jobs.load_incremental(spark, landing_base, wh, ck, "video") == 2
-    assert jobs.load_incremental(spark, landing_base, wh, ck, "video") == 0
+    jobs.load_incremental(spark, landing_base, wh, ck, "video")
+    assert spark.read.parquet(f"{wh}/video_stream").count() == 2
+    jobs.load_incremental(spark, landing_base, wh, ck, "video")          # nothing new
+    assert spark.read.parquet(f"{wh}/video_stream").count() == 2
+    # a same-day re-run rewrites the day's files: kept records are not appended again
+    more = raw.parse_videos(json_rows(spark, [video("b"), video("c")]))
+    jobs.ingest_metadata(spark, more, chans, landing_base, day="2023-6-4", run_ts=3.0)
+    jobs.load_incremental(spark, landing_base, wh, ck, "video")
+    got = sorted(r.VideoID for r in spark.read.parquet(f"{wh}/video_stream").collect())
+    assert got == ["a", "b", "c"]
 
 
 def test_ingest_media(spark, tmp_dir):
