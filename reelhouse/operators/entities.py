@@ -97,14 +97,19 @@ def lookup_descriptions(items: DataFrame, channel_key: str = "channel_url",
 
 
 def join_documents(videos: DataFrame, channels: DataFrame, hot_share: float | None = None,
-                   hot_buckets: int = 16) -> DataFrame:
+                   hot_buckets: int = 16, distinct_videos: bool = False) -> DataFrame:
     """Videos with their channel row, description and the H1 stage flags.
 
     ``hot_share`` splits channels holding at least that share of all videos
     over ``hot_buckets`` tasks (deterministic salt on the video id); without
     it the join is left to size-checked broadcast / AQE skew handling.
+    ``distinct_videos`` keeps one document per video (a video listed twice
+    lands once); the key ``(channel_url, video_id)`` is the description
+    join's key, so a shuffled description join reuses that partitioning.
     """
     v = videos.withColumn("video_id", strict_video_id(F.col("vid_info.videoDetails.videoId")))
+    if distinct_videos:
+        v = v.dropDuplicates(["channel_url", "video_id"])
     facts = channel_facts(channels)
     desc = lookup_descriptions(grid_items(channels)).withColumnRenamed("item_video_id", "video_id")
     if hot_share:
@@ -238,7 +243,8 @@ class Entities:
 
 
 def extract_entities(videos: DataFrame, channels: DataFrame, run_ts: float | None = None,
-                     persist: bool | str = False, hot_share: float | None = None, hot_buckets: int = 16) -> Entities:
+                     persist: bool | str = False, hot_share: float | None = None, hot_buckets: int = 16,
+                     distinct_videos: bool = False) -> Entities:
     """PRJ-7: parse once, feed four entity projections.
 
     ``persist=True`` (or ``"memory_and_disk"``) keeps the joined rows in
@@ -248,7 +254,7 @@ def extract_entities(videos: DataFrame, channels: DataFrame, run_ts: float | Non
     ``spark.checkpoint.dir`` (lineage cut: a lost executor costs a re-read,
     not a re-join) -- the choice for very large runs on preemptible nodes.
     """
-    j = join_documents(videos, channels, hot_share, hot_buckets)
+    j = join_documents(videos, channels, hot_share, hot_buckets, distinct_videos)
     if persist == "checkpoint":
         checkpoint_root(j.sparkSession)
         j = j.checkpoint(eager=True)

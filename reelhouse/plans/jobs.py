@@ -45,7 +45,8 @@ def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: Data
     c = raw.read_raw_channels(spark, channels) if isinstance(channels, str) else channels
     if first_page_only:
         v = raw.first_page(v)
-    ent = entities.extract_entities(v, c, run_ts=run_ts, persist=stage, hot_share=hot_share)
+    ent = entities.extract_entities(v, c, run_ts=run_ts, persist=stage, hot_share=hot_share,
+                                    distinct_videos=True)
     day = landing.day_text(day) if day is not None else landing.today_text(spark)
     try:
         # Records keep their identity: re-running a day replaces only the records landed again.
@@ -58,6 +59,7 @@ def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: Data
 def load_warehouse(spark: SparkSession, landing_base: str, warehouse_base: str, day: str,
                    order: tuple[str, ...] = LOAD_ORDER, fail_fast: bool = False) -> DataFrame:
     """J3: strict load of one day for each entity; returns the union of the load reports."""
+    day = landing.day_text(day)
     reports = []
     for name in order:
         src = landing.entity_dir(landing_base, name)

@@ -90,3 +90,14 @@ def test_same_day_rerun_replaces_only_relanded_records(spark, tmp_dir):
     thumbs = sorted(r.ThumbnailID for r in spark.read.parquet(f"{wh}/thumbnail").collect())
     assert thumbs == ["a_1", "a_2", "b_1", "b_2", "c_1", "c_2"]
     assert spark.read.parquet(f"{wh}/channel").count() == 3
+
+
+def test_video_listed_twice_lands_once(spark, tmp_dir):
+    import datetime as dt
+    chans = raw.parse_channels(json_rows(spark, [channel("ch1")]))
+    vids = raw.parse_videos(json_rows(spark, [video("a"), video("a"), video("b")]))
+    base, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    jobs.ingest_metadata(spark, vids, chans, base, day=dt.date(2023, 6, 4), run_ts=1.0)
+    jobs.load_warehouse(spark, base, wh, day=dt.date(2023, 6, 4))
+    assert sorted(r.VideoID for r in spark.read.parquet(f"{wh}/video").collect()) == ["a", "b"]
+    assert spark.read.parquet(f"{wh}/thumbnail").count() == 4
