@@ -13,6 +13,8 @@ J12    ``channel_artwork``   channel documents -> artwork rows (re-exported)
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,13 +35,15 @@ WIRE_SCHEMA = {"video": schemas.VIDEO, "channel": schemas.CHANNEL, "caption": sc
 
 def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: DataFrame | str, landing_base: str,
                     day=None, run_ts: float | None = None, first_page_only: bool = True,
-                    stage: bool | str = True, hot_share: float | None = None) -> dict[str, str]:
+                    stage: bool | str = True, hot_share: float | None = None,
+                    parallel: int = 4) -> dict[str, str]:
     """J1 + J2: parse once, four projections, four day-partitioned landings.
 
     The joined rows are staged (``stage=True``: persisted; ``"checkpoint"``:
     reliable checkpoint) so the four writes share one scan and join.
     ``hot_share`` turns on salting of channels above that share of videos.
-    Returns the landing folder per entity.
+    With staging, the four landings are written concurrently (``parallel``
+    threads) from the staged rows. Returns the landing folder per entity.
     """
     v = raw.read_raw_videos(spark, videos) if isinstance(videos, str) else videos
     c = raw.read_raw_channels(spark, channels) if isinstance(channels, str) else channels
@@ -48,25 +52,46 @@ def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: Data
     ent = entities.extract_entities(v, c, run_ts=run_ts, persist=stage, hot_share=hot_share,
                                     distinct_videos=True)
     day = landing.day_text(day) if day is not None else landing.today_text(spark)
+    tables = ent.landing_tables()
     try:
+        if stage and parallel > 1:
+            ent.joined.count()   # fill the staged rows once; the four writes then read them together
         # Records keep their identity: re-running a day replaces only the records landed again.
-        return {name: landing.land(df, landing_base, name, day=day, merge=True)
-                for name, df in ent.landing_tables().items()}
+        def land_one(name: str) -> str:
+            return landing.land(tables[name], landing_base, name, day=day, merge=True)
+
+        if parallel > 1:
+            with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
+                return dict(zip(tables, pool.map(land_one, tables)))
+        return {name: land_one(name) for name in tables}
     finally:
         ent.unpersist()
 
 
 def load_warehouse(spark: SparkSession, landing_base: str, warehouse_base: str, day: str,
-                   order: tuple[str, ...] = LOAD_ORDER, fail_fast: bool = False) -> DataFrame:
-    """J3: strict load of one day for each entity; returns the union of the load reports."""
+                   order: tuple[str, ...] = LOAD_ORDER, fail_fast: bool = False,
+                   parallel: int = 4) -> DataFrame:
+    """J3: strict load of one day for each entity; returns the union of the load reports.
+
+    The entity loads are independent Spark jobs; up to ``parallel`` of them
+    are submitted at once (threads sharing the session's scheduler), so
+    small loads share the cluster instead of queueing behind each other.
+    ``fail_fast`` loads strictly one after another in ``order``.
+    """
     day = landing.day_text(day)
-    reports = []
-    for name in order:
+
+    def load_one(name: str) -> DataFrame:
         src = landing.entity_dir(landing_base, name)
         _, report = warehouse.strict_load(spark, src, WIRE_SCHEMA[name],
                                           table_path=f"{warehouse_base.rstrip('/')}/{name}", day=day,
                                           fail_fast=fail_fast)
-        reports.append(report.withColumn("entity", F.lit(name)))
+        return report.withColumn("entity", F.lit(name))
+
+    if fail_fast or parallel <= 1:
+        reports = [load_one(n) for n in order]
+    else:
+        with ThreadPoolExecutor(max_workers=min(parallel, len(order))) as pool:
+            reports = list(pool.map(load_one, order))
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)
