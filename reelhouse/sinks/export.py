@@ -113,7 +113,7 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     numbered = (staged.join(F.broadcast(offsets), "_pid")
                 .withColumn("_rn", F.col("_offset") + F.col("_local") + 1)
-                .withColumn("part", F.floor((F.col("_rn") - 1) / F.lit(rows_per_part)).cast("bigint") + 1)
+                .withColumn("part", F.expr(f"(_rn - 1) div {int(rows_per_part)}") + 1)   # integer division
                 .drop("_pid", "_local", "_offset"))
     return numbered, int(total)
 
