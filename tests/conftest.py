@@ -11,7 +11,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from reelhouse.session import local_session
 
-    s = local_session(cores=4, shuffle_partitions=8)
+    s = local_session(cores="4,2", shuffle_partitions=8)   # one task retry allowed
     yield s
     s.stop()
 
