@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import csv_stem, padded_datetime
-from ..session import work_dir
+from ..session import remove_path, work_dir
 
 CSV_OPTIONS = {
     "header": "true",
@@ -83,7 +83,8 @@ def part_size(rows_per_part: int, batch_rows: int | None = None) -> int:
 
 
 def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None = None,
-                num_partitions: int | None = None, batch_rows: int | None = None) -> tuple[DataFrame, int]:
+                num_partitions: int | None = None, batch_rows: int | None = None,
+                stage_path: str | None = None) -> tuple[DataFrame, int]:
     """Adds ``_rn`` (1-based global row number) and ``part``; returns (df, total rows).
 
     The ordered rows are written once as a Parquet table under the shared
@@ -103,7 +104,7 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
         staged = staged.repartitionByRange(n, *[F.col(c) for c in order_by]).sortWithinPartitions(*order_by)
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    path = work_dir(spark, "export-stage")
+    path = stage_path or work_dir(spark, "export-stage")
     staged.select("*", pid.alias("_pid"), local.alias("_local")).write.parquet(path)
     staged = spark.read.parquet(path)
     # One row per task: cached so the total and the offsets share one pass.
@@ -141,7 +142,8 @@ def export_csv(df: DataFrame, out_dir: str, file_name: str, rows_per_part: int =
     stem = file_name[:-4] if file_name.endswith(".csv") else file_name
     staging = f"{out_dir.rstrip('/')}/_staging_{stem}"
     rows_per_part = part_size(rows_per_part, batch_rows) if split else 1 << 62
-    numbered, total = number_rows(data, rows_per_part, order_by, num_partitions)
+    stage = work_dir(spark, "export-stage")
+    numbered, total = number_rows(data, rows_per_part, order_by, num_partitions, stage_path=stage)
     n_parts = max(1, -(-total // rows_per_part))
     if total == 0:
         data.limit(0).coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{staging}/part=1")
@@ -166,6 +168,7 @@ def export_csv(df: DataFrame, out_dir: str, file_name: str, rows_per_part: int =
         fs.rename(srcs[0], dest)
         files.append(dest.toString())
     fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    remove_path(spark, stage)   # the numbered staging table has no reader left
     return ExportResult(files=files, n_rows=total, n_parts=n_parts)
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import dash_date
 from ..functions.lookups import FOLDER
-from ..session import path_exists, work_dir
+from ..session import path_exists, remove_path, work_dir
 
 DAY_COL = "ingest_date"
 # Landing-format field: the per-record key of the original one-file-per-record
@@ -65,20 +65,22 @@ def with_day(df: DataFrame, day=None, ts_col: str | None = None) -> DataFrame:
     return df.withColumn(DAY_COL, F.lit(day_text(day)))
 
 
-def _merge_day(df: DataFrame, target: str, day: str) -> DataFrame:
-    """The day's landed records not re-landed now, plus the new rows (staged copy)."""
+def _merge_day(df: DataFrame, target: str, day: str) -> tuple[DataFrame, str | None]:
+    """The day's landed records not re-landed now, plus the new rows, and the
+    staging folder holding them (None when the day is new)."""
     spark = df.sparkSession
     day_dir = f"{target}/{DAY_COL}={day}"
     if not path_exists(spark, day_dir):
-        return df
+        return df, None
     old = (spark.read.option("pathGlobFilter", "*.json").text(day_dir)
            .select(F.from_json("value", df.schema).alias("r")).select("r.*")
            .join(df.select(RECORD), RECORD, "left_anti"))
     # Spark cannot overwrite a partition it is reading: stage the merged day first.
     stage = work_dir(spark, "landing-merge")
     old.unionByName(df).write.options(**JSON_WRITE_OPTIONS).json(stage)
-    return (spark.read.option("pathGlobFilter", "*.json").text(stage)
-            .select(F.from_json("value", df.schema).alias("r")).select("r.*"))
+    merged = (spark.read.option("pathGlobFilter", "*.json").text(stage)
+              .select(F.from_json("value", df.schema).alias("r")).select("r.*"))
+    return merged, stage
 
 
 def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = None,
@@ -95,10 +97,11 @@ def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = N
     again and keeps the day's other records. Without it the day is replaced.
     """
     target = entity_dir(base, entity)
+    stage = None
     if merge:
         if ts_col is not None or day is None or RECORD not in df.columns:
             raise ValueError("merge needs a fixed day and a _record column")
-        df = _merge_day(df, target, day_text(day))
+        df, stage = _merge_day(df, target, day_text(day))
     out = with_day(df, day, ts_col)
     if files_per_day:
         key = F.col(spread_col or df.columns[0])
@@ -109,6 +112,8 @@ def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = N
         .options(**JSON_WRITE_OPTIONS)
         .partitionBy(DAY_COL)
         .json(target))
+    if stage:
+        remove_path(df.sparkSession, stage)   # the merged day is written; its staged copy is dead
     return target
 
 
