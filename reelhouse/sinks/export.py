@@ -100,8 +100,12 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
     spark = df.sparkSession
     staged = df
     if order_by:
-        n = num_partitions or spark.sparkContext.defaultParallelism
-        staged = staged.repartitionByRange(n, *[F.col(c) for c in order_by]).sortWithinPartitions(*order_by)
+        keys = [F.col(c) for c in order_by]
+        # Without an explicit count Spark uses spark.sql.shuffle.partitions and AQE
+        # coalesces adjacent ranges (order is kept); the numbering below reads the
+        # partitions as they finally are.
+        ranged = staged.repartitionByRange(num_partitions, *keys) if num_partitions else staged.repartitionByRange(*keys)
+        staged = ranged.sortWithinPartitions(*order_by)
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
     path = stage_path or work_dir(spark, "export-stage")
