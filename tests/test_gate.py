@@ -70,3 +70,8 @@ def test_connector_kinds(spark, tmp_path):
 def test_shared_folder_required_off_local(spark):
     from reelhouse.session import checkpoint_root
     assert checkpoint_root(spark)            # local mode: a private folder is fine
+
+
+def test_positional_parameters(spark):
+    assert sql_gate(spark, "SELECT ? > 3 AS v", args=[5]) is True
+    assert gate_frame(spark, "SELECT ? AS v", args=["0"]).first().passed is True   # bool('0') is True
