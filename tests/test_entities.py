@@ -185,3 +185,25 @@ def test_nested_pruning_reaches_the_json_scan(spark, tmp_path):
     plan = ent.video._jdf.queryExecution().executedPlan().toString()
     schemas_read = [line for line in plan.split("\n") if "ReadSchema" in line]
     assert schemas_read and not any("streams" in s or "captions" in s or "avatar" in s for s in schemas_read)
+
+
+def test_salting_spreads_a_hot_channel_over_tasks(spark):
+    from pyspark.sql import functions as F
+    videos = [video(f"h{i}", channel="hot") for i in range(60)] + [video(f"c{i}", channel=f"c{i}") for i in range(20)]
+    chans = [channel("hot")] + [channel(f"c{i}") for i in range(20)]
+    v = raw.parse_videos(json_rows(spark, videos))
+    c = raw.parse_channels(json_rows(spark, chans))
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
+                                            "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")      # force a shuffled join
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        def tasks_for_hot(**kw):
+            j = entities.join_documents(v, c, **kw).where("channel_url = 'url/hot'")
+            return j.select(F.spark_partition_id().alias("p")).distinct().count()
+        plain = tasks_for_hot()
+        salted = tasks_for_hot(hot_share=0.3, hot_buckets=8)
+    finally:
+        for k, val in saved.items():
+            spark.conf.set(k, val)
+    assert salted > 1 and salted >= plain
