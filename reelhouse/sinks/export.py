@@ -100,12 +100,17 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
     spark = df.sparkSession
     staged = df
     if order_by:
-        keys = [F.col(c) for c in order_by]
+        # Rows with equal order keys are spread by a hash of the row: a key value
+        # holding a third of all rows must not become one range partition (ties
+        # have no defined order, so this keeps the requested ordering).
+        hashable = [F.col(f"`{f.name}`") for f in df.schema.fields
+                    if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+        keys = [F.col(c) for c in order_by] + ([F.xxhash64(*hashable)] if hashable else [])
         # Without an explicit count Spark uses spark.sql.shuffle.partitions and AQE
         # coalesces adjacent ranges (order is kept); the numbering below reads the
         # partitions as they finally are.
         ranged = staged.repartitionByRange(num_partitions, *keys) if num_partitions else staged.repartitionByRange(*keys)
-        staged = ranged.sortWithinPartitions(*order_by)
+        staged = ranged.sortWithinPartitions(*keys)
     pid = F.spark_partition_id()
     local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
     path = stage_path or work_dir(spark, "export-stage")

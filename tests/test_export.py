@@ -88,3 +88,19 @@ def test_exact_parts_survive_a_failed_task(spark, tmp_dir):
     assert sizes == [5, 5, 5, 5, 3]
     ids = sorted(int(r[0]) for f in res.files for r in read_file(f)[1:])
     assert ids == list(range(23))
+
+
+def test_hot_order_key_spreads_over_ranges(spark, tmp_dir):
+    """A single order-key value holding most rows is not one range partition."""
+    from pyspark.sql import functions as F
+    df = spark.range(0, 400, numPartitions=4).select(
+        F.when(F.col("id") < 300, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    stage = os.path.join(tmp_dir, "stage")
+    numbered, total = export.number_rows(df, 100, order_by=["k"], num_partitions=4, stage_path=stage)
+    per_range = spark.read.parquet(stage).groupBy("_pid").count().collect()
+    assert total == 400 and len(per_range) > 1 and max(r["count"] for r in per_range) < 300
+    rows = numbered.orderBy("_rn").select("k").collect()
+    keys = [r.k for r in rows]
+    assert keys == sorted(keys)                      # the requested order holds across parts
+    res = export.export_csv(df, tmp_dir, "h.csv", rows_per_part=100, order_by=["k"], num_partitions=4)
+    assert sorted(len(read_file(f)) - 1 for f in res.files) == [100, 100, 100, 100]
