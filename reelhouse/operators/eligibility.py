@@ -38,6 +38,7 @@ def no_itag_22(streams: Column | str) -> Column:
 
 
 def _key_lengths(candidates: DataFrame, key: str) -> list[int]:
+    """Distinct key lengths: at most as many values as the longest key has characters."""
     rows = candidates.select(F.length(key).alias("n")).where("n IS NOT NULL").distinct().collect()
     return sorted(int(r.n) for r in rows)
 
