@@ -240,6 +240,21 @@ def metadata_end_to_end(spark, d):
         "entity", "n_rows", F.coalesce("n_failed_files", F.lit(0)).cast("bigint").alias("n_failed_files"))
 
 
+@query("landing_same_day_rerun", f"""
+SELECT CAST(o.o_orderkey AS VARCHAR) AS VideoID, 'C' || CAST(o.o_custkey AS VARCHAR) AS ChannelID,
+       o.o_custkey AS Length, {_ymd('o.o_orderdate', '/')} AS Publish_date, o.o_orderpriority AS Title,
+       o.o_orderkey AS Views, CAST(NULL AS VARCHAR) AS Description, {RUN_TS_SQL} AS Timestamp
+{_VIDEO_JOIN}""")
+def landing_same_day_rerun(spark, d):
+    """Two ingests on one day (open orders first, then every order), one load: each video once."""
+    root = work_dir(spark, "rerun")
+    orders, chans = t(spark, d, "orders"), standins.channel_docs(t(spark, d, "customer"))
+    for batch in (orders.where("o_orderstatus = 'O'"), orders):
+        ingest_metadata(spark, standins.video_docs(batch), chans, root + "/landing", day="2024-1-1", run_ts=RUN_TS)
+    load_warehouse(spark, root + "/landing", root + "/warehouse", day="2024-1-1")
+    return spark.read.parquet(root + "/warehouse/video")
+
+
 # J2 landing / J3 load / J4 incremental ---------------------------------------------------
 _EVENT_DAY = _ymd("ts", "-")
 
