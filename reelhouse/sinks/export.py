@@ -116,8 +116,8 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
     path = stage_path or work_dir(spark, "export-stage")
     staged.select("*", pid.alias("_pid"), local.alias("_local")).write.parquet(path)
     staged = spark.read.parquet(path)
-    # One row per task: cached so the total and the offsets share one pass.
-    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).cache()
+    # One row per task. Not cached: recomputing it reads only the small _pid column.
+    counts = staged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = counts.select("_pid", (F.sum("_n").over(w) - F.col("_n")).alias("_offset"))
     total = counts.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]

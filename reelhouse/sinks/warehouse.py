@@ -20,6 +20,8 @@ report.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -103,7 +105,8 @@ def strict_load(spark: SparkSession, path: str, schema: T.StructType, table_path
     """Read a landing folder (optionally one day), check, append good files.
 
     Returns ``(rows, report)``. With ``table_path`` the rows are appended
-    there (SNK-2; a re-run appends again, as the append-only log does).
+    there (SNK-2; a re-run appends again, as the append-only log does) and
+    the per-file report is appended to ``<table_path>_load_report``.
     """
     lines = read_lines(spark, path, day)
     checked = line_checks(lines, schema).select("file_path", "file_name", "v", "is_bad")
@@ -119,9 +122,13 @@ def strict_load(spark: SparkSession, path: str, schema: T.StructType, table_path
                 raise LoadError(f"strict load failed on {failed[0].file_name}")
         rows = strict_rows(checked, report, schema)
         if table_path:
-            report = report.persist()
             append(rows, table_path)
-            report.count()
+            # SNK-3 as a durable audit table next to the loaded one (one row per file and load).
+            load_id = uuid.uuid4().hex
+            report_path = f"{table_path.rstrip('/')}_load_report"
+            report.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(report_path)
+            report = (spark.read.parquet(report_path).where(F.col("load_id") == load_id)
+                      .drop("load_id"))
     finally:
         if table_path:
             checked.unpersist()
