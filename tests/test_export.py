@@ -104,3 +104,11 @@ def test_hot_order_key_spreads_over_ranges(spark, tmp_dir):
     assert keys == sorted(keys)                      # the requested order holds across parts
     res = export.export_csv(df, tmp_dir, "h.csv", rows_per_part=100, order_by=["k"], num_partitions=4)
     assert sorted(len(read_file(f)) - 1 for f in res.files) == [100, 100, 100, 100]
+
+
+def test_file_names_column(spark):
+    parts = spark.createDataFrame([(1,), (2,), (3,)], "part bigint")
+    got = sorted(r.file_name for r in export.file_names(parts, "out").collect())
+    assert got == ["out-part1.csv", "out-part2.csv", "out-part3.csv"]
+    one = spark.createDataFrame([(1,)], "part bigint")
+    assert [r.file_name for r in export.file_names(one, "out").collect()] == ["out.csv"]

@@ -101,3 +101,25 @@ def test_video_listed_twice_lands_once(spark, tmp_dir):
     jobs.load_warehouse(spark, base, wh, day=dt.date(2023, 6, 4))
     assert sorted(r.VideoID for r in spark.read.parquet(f"{wh}/video").collect()) == ["a", "b"]
     assert spark.read.parquet(f"{wh}/thumbnail").count() == 4
+
+
+def test_ingest_survives_a_failed_task(spark, tmp_dir):
+    """A task of the staged ingest fails once (as on a lost executor); the landing is complete."""
+    from pyspark import TaskContext
+    from pyspark.sql import functions as F
+
+    @F.udf("string")
+    def flaky(x):
+        ctx = TaskContext.get()
+        if ctx.partitionId() == 0 and ctx.attemptNumber() == 0:
+            raise RuntimeError("simulated executor loss")
+        return x
+
+    docs = raw.parse_videos(json_rows(spark, [video(f"v{i}") for i in range(12)])).repartition(3)
+    docs = docs.withColumn("title", flaky("title"))
+    chans = raw.parse_channels(json_rows(spark, [channel("ch1")]))
+    base, wh = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "wh")
+    jobs.ingest_metadata(spark, docs, chans, base, day="2023-6-4", run_ts=1.0)
+    jobs.load_warehouse(spark, base, wh, day="2023-6-4")
+    assert spark.read.parquet(f"{wh}/video").count() == 12
+    assert spark.read.parquet(f"{wh}/thumbnail").count() == 24
