@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.lookups import SEARCH_TERM
-from ..session import work_dir
+from ..session import path_exists, work_dir
 from ..sources import raw
 
 CHANNEL_URL_PREFIX = "https://video.example.com/channel/C"
@@ -131,10 +131,24 @@ def channel_payloads(customer: DataFrame) -> DataFrame:
     return spread(customer).select(F.to_json(doc).alias("value"))
 
 
+_LANDED: list[tuple[str, DataFrame, str]] = []   # (application, payload plan, folder)
+
+
 def land_documents(payloads: DataFrame, name: str) -> str:
-    """Write JSON document lines as raw NDJSON files (the at-rest form J1 reads)."""
-    path = work_dir(payloads.sparkSession, f"raw-{name}")
+    """Write JSON document lines as raw NDJSON files (the at-rest form J1 reads).
+
+    Within one application the same payload plan (``sameSemantics``) is
+    written once and its folder reused, so queries sharing a stand-in input
+    do not derive and write it again.
+    """
+    spark = payloads.sparkSession
+    app = spark.sparkContext.applicationId
+    for app_id, plan, path in _LANDED:
+        if app_id == app and plan.sameSemantics(payloads) and path_exists(spark, path):
+            return path
+    path = work_dir(spark, f"raw-{name}")
     payloads.write.mode("overwrite").text(path)
+    _LANDED.append((app, payloads, path))
     return path
 
 
