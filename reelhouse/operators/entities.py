@@ -2,18 +2,18 @@
 
 Plan shape (one scan of each input):
 
-* channel documents are reduced to one narrow row per ``channel_url``
+* channel documents are projected to one narrow row per ``channel_url``
   (channel fields + "grid path present" flag), and separately their grid
   items are exploded and reduced to one row per ``(channel_url, videoId)``
   with the *last* matching description (``max_by`` on the position) and a
-  "matching item without text run" flag. Both reductions aggregate
-  map-side before the shuffle.
+  "matching item without text run" flag; that reduction aggregates
+  map-side before its shuffle.
 * videos join the narrow channel row on ``channel_url`` (inner: a video
   whose channel page is missing yields no entity at all) and the
   description row on ``(channel_url, video_id)`` (left). The second key is
-  composite, so a channel holding a third of all videos still spreads
-  over many tasks; the first join is left to Spark's size-checked
-  broadcast / AQE skew-join split.
+  composite, so when it shuffles a channel holding a third of all videos
+  spreads over many tasks; the first join is left to Spark's size-checked
+  broadcast / AQE skew-join split, or salted explicitly (``hot_share``).
 * the stage cascade (H1) is four boolean columns computed on the joined
   row, arrays are validated with ``forall`` *before* exploding, and the
   four tables are projections of that one row set. No Python UDF.
