@@ -121,15 +121,15 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     Returns (doc_id, n_chars, copies, sigs, edited, next_sigs); the edited text has its last floor(n / 2)
     code points replaced by the first as many of the next document.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), utf8(text).alias("text"))
-    base = base.select("doc_id", F.col("doc_id").isNull().alias("k0"), F.coalesce("doc_id", F.lit(0)).alias("k1"), F.xxhash64("text").alias("h"),
-                       F.char_length("text").cast("long").alias("n"), "text")
-    keys = stage(_ordered_keys(base.drop("doc_id", "text")), "spotsigs-order")
+    kind = docs.schema[id_col].dataType
+    base = docs.select(F.col(id_col).isNull().alias("k0"), F.coalesce(id_col, F.lit(0)).alias("k1"), F.xxhash64(utf8(text)).alias("h"), utf8(text).alias("text"))
+    keys = stage(_ordered_keys(base.select("k0", "k1", "h", F.char_length("text").cast("long").alias("n"))), "spotsigs-order")
     once = W.partitionBy("k0", "k1", "h").orderBy("k0", "k1", "h")
     joined = base.join(keys, ["k0", "k1", "h"]).withColumn("_rn", F.row_number().over(once)).filter("_rn = 1").drop("_rn")
-    signed = with_signatures(joined, "text", "sigs")
-    half = F.floor(F.col("n") / 2).cast("int")
-    own = signed.select("k0", "k1", "h", "doc_id", "n", "copies", "sigs", F.substring("text", F.lit(1), F.col("n").cast("int") - half).alias("head"), half.alias("half"))
+    # Both sides below read the same columns of the texts, so Spark shuffles the texts once and reuses that.
+    signed = with_signatures(joined, "text", "sigs").withColumn("n", F.char_length("text"))
+    head = F.substring("text", F.lit(1), F.col("n") - F.floor(F.col("n") / 2).cast("int"))
+    own = signed.select("k0", "k1", "h", F.when(~F.col("k0"), F.col("k1")).cast(kind).alias("doc_id"), F.col("n").cast("long").alias("n"), "copies", "sigs", head.alias("head"))
     following = signed.select(F.col("p0").alias("k0"), F.col("p1").alias("k1"), F.col("ph").alias("h"),
                               F.substring("text", F.lit(1), F.floor(F.col("before") / 2).cast("int")).alias("start"), F.col("sigs").alias("next_sigs"))
     both = own.join(following, ["k0", "k1", "h"])
