@@ -127,6 +127,7 @@ def train(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id",
     counts = words.select("_lang", "term", "size", "n").unionByName(grams.select("_lang", "term", "size", "n"))
     top = W.partitionBy("_lang", "size").orderBy(F.desc("n"), "term")
     kept = (counts.withColumn("_k", F.row_number().over(top))
+            .filter(F.col("_k") <= max(WORDS, GRAMS))     # a fixed rank: each task cuts its share before the shuffle
             .filter(F.col("_k") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)))
     totals = {(r["_lang"], r["size"]): r["n"] for r in counts.groupBy("_lang", "size").agg(F.sum("n").alias("n")).collect()}
     entries = kept.select("_lang", "size", "term", "n").toArrow()         # bounded: LANGS * (WORDS + LONGEST * GRAMS)
