@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelhouse.session import work_dir
@@ -66,3 +67,20 @@ def free_name(df: DataFrame, name: str) -> str:
     while name.lower() in taken:
         name += "_"
     return name
+
+
+def sampled_ids(rows: DataFrame, group: str, id_col: str, limit: int) -> DataFrame:
+    """(group, id, rank): at most ``limit`` ids of each group, by a hash of the id; ranks begin at 1.
+
+    ``rows`` has few groups (labels, languages). Their sizes are counted first, with map-side combining;
+    a hash threshold then lets through little more than ``limit`` ids of a group, so that however many rows
+    a group has, the ranking sees a bounded number.
+    """
+    sizes = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
+    place = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 32))
+    share = F.lit(0).cast("long")
+    for value, n in sizes.items():
+        share = F.when(F.col(group) == F.lit(value), F.lit(int((1 << 32) * min(1.0, (1.1 * limit + 100) / n)))).otherwise(share)
+    let = rows.filter(place < share).select(group, id_col).distinct()
+    ranked = W.partitionBy(group).orderBy(place, id_col)
+    return let.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= limit)

@@ -33,7 +33,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelhouse.llm.common import slices
+from reelhouse.llm.common import sampled_ids, slices
 
 #: Bounds of the sample and of the model, for each language.
 ROWS_PER_LANG, WORDS, GRAMS, LONGEST, LANGS = 2_000, 30_000, 15_000, 4, 64
@@ -112,10 +112,8 @@ def train(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id",
         prior[at[r["lang"]]] = np.log(r["count"])
     prior -= np.logaddexp.reduce(prior)
 
-    order = W.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    ids = (labelled.select(F.col(lang).alias("_lang"), F.col(id_col).alias("_id")).filter(F.col("_lang").isin(*langs))
-           .withColumn("_k", F.row_number().over(order)).filter(F.col("_k") <= rows)
-           .select("_id", "_lang").distinct())                            # bounded by rows * LANGS
+    named = labelled.select(F.col(lang).alias("_lang"), F.col(id_col).alias("_id")).filter(F.col("_lang").isin(*langs))
+    ids = sampled_ids(named, "_lang", "_id", rows).drop("rank")            # at most rows * LANGS
     texts = labelled.select(F.col(id_col).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
     sample = texts.join(F.broadcast(ids), ["_id", "_lang"])
     words = sample.select("_lang", _words(F.col("_text")).alias("term")).groupBy("_lang", "term").agg(F.count("*").alias("n")).withColumn("size", F.lit(0))

@@ -26,10 +26,11 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reelhouse.llm.common import slices
+from reelhouse.llm.common import sampled_ids, slices, stage
 
 #: Bounds of the labelled sample, for each class.
 SAMPLE_ROWS, SAMPLE_BYTES = 2_000, 8 << 20
@@ -106,15 +107,14 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, where: Column, id_col: s
     The choice is made on ids and lengths; only then are the chosen texts read, through a
     broadcast of at most ``2 * rows`` ids.
     """
-    from pyspark.sql import Window as W
-
     marked = (labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id"))
               .agg(F.max(label).cast("int").alias("_y")))     # one label for an id: 1 if any row says so
     lengths = docs.filter(where).select(F.col(id_col).alias("_id"), F.octet_length(text).alias("_n")).filter("_n > 0")
-    ranked = W.partitionBy("_y").orderBy(F.xxhash64("_id"), "_id", "_n")
-    top = lengths.join(marked, "_id").withColumn("_k", F.row_number().over(ranked)).filter(F.col("_k") <= rows)
-    chosen = top.withColumn("_sum", F.sum("_n").over(W.partitionBy("_y").orderBy("_k"))).filter(F.col("_sum") - F.col("_n") < size)
-    chosen = chosen.groupBy("_id").agg(F.min("_y").alias("_y"))   # bounded by 2 * rows
+    known = stage(lengths.join(marked, "_id"), "quality-labelled")
+    top = sampled_ids(known, "_y", "_id", rows)                 # at most 2 * rows ids
+    sized = known.join(F.broadcast(top), ["_y", "_id"]).groupBy("_y", "_id", "rank").agg(F.max("_n").alias("_n"))
+    chosen = sized.withColumn("_sum", F.sum("_n").over(W.partitionBy("_y").orderBy("rank"))).filter(F.col("_sum") - F.col("_n") < size)
+    chosen = chosen.select("_id", "_y")
     texts = docs.filter(where).select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
     return texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.max("_y").alias("_y"), F.max("_text").alias("_text"))
 

@@ -193,6 +193,10 @@ def _long(bits) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
+def _flipped(part: int, own: Column):
+    return lambda flip: F.struct(F.lit(part).alias("part"), own.bitwiseXOR(flip).alias("value"))
+
+
 def _values(parts: list[tuple[list[int], int]], fp: Column, near: bool) -> Column:
     """Array of (part, value): the fingerprint's own values, or all within the part's threshold."""
     out = []
@@ -202,7 +206,7 @@ def _values(parts: list[tuple[list[int], int]], fp: Column, near: bool) -> Colum
         if len(flips) == 1:
             out.append(F.array(F.struct(F.lit(i).alias("part"), own.alias("value"))))
         else:
-            out.append(F.transform(F.array(*[F.lit(x) for x in flips]), lambda x, own=own, i=i: F.struct(F.lit(i).alias("part"), own.bitwiseXOR(x).alias("value"))))
+            out.append(F.transform(F.array(*[F.lit(x) for x in flips]), _flipped(i, own)))
     return F.concat(*out)
 
 
