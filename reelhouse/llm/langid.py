@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from reelhouse.llm.common import sampled_ids, slices
 
 #: Bounds of the sample and of the model, for each language.
-ROWS_PER_LANG, WORDS, GRAMS, LONGEST, LANGS = 2_000, 30_000, 15_000, 4, 64
+ROWS_PER_LANG, WORDS, GRAMS, LONGEST, LANGS = 1_500, 20_000, 8_000, 4, 64
 UNKNOWN = "und"
 MEMO = 200_000
 

@@ -30,6 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from reelhouse.llm.common import stage, utf8
+from reelhouse.llm.components import components
 
 # Common words that serve as anchors, by language.
 ANCHORS = """
@@ -144,3 +145,44 @@ def fingerprints_with_next(docs: DataFrame, id_col: str = "doc_id", text: str =
         fingerprint("edited_sigs").alias("edited_fingerprint"), pruned_jaccard("sigs", "edited_sigs").alias("near_edited"),
         pruned_jaccard("sigs", "next_sigs").alias("near_next"), length_class("sigs").alias("length_class"), "copies")
     return out.withColumn("_copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))).drop("_copy", "copies")
+
+
+# --- near-duplicates --------------------------------------------------------------------------
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of set keys whose sets reach the threshold."""
+    left = sets.select(F.col("set").alias("a"), F.col("sigs").alias("sa"))
+    right = sets.select(F.col("set").alias("b"), F.col("sigs").alias("sb"))
+    return pairs.distinct().join(left, "a").join(right, "b").filter(pruned_jaccard("sa", "sb", threshold) >= threshold).select("a", "b")
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, group) for each row: ``group`` is the smallest id that links of similarity ``threshold`` lead to.
+
+    Each set meets others at its rarest signatures, in its own length class and the next one up. First every
+    set is held against one centre of such a meeting place, which joins the members of a large group by few
+    links; then only sets of different groups are compared. Empty texts are one group.
+    """
+    rows = with_signatures(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("_text")), "_text", "sigs")
+    rows = stage(rows.select("doc_id", "sigs", F.unhex(F.md5(fingerprint("sigs").cast("binary"))).alias("set")), "spotsigs-rows")
+    sets = stage(rows.groupBy("set").agg(F.min("doc_id").alias("id"), F.first("sigs").alias("sigs")), "spotsigs-sets")
+    each = sets.select("set", F.explode("sigs").alias("sig"))
+    seen = stage(each.groupBy("sig").agg(F.count("*").alias("df")), "spotsigs-df")
+    ranked = each.join(seen, "sig").groupBy("set").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("sigs"))
+    n = F.size("sigs")
+    rarest = F.slice("sigs", F.lit(1), n - F.ceil(n * threshold - 1e-9).cast("int") + 1)
+    places = stage(ranked.select("set", n.alias("n"), length_class("sigs", threshold).alias("class"), F.explode(rarest).alias("at"))
+                   .select("set", "n", "class", F.col("at.sig").alias("sig")), "spotsigs-places")
+    probes = places.select(F.col("set").alias("a"), F.col("n").alias("na"), "sig", F.explode(F.array("class", F.col("class") + 1)).alias("class"))
+    centres = places.groupBy("sig", "class").agg(F.min("set").alias("b"))
+    stars = components(_verified(probes.join(centres, ["sig", "class"]).filter("a <> b").select("a", "b"), sets, threshold))
+    named = stage(sets.select("set").join(stars, F.col("set") == F.col("node"), "left").select("set", F.coalesce("component", "set").alias("comp")), "spotsigs-stars")
+    left = probes.join(named.select(F.col("set").alias("a"), F.col("comp").alias("ca")), "a")
+    right = places.join(named, "set").select("sig", "class", F.col("set").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb"))
+    met = left.join(right, ["sig", "class"]).filter((F.col("ca") != F.col("cb")) & (F.col("na") >= F.col("nb") * threshold - 1e-9) & (F.col("nb") >= F.col("na") * threshold - 1e-9))
+    links = stage(_verified(met.select("a", "b"), sets, threshold), "spotsigs-links")
+    between = links.join(named.select(F.col("set").alias("a"), F.col("comp").alias("ca")), "a").join(named.select(F.col("set").alias("b"), F.col("comp").alias("cb")), "b")
+    joined = components(between.select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    groups = stage(named.join(joined, F.col("comp") == F.col("node"), "left").select("set", F.coalesce("component", "comp").alias("comp")).join(sets.select("set", "id"), "set"), "spotsigs-groups")
+    least = groups.groupBy("comp").agg(F.min("id").alias("group"))
+    return rows.select("doc_id", "set").join(stage(groups.join(least, "comp").select("set", "group"), "spotsigs-least"), "set").select("doc_id", "group")
