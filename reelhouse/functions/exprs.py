@@ -96,7 +96,7 @@ def iso_in_days(ts: Column | str, days: int = 10) -> Column:
 def truthy(c: Column | str, dtype: T.DataType) -> Column:
     """``bool(value)`` as Python computes it for the fetched cell.
 
-    Numbers: non-zero; strings / binary / arrays / maps: non-empty;
+    Numbers and intervals: non-zero; strings / binary / arrays / maps: non-empty;
     booleans: themselves; null: false. No SQL cast: ``bool('0')`` is True
     while ``CAST('0' AS BOOLEAN)`` is false.
     """
@@ -105,6 +105,10 @@ def truthy(c: Column | str, dtype: T.DataType) -> Column:
         out = x
     elif isinstance(dtype, T.NumericType):
         out = x != 0
+    elif isinstance(dtype, T.DayTimeIntervalType):
+        out = x != F.expr("INTERVAL '0' SECOND")
+    elif isinstance(dtype, T.YearMonthIntervalType):
+        out = x != F.expr("INTERVAL '0' MONTH")
     elif isinstance(dtype, (T.StringType, T.BinaryType)):
         out = F.length(x) > 0
     elif isinstance(dtype, (T.ArrayType, T.MapType)):

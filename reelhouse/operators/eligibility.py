@@ -5,21 +5,16 @@ age-restricted (FLT-2), it is already stored (FLT-3, a substring test
 against every object name), or it has no progressive mp4 stream with itag
 22 (FLT-4; a missing stream list counts as "no stream").
 
-The substring test (JOIN-2) has two plans:
-
-* ``ngram`` (default, any scale): every object name is exploded into its
-  substrings of the candidate-key lengths that occur, the substrings are
-  de-duplicated (partial aggregation map-side, so a substring shared by a
-  third of all names collapses before the shuffle) and the candidates are
-  matched by *equality*, i.e. a hash / sort-merge join instead of a nested
-  loop. The set of key lengths is a tiny aggregate (bounded by the longest
-  key), the only value brought to the driver.
-* ``contains``: a broadcast nested-loop join on ``contains``. It is used only
-  when the listing is proven small (a row count below ``max_broadcast_rows``);
-  beyond that the ngram plan runs instead.
+The substring test (JOIN-2) never compares every candidate with every name:
+each object name is exploded into its substrings of the candidate-key
+lengths that occur, the substrings are de-duplicated (partial aggregation
+map-side, so a substring shared by a third of all names collapses before the
+shuffle) and the candidates are matched by *equality*, i.e. a hash /
+sort-merge join instead of a nested loop. The set of key lengths is a tiny
+aggregate (bounded by the longest key), the only value brought to the driver.
 
 Substring false positives (an id inside a longer id or a metadata file
-name) are kept in both plans: that is the rule being rebuilt.
+name) are kept: that is the rule being rebuilt.
 """
 
 from __future__ import annotations
@@ -27,9 +22,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_BROADCAST_ROWS = 100_000
-
-
 def no_itag_22(streams: Column | str) -> Column:
     """FLT-4: true when no progressive mp4 stream has itag 22 (null list -> true)."""
     s = F.col(streams) if isinstance(streams, str) else streams
@@ -71,24 +63,16 @@ def stored_keys(candidates: DataFrame, names: DataFrame, key: str = "video_id",
     return keys.join(grams, keys[key] == grams["gram"], "left_semi")
 
 
-def not_stored(candidates: DataFrame, names: DataFrame, key: str = "video_id", name_col: str = "path",
-               method: str = "ngram", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+def not_stored(candidates: DataFrame, names: DataFrame, key: str = "video_id", name_col: str = "path") -> DataFrame:
     """JOIN-2 / FLT-3: candidates whose key is a substring of no name."""
-    if method == "contains":
-        listing = names.select(F.col(name_col).alias("_name"))
-        if listing.count() <= max_broadcast_rows:
-            return candidates.join(F.broadcast(listing), F.col("_name").contains(F.col(key)), "left_anti")
-        method = "ngram"
-    if method != "ngram":
-        raise ValueError(f"unknown method {method!r}")
     # Match distinct keys first (a key repeated by a third of all candidates is
     # one row here), then drop the hits from the candidates.
     hits = stored_keys(candidates, names, key, name_col)
     return candidates.join(hits, key, "left_anti")
 
 
-def in_scope(listing: DataFrame, name_col: str = "path", scope: str | None = "Video/") -> DataFrame:
-    """H4: restrict the listing to a prefix; ``scope=None`` keeps every object."""
+def in_scope(listing: DataFrame, name_col: str = "path", scope: str | None = None) -> DataFrame:
+    """H4: every object, or those with the prefix ``scope``."""
     if scope is None:
         return listing
     return listing.where(F.col(name_col).startswith(scope))

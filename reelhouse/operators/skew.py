@@ -26,12 +26,8 @@ def hot_keys(df: DataFrame, key: str, min_share: float = 0.05) -> DataFrame:
     return counts.where(F.col("_n") >= total * F.lit(min_share)).select(key)
 
 
-MAX_HOT_KEYS = 100_000
-
-
 def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, buckets: int = 16,
-                how: str = "inner", salt_cols: list[str] | None = None,
-                max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                how: str = "inner", salt_cols: list[str] | None = None) -> DataFrame:
     """``big JOIN small USING (key)`` with hot keys split over ``buckets`` salts.
 
     ``small`` must hold at most one row per key (a lookup side); ``hot`` is a
@@ -41,10 +37,7 @@ def salted_join(big: DataFrame, small: DataFrame, key: str, hot: DataFrame, buck
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
     flag = hot.select(key).distinct().withColumn("_hot", F.lit(True))
-    # The hot list is broadcast: check its size first (hot_keys() bounds it by 1/share).
-    n_hot = flag.count()
-    if n_hot > max_hot_keys:
-        raise ValueError(f"{n_hot} hot keys exceed max_hot_keys={max_hot_keys}; raise min_share")
+    # Broadcast: hot_keys() bounds the list by 1 / min_share.
     cols = [F.col(c) for c in (salt_cols or big.columns)]
     b = (big.join(F.broadcast(flag), key, "left")
          .withColumn(SALT, F.when(F.col("_hot"), F.pmod(F.xxhash64(*cols), F.lit(buckets).cast("bigint")))

@@ -17,9 +17,9 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.lookups import SEARCH_TERM
 from ..operators import eligibility, entities
 from ..operators.gate import sql_gate as gate  # noqa: F401  (J9)
 from ..operators.reference import categories, channel_artwork  # noqa: F401  (J10 / J12)
@@ -34,13 +34,14 @@ WIRE_SCHEMA = {"video": schemas.VIDEO, "channel": schemas.CHANNEL, "caption": sc
 
 
 def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: DataFrame | str, landing_base: str,
-                    day=None, run_ts: float | None = None, first_page_only: bool = True,
+                    day=None, run_ts: float | None = None, first_page_only: bool = True, term: str = SEARCH_TERM,
                     stage: bool | str = True, hot_share: float | None = None,
                     parallel: int = 4) -> dict[str, str]:
     """J1 + J2: parse once, four projections, four day-partitioned landings.
 
     The joined rows are staged (``stage=True``: persisted; ``"checkpoint"``:
     reliable checkpoint) so the four writes share one scan and join.
+    ``first_page_only`` keeps the first results page of ``term``; other documents are not ingested.
     ``hot_share`` turns on salting of channels above that share of videos.
     With staging, the four landings are written concurrently (``parallel``
     threads) from the staged rows. Returns the landing folder per entity.
@@ -48,7 +49,7 @@ def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: Data
     v = raw.read_raw_videos(spark, videos) if isinstance(videos, str) else videos
     c = raw.read_raw_channels(spark, channels) if isinstance(channels, str) else channels
     if first_page_only:
-        v = raw.first_page(v)
+        v = raw.first_page(v, term)
     ent = entities.extract_entities(v, c, run_ts=run_ts, persist=stage, hot_share=hot_share,
                                     distinct_videos=True)
     day = landing.day_text(day) if day is not None else landing.today_text(spark)
@@ -98,23 +99,19 @@ def load_warehouse(spark: SparkSession, landing_base: str, warehouse_base: str,
     return out
 
 
-def load_incremental(spark: SparkSession, landing_base: str, warehouse_base: str, checkpoint_base: str,
-                     name: str, state_days: int = 2) -> int:
+def load_incremental(spark: SparkSession, landing_base: str, warehouse_base: str, checkpoint_base: str, name: str) -> int:
     """J4: append records of landing files not seen by earlier runs (stream, availableNow).
 
-    Records are taken once per (record, day): a same-day re-run that rewrote
-    the day's files does not append the records it kept.
+    Every file is checked as in the batch load. Records are taken once per
+    (record, day), in whatever order the days arrive: a same-day re-run that
+    rewrote the day's files does not append the records it kept. Returns the rows written.
     """
-    schema = T.StructType([*WIRE_SCHEMA[name].fields, T.StructField(landing.RECORD, T.StringType()),
-                           T.StructField(landing.DAY_COL, T.StringType())])
-    return incremental.load_new_files(spark, landing.entity_dir(landing_base, name), schema,
-                                      f"{warehouse_base.rstrip('/')}/{name}_stream",
-                                      f"{checkpoint_base.rstrip('/')}/{name}",
-                                      transform=lambda s: incremental.once_per_record(s, state_days))
+    return incremental.load_new_records(spark, landing.entity_dir(landing_base, name), WIRE_SCHEMA[name],
+                                        f"{warehouse_base.rstrip('/')}/{name}_stream", f"{checkpoint_base.rstrip('/')}/{name}")
 
 
 def ingest_media(spark: SparkSession, videos: DataFrame, bucket_root: str, media_root: str, dest_root: str,
-                 source: str = "clips", scope: str | None = "Video/", run_ts=None) -> DataFrame:
+                 source: str = "clips", scope: str | None = None, run_ts=None) -> DataFrame:
     """J5-J7: eligible videos (not restricted, has itag 22, not stored) -> copy their media files.
 
     ``videos`` carries ``video_id, age_restricted, streams``; media files are

@@ -363,7 +363,38 @@ def incremental_load(spark, d):
     schema = incremental.with_day_column(ev.schema)
     for _ in range(2):  # the second run finds no new file and appends nothing
         incremental.load_new_files(spark, src, schema, root + "/table", root + "/ckpt")
-    return spark.read.parquet(root + "/table").drop("ingest_date")
+    return spark.read.parquet(root + "/table").drop("ingest_date", incremental.BATCH_COL)
+
+
+@query("incremental_late_day", """SELECT event_id, ts, user_id, event_type, value, props FROM events""")
+def incremental_late_day(spark, d):
+    """Later days are landed and loaded before the first one, which is landed twice; every row is loaded once."""
+    root = work_dir(spark, "late")
+    ev = t(spark, d, "events")
+    records = ev.withColumn(landing.RECORD, F.col("event_id").cast("string"))
+    first_day = F.to_date("ts") <= F.lit("2024-01-01").cast("date")
+    for arrival in (records.where(~first_day), records.where(first_day), records.where(first_day)):
+        landing.land(arrival, root, "video", ts_col="ts")
+        incremental.load_new_records(spark, landing.entity_dir(root, "video"), ev.schema, root + "/table", root + "/ckpt")
+    return spark.read.parquet(root + "/table").select(*ev.columns)
+
+
+@query("incremental_strict", """
+SELECT '2024-1-' || CASE lang WHEN 'de' THEN '1' WHEN 'en' THEN '2' WHEN 'es' THEN '3' ELSE '4' END AS ingest_date,
+       count(*) FILTER (WHERE lang <> 'de') AS n_loaded, bool_or(lang = 'de') AS failed
+FROM documents GROUP BY 1""")
+def incremental_strict(spark, d):
+    """Documents landed by language as days; 'de' lines carry an unexpected field, so its files load nothing and are reported."""
+    root = work_dir(spark, "incr-strict")
+    docs = t(spark, d, "documents")
+    lang = F.col("lang")
+    day = F.concat(F.lit("2024-1-"), F.when(lang == "de", "1").when(lang == "en", "2").when(lang == "es", "3").otherwise("4"))
+    lines = docs.select("doc_id", "text", "lang", "n_chars", F.when(lang == "de", F.lit("x")).alias("unexpected"), day.alias(landing.DAY_COL))
+    lines.write.partitionBy(landing.DAY_COL).json(root + "/landing")
+    incremental.load_new_records(spark, root + "/landing", _DOC_SCHEMA, root + "/table", root + "/ckpt")
+    rows = spark.read.parquet(root + "/table").groupBy(landing.DAY_COL).agg(F.count(F.lit(1)).alias("n"))
+    report = spark.read.parquet(root + "/table_load_report").groupBy(landing.DAY_COL).agg(F.bool_and(F.col("status") == "failed").alias("failed"))
+    return report.join(rows, landing.DAY_COL, "left").select(landing.DAY_COL, F.coalesce("n", F.lit(0)).alias("n_loaded"), "failed")
 
 
 def _dedup_two_arrivals(spark, d, mode: str) -> DataFrame:
@@ -407,13 +438,14 @@ def _listing(spark, d) -> DataFrame:
 
 @query("not_stored_contains", _NOT_STORED_SQL)
 def not_stored_contains(spark, d):
-    return eligibility.not_stored(_doc_candidates(spark, d), _listing(spark, d), method="contains") \
+    """The ``contains`` rule, by the equality plan (no nested loop)."""
+    return eligibility.not_stored(_doc_candidates(spark, d), _listing(spark, d)) \
         .select("doc_id", "video_id")
 
 
 @query("not_stored_ngram", _NOT_STORED_SQL)
 def not_stored_ngram(spark, d):
-    return eligibility.not_stored(_doc_candidates(spark, d), _listing(spark, d), method="ngram") \
+    return eligibility.not_stored(_doc_candidates(spark, d), _listing(spark, d)) \
         .select("doc_id", "video_id")
 
 
@@ -456,9 +488,12 @@ SELECT l_orderkey, NOT coalesce(bool_or(l_linenumber = 2 AND l_returnflag <> 'R'
        AS no_itag_22
 FROM lineitem GROUP BY l_orderkey""")
 def has_stream(spark, d):
-    li = t(spark, d, "lineitem")
-    hit = (F.col("l_linenumber") == 2) & (F.col("l_returnflag") != "R") & (F.col("l_linestatus") == "O")
-    return li.groupBy("l_orderkey").agg((~F.coalesce(F.bool_or(hit), F.lit(False))).alias("no_itag_22"))
+    """Stream lists from the lines of an order: line 2 is itag 22; returned ones are not progressive, others than 'O' no mp4."""
+    stream = F.struct(F.when(F.col("l_linenumber") == 2, 22).otherwise(18).alias("itag"),
+                      (F.col("l_returnflag") != "R").alias("progressive"),
+                      F.when(F.col("l_linestatus") == "O", "mp4").otherwise("webm").alias("file_extension"))
+    streams = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list(stream).alias("streams"))
+    return streams.select("l_orderkey", eligibility.no_itag_22("streams").alias("no_itag_22"))
 
 
 @query("any_all_flags", """

@@ -32,9 +32,12 @@ JSON_WRITE_OPTIONS = {
 
 
 def day_text(day) -> str:
-    """Unpadded ``Y-M-D`` text for a date / datetime / text value."""
+    """Unpadded ``Y-M-D`` text for a date / datetime / text value (padded text is accepted)."""
     if isinstance(day, str):
-        return day
+        parts = day.split("-")
+        if len(parts) != 3 or not all(p.isascii() and p.isdigit() for p in parts):
+            raise ValueError(f"not a day (Y-M-D): {day!r}")
+        return "-".join(str(int(p)) for p in parts)
     return f"{day.year}-{day.month}-{day.day}"
 
 

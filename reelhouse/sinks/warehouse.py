@@ -7,27 +7,27 @@ VARIANT parse of the line (H3):
 * malformed JSON or a non-object line         -> bad
 * a key that is not in the schema (exact case) -> bad
 * an array / object where a scalar is declared -> bad
+* a boolean in a numeric column               -> bad
 * a value an integer / float column cannot hold (quoted integers are
   coerced; fractions in an integer column are not) -> bad
 * missing keys and JSON nulls                 -> null (every column is nullable)
 
 A file with any bad line loads no rows and reports ``failed``; the others
-load and report ``loaded``. ``fail_fast=True`` raises on the first failed
-file instead. The report is one aggregate row per file; the load keeps
-only rows of good files through a join with that (file-count sized)
-report.
+load and report ``loaded``; a file without a line reports ``loaded`` with no
+rows. ``fail_fast=True`` raises on the first failed file instead. The report
+is one aggregate row per file; the load leaves out the failed files.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sinks.landing import LANDING_FIELDS
+from ..session import path_exists, work_dir
+from ..sinks.landing import DAY_COL, LANDING_FIELDS, day_text
 from ..sources.landed import read_lines
 
 
@@ -46,6 +46,8 @@ def _field_bad(v: Column, f: T.StructField) -> Column:
     nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
     if isinstance(dt, T.StringType):
         return present & nested
+    if isinstance(dt, T.NumericType):
+        nested = nested | (kind == "BOOLEAN")   # a cast would read true as 1
     if isinstance(dt, (T.LongType, T.IntegerType)):
         as_int = F.try_variant_get(v, path, dt.simpleString())
         as_dec = F.try_variant_get(v, path, "decimal(38,9)")
@@ -88,50 +90,62 @@ def typed_columns(schema: T.StructType) -> list[Column]:
     return out
 
 
-def load_report(checked: DataFrame) -> DataFrame:
-    """SNK-3: one row per file (file_path, file_name, n_rows, n_bad, status)."""
-    return (checked.groupBy("file_path", "file_name")
+def load_report(checked: DataFrame, *extra: str) -> DataFrame:
+    """SNK-3: one row per file (file_path, file_name, extra columns of the file, n_rows, n_bad, status)."""
+    return (checked.groupBy("file_path", "file_name", *extra)
             .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_bad").cast("bigint").alias("n_bad"))
             .withColumn("status", F.when(F.col("n_bad") == 0, "loaded").otherwise("failed")))
 
 
+def failed_files(checked: DataFrame, report: DataFrame) -> DataFrame:
+    """The lines of files that did not fail: an anti join with the failed files only.
+
+    That list is usually empty or short, so Spark broadcasts it by its size and no line
+    is shuffled; with a long one both sides are plain scans, which lets Spark split a file with many lines.
+    """
+    return checked.join(report.where("status = 'failed'").select("file_path"), "file_path", "left_anti")
+
+
+def empty_files(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
+    """Report rows of files without a line (names and lengths only; no content is read)."""
+    src = path if day is None else f"{path.rstrip('/')}/{DAY_COL}={day_text(day)}"
+    columns = "file_path string, file_name string, n_rows bigint, n_bad bigint, status string"
+    if not path_exists(spark, src):
+        return spark.createDataFrame([], columns)
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").load(src)
+             .where("length = 0").select("path"))
+    return files.select(F.col("path").alias("file_path"), F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
+                        F.lit(0).cast("bigint").alias("n_rows"), F.lit(0).cast("bigint").alias("n_bad"), F.lit("loaded").alias("status"))
+
+
 def strict_rows(checked: DataFrame, report: DataFrame, schema: T.StructType) -> DataFrame:
-    good_files = report.where("status = 'loaded'").select("file_path")
-    return checked.join(good_files, "file_path", "left_semi").select(*typed_columns(schema))
+    return failed_files(checked, report).select(*typed_columns(schema))
 
 
 def strict_load(spark: SparkSession, path: str, schema: T.StructType, table_path: str | None = None,
                 day: str | None = None, fail_fast: bool = False) -> tuple[DataFrame, DataFrame]:
     """Read a landing folder (optionally one day), check, append good files.
 
-    Returns ``(rows, report)``. With ``table_path`` the rows are appended
-    there (SNK-2; a re-run appends again, as the append-only log does) and
-    the per-file report is appended to ``<table_path>_load_report``.
+    Returns ``(rows, report)``. The report is written first, as a table
+    (``<table_path>_load_report``, or a staged one without ``table_path``);
+    the rows are then read with its failed files left out, so nothing is
+    held on executors between the two passes. With ``table_path`` the rows
+    are appended there (SNK-2; a re-run appends again, as the append-only
+    log does).
     """
-    lines = read_lines(spark, path, day)
-    checked = line_checks(lines, schema).select("file_path", "file_name", "v", "is_bad")
+    checked = line_checks(read_lines(spark, path, day), schema).select("file_path", "file_name", "v", "is_bad")
+    load_id = uuid.uuid4().hex
+    report_path = f"{table_path.rstrip('/')}_load_report" if table_path else work_dir(spark, "load-report")
+    reported = load_report(checked).unionByName(empty_files(spark, path, day))
+    reported.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(report_path)
+    report = spark.read.parquet(report_path).where(F.col("load_id") == load_id).drop("load_id")
+    if fail_fast:
+        failed = report.where("status = 'failed'").select("file_name").limit(1).collect()
+        if failed:
+            raise LoadError(f"strict load failed on {failed[0].file_name}")
+    rows = strict_rows(checked, report, schema)
     if table_path:
-        # The report and the appended rows come from one read of the files;
-        # a lost block is re-derived from the same files (deterministic).
-        checked = checked.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        report = load_report(checked)
-        if fail_fast:
-            failed = report.where("status = 'failed'").select("file_name").limit(1).collect()
-            if failed:
-                raise LoadError(f"strict load failed on {failed[0].file_name}")
-        rows = strict_rows(checked, report, schema)
-        if table_path:
-            append(rows, table_path)
-            # SNK-3 as a durable audit table next to the loaded one (one row per file and load).
-            load_id = uuid.uuid4().hex
-            report_path = f"{table_path.rstrip('/')}_load_report"
-            report.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(report_path)
-            report = (spark.read.parquet(report_path).where(F.col("load_id") == load_id)
-                      .drop("load_id"))
-    finally:
-        if table_path:
-            checked.unpersist()
+        append(rows, table_path)
     return rows, report
 
 

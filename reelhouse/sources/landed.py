@@ -12,19 +12,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists
-from ..sinks.landing import DAY_COL
+from ..sinks.landing import DAY_COL, day_text
 
 
 def read_day(spark: SparkSession, entity_path: str, schema: T.StructType, day: str | None = None) -> DataFrame:
     """Typed rows of the landed JSON (plus ``ingest_date``), pruned to ``day``."""
     full = T.StructType(list(schema.fields) + [T.StructField(DAY_COL, T.StringType(), True)])
     df = spark.read.schema(full).option("pathGlobFilter", "*.json").json(entity_path)
-    return df.where(F.col(DAY_COL) == F.lit(day)) if day is not None else df
+    return df.where(F.col(DAY_COL) == F.lit(day_text(day))) if day is not None else df
 
 
 def read_lines(spark: SparkSession, entity_path: str, day: str | None = None) -> DataFrame:
     """Raw lines with their file (``value, file_path, file_name``)."""
-    src = entity_path if day is None else f"{entity_path.rstrip('/')}/{DAY_COL}={day}"
+    src = entity_path if day is None else f"{entity_path.rstrip('/')}/{DAY_COL}={day_text(day)}"
     if not path_exists(spark, src):   # nothing landed for that day: nothing to load
         return spark.createDataFrame([], "value string, file_path string, file_name string")
     df = (spark.read.option("pathGlobFilter", "*.json").text(src)

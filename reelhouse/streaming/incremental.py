@@ -1,26 +1,40 @@
 """J4: incremental load with Structured Streaming (STR-1, STR-2).
 
 The daily "list the folder an hour later" hand-over becomes a file-source
-stream over the landing folder with the strict schema, ``.json`` files only,
-a checkpoint in the shared checkpoint folder and ``availableNow``: each run
-processes exactly the files not seen before and stops, so a second run with
-no new file appends nothing (unlike the batch append, which re-appends).
-
-Skipping what is already stored (STR-2) is a keyed de-duplication in the
-stream (``dropDuplicates`` keeps one row per key across all runs, in the
-state store of the checkpoint).
+stream over the landing folder, ``.json`` files only, a checkpoint in the
+shared checkpoint folder and ``availableNow``: each run processes exactly
+the files not seen before and stops, so a second run with no new file
+appends nothing (unlike the batch append, which re-appends).
+
+Every micro-batch writes one folder ``load_batch=<stream>-<batch id>`` of the
+target table, in overwrite mode: a batch that is retried after a lost driver
+or executor replaces its own rows and touches no others. The row count a run
+returns is counted by the writing job itself.
+
+``load_new_records`` is the strict load: files are read as text and every
+line is checked as in the batch load (a file is always in one micro-batch as
+a whole). A record (``_record``, day) is taken once, whatever the order in
+which days arrive: the batch is anti-joined with the target's keys, of which
+only the batch's own days are read. There is no watermark and no state.
+
+``load_new_files`` appends typed files as they are; skipping what is already
+stored (STR-2) is a keyed de-duplication, in the stream's state
+(``dropDuplicates``) or against the keys the target holds.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import path_exists
 from ..sinks.landing import DAY_COL, RECORD
+from ..sinks.warehouse import failed_files, line_checks, load_report, typed_columns
+
+BATCH_COL = "load_batch"
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json",
@@ -39,68 +53,105 @@ def with_day_column(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(DAY_COL, T.StringType(), True)])
 
 
-def _append_new_keys(table_path: str, keys: list[str], partition_by: list[str] | None):
-    """foreachBatch body: de-duplicate the batch, drop keys the target already holds, append."""
+def _run(stream: DataFrame, table_path: str, checkpoint: str, batch_rows: Callable[[DataFrame, str], DataFrame],
+         partition_by: list[str] | None) -> int:
+    """Process all new files; each batch overwrites its own folder. Returns the rows written."""
+    name = hashlib.sha1(checkpoint.rstrip("/").encode()).hexdigest()[:10]
+    written: list[int] = []
 
-    def run(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.dropDuplicates(keys)
-        if path_exists(spark, table_path):   # the first batch has no target yet
-            fresh = fresh.join(spark.read.parquet(table_path).select(*keys), keys, "left_anti")
-        w = fresh.write.mode("append")
+    def write(batch: DataFrame, epoch_id: int) -> None:
+        label = f"{name}-{epoch_id}"
+        seen = Observation()
+        w = batch_rows(batch, label).observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(table_path)
+        w.parquet(f"{table_path.rstrip('/')}/{BATCH_COL}={label}")
+        written.append(seen.get["n"])
 
-    return run
+    q = (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .foreachBatch(write).start())
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    return sum(written)
 
 
-def once_per_record(stream: DataFrame, state_days: int = 2) -> DataFrame:
-    """Each landed record once, even when a same-day re-run rewrites the day's files.
-
-    Keys are the record identity and its day; the day (as a timestamp) is also
-    the watermark, so de-dup state older than ``state_days`` days is dropped
-    instead of growing forever. The landing-only ``_record`` field is dropped.
-    """
-    day_ts = F.to_timestamp(F.col(DAY_COL), "y-M-d")
-    return (stream.withColumn("_day_ts", day_ts)
-            .withWatermark("_day_ts", f"{int(state_days)} days")
-            .dropDuplicates([RECORD, DAY_COL, "_day_ts"])
-            .drop(RECORD, "_day_ts"))
+def _stored(spark: SparkSession, table_path: str, schema: T.StructType, label: str) -> DataFrame:
+    """The target's rows of all other batches (none before the first)."""
+    full = T.StructType([*schema.fields, T.StructField(BATCH_COL, T.StringType())])
+    return spark.read.schema(full).parquet(table_path).where(F.col(BATCH_COL) != label)
 
 
 def load_new_files(spark: SparkSession, src: str, schema: T.StructType, table_path: str, checkpoint: str,
                    dedup_keys: list[str] | None = None, fmt: str = "json", glob: str | None = "*.json",
                    partition_by: list[str] | None = None, dedup_mode: str = "state",
                    transform: Callable[[DataFrame], DataFrame] | None = None) -> int:
-    """Append the rows of files not seen before; returns rows appended this run.
+    """Append the rows of files not seen before; returns the rows written this run.
 
     ``dedup_keys`` turns on STR-2: a key already appended in any earlier run
     (or earlier in this run) is skipped. ``dedup_mode="state"`` keeps the
-    seen keys in the stream's state store; ``"target"`` keeps no state and
-    anti-joins each micro-batch against the keys already in the target
-    table (a retried batch re-checks the target, so it never appends twice).
+    seen keys in the stream's state store, which grows with the keys;
+    ``"target"`` keeps no state and anti-joins each micro-batch against the
+    key columns of the target table. The table has one more column,
+    ``load_batch``.
     """
+    if dedup_mode not in ("state", "target"):
+        raise ValueError(f"unknown dedup_mode {dedup_mode!r}")
     stream = file_stream(spark, src, schema, fmt, glob)
     if transform is not None:
         stream = transform(stream)
-    if dedup_keys and dedup_mode == "target":
-        q = (stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-             .foreachBatch(_append_new_keys(table_path, dedup_keys, partition_by)).start())
-        q.awaitTermination()
-        if q.exception() is not None:
-            raise q.exception()
-        return -1  # row counts of foreachBatch sinks are not reported by the stream
-    if dedup_keys:
+    if dedup_keys and dedup_mode == "state":
         stream = stream.dropDuplicates(dedup_keys)
-    w = (stream.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-         .outputMode("append").trigger(availableNow=True))
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    q = w.start(table_path)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise q.exception()
-    progress = q.recentProgress
-    return int(sum(p.get("numInputRows", 0) for p in progress)) if not dedup_keys else int(
-        sum((p.get("sink", {}) or {}).get("numOutputRows", 0) or 0 for p in progress))
+    stored_schema = stream.schema
+
+    def fresh(batch: DataFrame, label: str) -> DataFrame:
+        if not dedup_keys or dedup_mode == "state":
+            return batch
+        keys = T.StructType([f for f in stored_schema.fields if f.name in dedup_keys])
+        s = batch.sparkSession
+        _ensure(s, table_path)
+        return batch.dropDuplicates(dedup_keys).join(_stored(s, table_path, keys, label).select(*dedup_keys), dedup_keys, "left_anti")
+
+    return _run(stream, table_path, checkpoint, fresh, partition_by)
+
+
+def _ensure(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def load_new_records(spark: SparkSession, src: str, schema: T.StructType, table_path: str, checkpoint: str) -> int:
+    """Strict incremental load of landed records; returns the rows written this run.
+
+    Bad files load nothing and are reported, with the good ones, in
+    ``<table_path>_load_report``. The table holds the schema's columns, the
+    day, ``_record`` and ``load_batch``. Rows without ``_record`` have no
+    identity and are all taken. Of a record that occurs in several new files
+    the latest file's row is taken.
+    """
+    wire = T.StructType([T.StructField("value", T.StringType()), T.StructField(DAY_COL, T.StringType())])
+    meta = F.col("_metadata")
+    lines = file_stream(spark, src, wire, "text").select(
+        "value", DAY_COL, meta["file_path"].alias("file_path"), meta["file_name"].alias("file_name"),
+        meta["file_modification_time"].alias("file_time")).where(F.length(F.trim("value")) > 0)
+    report_path = f"{table_path.rstrip('/')}_load_report"
+    keys = T.StructType([T.StructField(RECORD, T.StringType()), T.StructField(DAY_COL, T.StringType())])
+
+    def fresh(batch: DataFrame, label: str) -> DataFrame:
+        s = batch.sparkSession
+        checked = line_checks(batch, schema)
+        report_dir = f"{report_path}/{BATCH_COL}={label}"
+        load_report(checked, DAY_COL).write.mode("overwrite").parquet(report_dir)
+        report = s.read.parquet(report_dir)
+        days = [r[DAY_COL] for r in report.select(DAY_COL).distinct().collect()]     # one value for each landed day
+        good = failed_files(checked, report).select(
+            F.struct(*typed_columns(schema)).alias("row"), F.try_variant_get("v", f"$.{RECORD}", "string").alias(RECORD), DAY_COL,
+            F.struct("file_time", "file_path", "value").alias("version"))
+        named = good.where(F.col(RECORD).isNotNull()).groupBy(RECORD, DAY_COL).agg(F.max_by("row", "version").alias("row"))
+        _ensure(s, table_path)
+        stored = _stored(s, table_path, keys, label).where(F.col(DAY_COL).isin(*days)).select(RECORD, DAY_COL)
+        named = named.join(stored, [RECORD, DAY_COL], "left_anti")
+        return named.unionByName(good.where(F.col(RECORD).isNull()).drop("version")).select("row.*", RECORD, DAY_COL)
+
+    return _run(lines, table_path, checkpoint, fresh, [DAY_COL])

@@ -40,5 +40,5 @@ def test_ngram_plan_equals_substring_rule(spark, keys, names):
     cand = spark.createDataFrame([(k,) for k in keys], "video_id string")
     listing = spark.createDataFrame([(n,) for n in names], "path string")
     expected = sorted(k for k in keys if not any(k in n for n in names))
-    got = sorted(r.video_id for r in eligibility.not_stored(cand, listing, method="ngram").collect())
+    got = sorted(r.video_id for r in eligibility.not_stored(cand, listing).collect())
     assert got == expected

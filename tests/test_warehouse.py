@@ -68,7 +68,10 @@ def test_landing_days_unpadded_and_overwrite(spark, tmp_dir):
     schema = df.schema
     assert sorted(r.VideoID for r in landed.read_day(spark, path, schema, "2023-6-1").collect()) == ["a"]
     assert sorted(r.VideoID for r in landed.read_day(spark, path, schema, "2023-6-14").collect()) == ["b"]
-    assert landed.read_day(spark, path, schema, "2023-06-01").count() == 0   # padded text matches nothing
+    assert landed.read_day(spark, path, schema, "2023-06-01").count() == 1   # padded text is the same day
+    for bad in ("2023-6", "2023/6/1", "2023-06-0x"):
+        with pytest.raises(ValueError):
+            landed.read_day(spark, path, schema, bad)
     assert os.path.isdir(os.path.join(path, "ingest_date=2023-6-1"))
 
 
