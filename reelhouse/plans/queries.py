@@ -24,7 +24,7 @@ from ..sources import landed, raw
 from ..sources.sql import register_tables
 from ..streaming import incremental
 from . import standins
-from .jobs import WIRE_SCHEMA, ingest_metadata, load_warehouse
+from .jobs import WIRE_SCHEMA, export_query, ingest_metadata, load_warehouse
 from .standins import RUN_TS
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -603,6 +603,32 @@ def csv_roundtrip(spark, d):
     return back.drop("file_name")
 
 
+@query("csv_export_any_names", """
+SELECT o_orderkey AS a, o_custkey AS b, o_orderstatus AS s1, o_orderpriority AS s2, nullif(o_orderstatus, 'F') AS note FROM orders""")
+def csv_export_any_names(spark, d):
+    """SQL text to CSV with columns named as the numbering's own, a repeated name and nulls; read back by position."""
+    register_tables(spark, d, ["orders"])
+    out = work_dir(spark, "export-names")
+    export_query(spark, "SELECT o_orderkey AS part, o_custkey AS _rn, o_orderstatus AS s, o_orderpriority AS s, "
+                        "nullif(o_orderstatus, 'F') AS note FROM orders WHERE o_orderkey >= :low", out, "names.csv", args={"low": 0},
+                 rows_per_part=4000, order_by=["part"], case="lower")
+    return export.read_csv(spark, out + "/*.csv", T._parse_datatype_string("a bigint, b bigint, s1 string, s2 string, note string"))
+
+
+_ONE_COLUMN = "CASE WHEN o_orderstatus = 'F' THEN NULL WHEN o_orderstatus = 'P' THEN '' ELSE o_orderpriority END"
+
+
+@query("csv_export_one_column", f"""
+SELECT coalesce({_ONE_COLUMN}, '') AS v, count(*) AS n_rows FROM orders GROUP BY 1""")
+def csv_export_one_column(spark, d):
+    """A one-column result keeps its null and empty rows."""
+    register_tables(spark, d, ["orders"])
+    out = work_dir(spark, "export-one")
+    export_query(spark, f"SELECT {_ONE_COLUMN} AS v FROM orders", out, "one.csv", rows_per_part=5000)
+    back = export.read_csv(spark, out + "/*.csv", T._parse_datatype_string("v string"))
+    return back.groupBy(F.coalesce("v", F.lit("")).alias("v")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 # J9 gate, J11 publish, scalar functions ---------------------------------------------------------
 @query("sql_gate_cell", """
 SELECT count(*) AS cell, count(*) <> 0 AS passed FROM orders WHERE o_orderstatus = 'F'""")

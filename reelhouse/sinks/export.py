@@ -15,10 +15,14 @@ Plan, with no step that pulls rows through one task or the driver:
    table, broadcast back (its size is the partition count);
 4. global row number = offset + position inside the partition,
    ``part = (rn - 1) div N + 1``;
-5. ``repartition(parts, part)``: every part lands in exactly one task, so
+5. rows become CSV lines and every part gets a header line as its row 0;
+   ``repartition(parts, part)``: every part lands in exactly one task, so
    each part directory holds one file; files are renamed to
    ``<stem>-part<k>.csv`` (``<stem>.csv`` when there is a single part).
 
+Columns are carried by position (``c0``, ``c1``, ...) and the caller's names are
+restored in the header line, so names may repeat or equal any name used here.
+
 CSV dialect: header in every part, comma, ``\\n``, minimal quoting with
 doubled quotes, empty text and null both written as nothing, no trimming.
 Date and time columns are rendered as ``yyyy-MM-dd HH:mm:ss`` text.
@@ -26,9 +30,12 @@ Date and time columns are rendered as ``yyyy-MM-dd HH:mm:ss`` text.
 
 from __future__ import annotations
 
+import csv
+import io
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -97,6 +104,9 @@ def number_rows(df: DataFrame, rows_per_part: int, order_by: list[str] | None =
     then holds ``batch_rows * ceil(rows_per_part / batch_rows)`` rows.
     """
     rows_per_part = part_size(rows_per_part, batch_rows)
+    reserved = {"_rn", "part", "_pid", "_local", "_offset"} & {c.lower() for c in df.columns}
+    if reserved:
+        raise ValueError(f"columns {sorted(reserved)} clash with the numbering; rename them (export_csv carries columns by position)")
     spark = df.sparkSession
     staged = df
     if order_by:
@@ -141,41 +151,73 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
+def _header_line(names: list[str]) -> str:
+    """One CSV line of column names, quoted as the data is; repeated and odd names are fine."""
+    text = io.StringIO()
+    csv.writer(text, lineterminator="").writerow(names)
+    return text.getvalue()
+
+
+def _positions(names: list[str], order_by: list[str]) -> list[str]:
+    """The positional names (c0, c1, ...) of the order keys; an exact name wins over other cases of it."""
+    out = []
+    for key in order_by:
+        at = [i for i, n in enumerate(names) if n == key] or [i for i, n in enumerate(names) if n.lower() == key.lower()]
+        if len(at) != 1:
+            raise ValueError(f"order key {key!r} names {len(at)} columns")
+        out.append(f"c{at[0]}")
+    return out
+
+
+def csv_lines(df: DataFrame) -> Column:
+    """Each row as a CSV line. A line of one empty or null value is ``""``, as an empty line would be no row."""
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {k: v for k, v in CSV_OPTIONS.items() if k not in ("header", "lineSep", "encoding")})
+    if len(df.columns) > 1:
+        return line
+    return F.when(F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit("")) == "", '""').otherwise(line)
+
+
 def export_csv(df: DataFrame, out_dir: str, file_name: str, rows_per_part: int = 500_000,
                order_by: list[str] | None = None, case: str = "upper", split: bool = True,
                batch_rows: int | None = None, num_partitions: int | None = None) -> ExportResult:
-    """SNK-5..8: write ``df`` as CSV parts of exactly ``rows_per_part`` rows."""
+    """SNK-5..8: write ``df`` as CSV parts of exactly ``rows_per_part`` rows.
+
+    Data columns are carried by position, so a query may use any column names, repeated ones too.
+    """
     spark = df.sparkSession
-    data = header_case(render_datetimes(df), case)
-    cols = data.columns
+    names = df.columns
+    header = [n.upper() if case == "upper" else n.lower() if case == "lower" else n for n in names]
+    data = render_datetimes(df.toDF(*[f"c{i}" for i in range(len(names))]))
     stem = file_name[:-4] if file_name.endswith(".csv") else file_name
     staging = f"{out_dir.rstrip('/')}/_staging_{stem}"
     rows_per_part = part_size(rows_per_part, batch_rows) if split else 1 << 62
     stage = work_dir(spark, "export-stage")
-    numbered, total = number_rows(data, rows_per_part, order_by, num_partitions, stage_path=stage)
+    numbered, total = number_rows(data, rows_per_part, _positions(names, order_by) if order_by else None, num_partitions, stage_path=stage)
     n_parts = max(1, -(-total // rows_per_part))
-    if total == 0:
-        data.limit(0).coalesce(1).write.mode("overwrite").options(**CSV_OPTIONS).csv(f"{staging}/part=1")
-    else:
-        # Each part in exactly one task; many parts may share a task, so the task
-        # count stays bounded however many parts a large export has.
-        tasks = min(n_parts, max(spark.sparkContext.defaultParallelism,
-                                 int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
-        (numbered.repartition(tasks, "part").sortWithinPartitions("part", "_rn")
-         .select("part", *[F.col(f"`{c}`") for c in cols])
-         .write.mode("overwrite").options(**CSV_OPTIONS).partitionBy("part").csv(staging))
+    lines = numbered.select("part", "_rn", csv_lines(data).alias("value"))
+    headers = spark.range(1, n_parts + 1).select(F.col("id").alias("part"), F.lit(0).cast("bigint").alias("_rn"),
+                                                 F.lit(_header_line(header)).alias("value"))
+    # Each part in exactly one task; many parts may share a task, so the task
+    # count stays bounded however many parts a large export has.
+    tasks = min(n_parts, max(spark.sparkContext.defaultParallelism,
+                             int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    (lines.unionByName(headers).repartition(tasks, "part").sortWithinPartitions("part", "_rn").select("part", "value")
+     .write.mode("overwrite").option("lineSep", CSV_OPTIONS["lineSep"]).partitionBy("part").text(staging))
     fs, _, jvm = _fs(spark, staging)
-    files = []
-    for k in range(1, n_parts + 1):
+
+    def place(k: int) -> str:
         src_dir = jvm.org.apache.hadoop.fs.Path(f"{staging}/part={k}")
-        srcs = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().endswith(".csv")]
+        srcs = [s.getPath() for s in fs.listStatus(src_dir) if s.getPath().getName().startswith("part-")]
         if len(srcs) != 1:
             raise RuntimeError(f"part {k}: expected one file, found {len(srcs)}")
         dest = jvm.org.apache.hadoop.fs.Path(f"{out_dir.rstrip('/')}/{part_file_name(stem, k, n_parts)}")
         if fs.exists(dest):
             fs.delete(dest, False)
         fs.rename(srcs[0], dest)
-        files.append(dest.toString())
+        return dest.toString()
+
+    with ThreadPoolExecutor(max_workers=16) as pool:     # renames wait on the store, not on this process
+        files = list(pool.map(place, range(1, n_parts + 1)))
     fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
     remove_path(spark, stage)   # the numbered staging table has no reader left
     return ExportResult(files=files, n_rows=total, n_parts=n_parts)

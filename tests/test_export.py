@@ -112,3 +112,27 @@ def test_file_names_column(spark):
     assert got == ["out-part1.csv", "out-part2.csv", "out-part3.csv"]
     one = spark.createDataFrame([(1,)], "part bigint")
     assert [r.file_name for r in export.file_names(one, "out").collect()] == ["out.csv"]
+
+
+def test_any_column_names_survive(spark, tmp_dir):
+    df = spark.sql("SELECT id AS part, id * 10 AS _rn, 'x' AS a, 'y' AS a, CAST(NULL AS string) AS `odd, name` FROM range(7)")
+    res = export.export_csv(df, tmp_dir, "n.csv", rows_per_part=3, order_by=["part"], case="as_is")
+    assert res.n_parts == 3
+    rows = [read_file(f) for f in res.files]
+    assert all(r[0] == ["part", "_rn", "a", "a", "odd, name"] for r in rows)
+    assert [x for r in rows for x in r[1:]] == [[str(i), str(i * 10), "x", "y", ""] for i in range(7)]
+
+
+def test_one_column_keeps_null_and_empty_rows(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "x"), (2, None), (3, ""), (4, "y")], "k int, v string").orderBy("k").select("v")
+    res = export.export_csv(df.coalesce(1), tmp_dir, "one.csv")
+    assert res.n_rows == 4 and read_file(res.files[0]) == [["V"], ["x"], [""], [""], ["y"]]
+
+
+def test_ambiguous_order_key_and_reserved_names_are_refused(spark, tmp_dir):
+    import pytest
+    df = spark.sql("SELECT 1 AS a, 2 AS a")
+    with pytest.raises(ValueError, match="order key"):
+        export.export_csv(df, tmp_dir, "x.csv", order_by=["a"])
+    with pytest.raises(ValueError, match="clash"):
+        export.number_rows(spark.sql("SELECT 1 AS part"), 5)
