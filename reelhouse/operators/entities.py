@@ -29,6 +29,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import epoch_seconds, json_variant, nth, slash_date
 from ..session import checkpoint_root
@@ -45,17 +46,39 @@ def grid_contents(tabs: Column) -> Column:
     return nth(tabs, 1)["tabRenderer"]["content"]["richGridRenderer"]["contents"]
 
 
-def channel_facts(channels: DataFrame) -> DataFrame:
-    """One narrow row per channel url: the channel fields and stage flags."""
+def latest_channels(channels: DataFrame) -> DataFrame:
+    """One narrow row per channel url: ``doc`` with the channel's fields and grid items.
+
+    Several documents of one channel are reduced to one before any join, so they
+    cannot multiply a video's rows. Documents carry no time; the one with the largest hash
+    of these fields is taken, which any attempt of a task decides alike.
+    """
     grid = grid_contents(F.col(_TABS))
-    return channels.select(
-        "channel_url",
+
+    def narrow(item: Column) -> Column:
+        renderer = item["richItemRenderer"]["content"]["videoRenderer"]
+        runs = renderer["descriptionSnippet"]["runs"]
+        first_run = nth(runs, 0)
+        return F.struct(renderer["videoId"].alias("item_video_id"), first_run["text"].alias("run_text"),
+                        (runs.isNull() | (F.size(runs) == 0) | first_run.isNull()).alias("run_missing"))
+
+    doc = F.struct(
         F.col("channel_id").alias("ch_id"),
         F.col("channel_name").alias("ch_name"),
         F.col(f"{_META}.description").alias("ch_description"),
         F.col(f"{_META}.keywords").alias("ch_keywords"),
         F.col(f"{_HEADER}.subscriberCountText.simpleText").alias("ch_subscribed"),
-        grid.isNotNull().alias("grid_ok"),
+        F.transform(grid, narrow).alias("grid"),
+    )
+    narrowed = channels.select("channel_url", doc.alias("doc"))
+    return narrowed.groupBy("channel_url").agg(F.max_by("doc", F.xxhash64("doc")).alias("doc"))
+
+
+def channel_facts(latest: DataFrame) -> DataFrame:
+    """The channel fields and stage flags of :func:`latest_channels`."""
+    return latest.select(
+        "channel_url", *[F.col(f"doc.{c}").alias(c) for c in ("ch_id", "ch_name", "ch_description", "ch_keywords", "ch_subscribed")],
+        F.col("doc.grid").isNotNull().alias("grid_ok"),
     ).withColumn(
         "channel_fields_ok",
         F.col("ch_description").isNotNull()
@@ -64,19 +87,24 @@ def channel_facts(channels: DataFrame) -> DataFrame:
     )
 
 
-def grid_items(channels: DataFrame) -> DataFrame:
+def grid_items(latest: DataFrame) -> DataFrame:
     """Exploded grid items: (channel_url, pos, item_video_id, run_text, run_missing)."""
-    items = channels.select("channel_url", F.posexplode(grid_contents(F.col(_TABS))).alias("pos", "item"))
-    renderer = F.col("item.richItemRenderer.content.videoRenderer")
-    runs = renderer["descriptionSnippet"]["runs"]
-    first_run = nth(runs, 0)
-    return items.select(
-        "channel_url",
-        "pos",
-        renderer["videoId"].alias("item_video_id"),
-        first_run["text"].alias("run_text"),
-        (runs.isNull() | (F.size(runs) == 0) | first_run.isNull()).alias("run_missing"),
-    )
+    return latest.select("channel_url", F.posexplode("doc.grid").alias("pos", "item")).select("channel_url", "pos", "item.*")
+
+
+def latest_videos(videos: DataFrame) -> DataFrame:
+    """One document per ``video_id``: of several, the one with the largest content hash.
+
+    Only ids that occur more than once are looked up, by narrow (id, hash) rows, so documents
+    with a unique id are neither sorted nor compared.
+    """
+    cols = [F.col(f"`{f.name}`") for f in videos.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    hashed = videos.withColumn("_hash", F.xxhash64(*cols))
+    twice = (hashed.groupBy("video_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_hash").alias("_hash"))
+             .where("_n > 1").select("video_id", "_hash"))
+    single = videos.join(twice.select("video_id"), "video_id", "left_anti")
+    chosen = hashed.join(twice, ["video_id", "_hash"], "left_semi").drop("_hash").dropDuplicates(["video_id"])   # equal hash: equal content
+    return single.unionByName(chosen.select(*single.columns))
 
 
 def lookup_descriptions(items: DataFrame, channel_key: str = "channel_url",
@@ -104,14 +132,14 @@ def join_documents(videos: DataFrame, channels: DataFrame, hot_share: float | No
     over ``hot_buckets`` tasks (deterministic salt on the video id); without
     it the join is left to size-checked broadcast / AQE skew handling.
     ``distinct_videos`` keeps one document per video (a video listed twice
-    lands once); the key ``(channel_url, video_id)`` is the description
-    join's key, so a shuffled description join reuses that partitioning.
+    lands once).
     """
     v = videos.withColumn("video_id", strict_video_id(F.col("vid_info.videoDetails.videoId")))
     if distinct_videos:
-        v = v.dropDuplicates(["channel_url", "video_id"])
-    facts = channel_facts(channels)
-    desc = lookup_descriptions(grid_items(channels)).withColumnRenamed("item_video_id", "video_id")
+        v = latest_videos(v)
+    latest = latest_channels(channels)
+    facts = channel_facts(latest)
+    desc = lookup_descriptions(grid_items(latest)).withColumnRenamed("item_video_id", "video_id")
     if hot_share:
         hot = hot_keys(v.select("channel_url"), "channel_url", hot_share)
         j = salted_join(v, facts, "channel_url", hot, hot_buckets, "inner", salt_cols=["video_id"])
@@ -121,7 +149,9 @@ def join_documents(videos: DataFrame, channels: DataFrame, hot_share: float | No
 
     tracks = F.coalesce(F.col("caption_tracks"), F.array())
     thumbs = F.col("vid_info.videoDetails.thumbnail.thumbnails")
-    captions_ok = F.forall(tracks, lambda t: F.exists(F.col("captions"), lambda c: c["code"] == t["code"]))
+    # The caption of each track's code must be there and be JSON: a malformed one fails the stage.
+    captions_ok = F.forall(tracks, lambda t: json_variant(F.try_element_at(
+        F.filter(F.col("captions"), lambda c: c["code"] == t["code"]), F.lit(-1))["json_captions"]).isNotNull())
     thumbs_ok = thumbs.isNotNull() & F.forall(
         thumbs, lambda t: t["url"].isNotNull() & t["width"].isNotNull() & t["height"].isNotNull()
     )

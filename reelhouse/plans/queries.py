@@ -143,6 +143,31 @@ def entity_fanout_counts(spark, d):
     return entities.fanout_counts(_entities(spark, d).joined)
 
 
+@query("video_descriptions", f"""
+SELECT CAST(o.o_orderkey AS VARCHAR) AS VideoID, 'C' || CAST(o.o_custkey AS VARCHAR) AS ChannelID, o.o_orderkey AS Views,
+       CASE WHEN o.o_orderstatus <> 'O' THEN o.o_orderpriority END AS Description
+{_VIDEO_JOIN} AND o.o_orderpriority <> '3-MEDIUM'""")
+def video_descriptions(spark, d):
+    """J1 with channels that list their videos: the last item's text, null texts, and items without a text run (which fail the stage)."""
+    orders = t(spark, d, "orders")
+    channels = standins.channel_docs(t(spark, d, "customer"), standins.order_items(orders))
+    ent = entities.extract_entities(standins.video_docs(orders), channels, run_ts=RUN_TS)
+    return ent.video.select("VideoID", "ChannelID", "Views", "Description")
+
+
+@query("duplicate_documents", f"""
+SELECT count(*) AS n_rows, count(DISTINCT o.o_orderkey) AS n_videos, min(o.o_orderkey) AS first_views, max(o.o_orderkey) AS last_views
+{_VIDEO_JOIN}""")
+def duplicate_documents(spark, d):
+    """Every video and channel document occurs twice with a different title and name: each video has one row."""
+    videos, channels = standins.video_docs(t(spark, d, "orders")), standins.channel_docs(t(spark, d, "customer"))
+    videos = videos.unionByName(videos.withColumn("title", F.concat("title", F.lit(" again"))))
+    channels = channels.unionByName(channels.withColumn("channel_name", F.concat("channel_name", F.lit(" again"))))
+    video = entities.extract_entities(videos, channels, run_ts=RUN_TS, distinct_videos=True).video
+    return video.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("VideoID").alias("n_videos"),
+                     F.min("Views").alias("first_views"), F.max("Views").alias("last_views"))
+
+
 @query("description_lookup", """
 SELECT conv_id, role AS video_id, arg_max(text, turn) AS description
 FROM conversations WHERE role IS NOT NULL GROUP BY conv_id, role""")
@@ -259,6 +284,22 @@ def landing_same_day_rerun(spark, d):
 _EVENT_DAY = _ymd("ts", "-")
 
 
+@query("landing_rerun_keeps_failed", """
+SELECT sum(CASE WHEN lang <> 'de' THEN 1 ELSE 0 END)::BIGINT AS n_loaded, sum(CASE WHEN lang = 'de' THEN 1 ELSE 0 END)::BIGINT AS n_refused
+FROM documents""")
+def landing_rerun_keeps_failed(spark, d):
+    """A day with refused files ('de' lines carry an unexpected field) is landed again in part: they stay refused, all else loads once."""
+    base, table = work_dir(spark, "rerun"), work_dir(spark, "rerun-table")
+    docs = t(spark, d, "documents").select(F.col("doc_id").cast("string").alias(landing.RECORD), "doc_id", "text", "lang", "n_chars")
+    good, bad = docs.where("lang <> 'de'"), docs.where("lang = 'de'").withColumn("unexpected", F.lit("x"))
+    target = landing.land(good, base, "video", day="2024-1-1")
+    bad.write.mode("append").json(f"{target}/{landing.DAY_COL}=2024-1-1")
+    landing.land(good.where("lang <> 'en'"), base, "video", day="2024-01-01", merge=True)
+    rows, report = warehouse.strict_load(spark, target, _DOC_SCHEMA, table_path=table, day="2024-1-1")
+    refused = report.where("status = 'failed'").agg(F.sum("n_rows").alias("n_refused"))
+    return spark.read.parquet(table).agg(F.count(F.lit(1)).alias("n_loaded")).crossJoin(refused)   # one row each
+
+
 @query("landing_paths", f"""
 SELECT event_id, 'Metadata/Video/' || {_EVENT_DAY} || '/' || {_EVENT_DAY} || '_metadata_Video_'
        || CAST(event_id AS VARCHAR) || '_1.json' AS path FROM events""")

@@ -97,11 +97,32 @@ def video_payloads(orders: DataFrame) -> DataFrame:
     return spread(orders).select(F.to_json(doc).alias("value"))
 
 
-def channel_payloads(customer: DataFrame) -> DataFrame:
-    """One JSON channel document per customer."""
-    items_type = "array<struct<richItemRenderer:struct<content:struct<videoRenderer:struct<videoId:string>>>>>"
+def order_items(orders: DataFrame) -> DataFrame:
+    """Per customer, two grid items for each order: the later one's text counts.
+
+    Texts are the order's priority, null for open orders; medium priority has no text run.
+    """
+    def item(text: Column, runs: Column) -> Column:
+        return F.struct(F.struct(F.struct(F.struct(
+            _s("o_orderkey").alias("videoId"),
+            F.struct(F.when(runs, F.array(F.struct(text.alias("text")))).otherwise(F.array().cast("array<struct<text:string>>")).alias("runs"))
+            .alias("descriptionSnippet")).alias("videoRenderer")).alias("content")).alias("richItemRenderer"))
+
+    text = F.when(F.col("o_orderstatus") != "O", F.col("o_orderpriority"))
+    pair = F.struct("o_orderkey", F.array(item(F.lit("earlier"), F.lit(True)), item(text, F.col("o_orderpriority") != "3-MEDIUM")).alias("items"))
+    return orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.flatten(F.transform(F.array_sort(F.collect_list(pair)), lambda x: x["items"])).alias("items"))
+
+
+def channel_payloads(customer: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """One JSON channel document per customer; its second tab lists ``items`` (c_custkey, items), or nothing."""
+    items_type = "array<struct<richItemRenderer:struct<content:struct<videoRenderer:struct<videoId:string,descriptionSnippet:struct<runs:array<struct<text:string>>>>>>>>"
+    listed = F.array().cast(items_type)
+    if items is not None:
+        customer = customer.join(items, "c_custkey", "left")
+        listed = F.coalesce(F.col("items"), listed)
     renderer_type = f"struct<content:struct<richGridRenderer:struct<contents:{items_type}>>>"
-    empty_grid = F.struct(F.struct(F.array().cast(items_type).alias("contents")).alias("richGridRenderer")).alias("content")
+    empty_grid = F.struct(F.struct(listed.alias("contents")).alias("richGridRenderer")).alias("content")
     empty_grid = F.struct(empty_grid)
     tabs = F.array(F.struct(F.lit(None).cast(renderer_type).alias("tabRenderer")),
                    F.struct(empty_grid.alias("tabRenderer")))
@@ -157,8 +178,8 @@ def video_docs(orders: DataFrame) -> DataFrame:
     return raw.read_raw_videos(orders.sparkSession, land_documents(video_payloads(orders), "videos"))
 
 
-def channel_docs(customer: DataFrame) -> DataFrame:
-    return raw.read_raw_channels(customer.sparkSession, land_documents(channel_payloads(customer), "channels"))
+def channel_docs(customer: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    return raw.read_raw_channels(customer.sparkSession, land_documents(channel_payloads(customer, items), "channels"))
 
 
 def page_image_docs(pages: DataFrame) -> DataFrame:

@@ -10,8 +10,11 @@ per record is not reproduced (it would be millions of tiny files).
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import dash_date
 from ..functions.lookups import FOLDER
@@ -68,22 +71,39 @@ def with_day(df: DataFrame, day=None, ts_col: str | None = None) -> DataFrame:
     return df.withColumn(DAY_COL, F.lit(day_text(day)))
 
 
-def _merge_day(df: DataFrame, target: str, day: str) -> tuple[DataFrame, str | None]:
-    """The day's landed records not re-landed now, plus the new rows, and the
-    staging folder holding them (None when the day is new)."""
+def _merge_day(df: DataFrame, target: str, day: str) -> tuple[DataFrame, DataFrame | None]:
+    """What to append to the day, and the files (``file_path``) that it replaces.
+
+    A file is replaced if it holds a record that is landed again; its other records are
+    appended with the new rows. Files without such a record stay as they are, and so does a file with
+    a line that the strict load would refuse: it keeps every line and stays refused.
+    """
+    from .warehouse import line_checks   # that module reads this one's layout
+
     spark = df.sparkSession
     day_dir = f"{target}/{DAY_COL}={day}"
     if not path_exists(spark, day_dir):
         return df, None
-    old = (spark.read.option("pathGlobFilter", "*.json").text(day_dir)
-           .select(F.from_json("value", df.schema).alias("r")).select("r.*")
-           .join(df.select(RECORD), RECORD, "left_anti"))
-    # Spark cannot overwrite a partition it is reading: stage the merged day first.
-    stage = work_dir(spark, "landing-merge")
-    old.unionByName(df).write.options(**JSON_WRITE_OPTIONS).json(stage)
-    merged = (spark.read.option("pathGlobFilter", "*.json").text(stage)
-              .select(F.from_json("value", df.schema).alias("r")).select("r.*"))
-    return merged, stage
+    lines = (spark.read.option("pathGlobFilter", "*.json").text(day_dir)
+             .select("value", F.col("_metadata.file_path").alias("file_path")).where(F.length(F.trim("value")) > 0))
+    wire = T.StructType([f for f in df.schema.fields if f.name != RECORD])
+    checked = line_checks(lines, wire).select("value", "file_path", "is_bad", F.try_variant_get("v", f"$.{RECORD}", "string").alias(RECORD))
+    again = df.select(RECORD).distinct().withColumn("again", F.lit(True))
+    marked = checked.join(again, RECORD, "left")
+    files = marked.groupBy("file_path").agg(F.bool_or("is_bad").alias("bad"), F.count("again").alias("hits")).where("NOT bad AND hits > 0")
+    # Decided once, before anything is written or deleted.
+    path = work_dir(spark, "landing-replaced")
+    files.select("file_path").write.parquet(path)
+    files = spark.read.schema("file_path string").parquet(path)
+    kept = (marked.where("again IS NULL").join(files, "file_path", "left_semi")
+            .select(F.from_json("value", df.schema).alias("r")).select("r.*"))
+    return df.unionByName(kept), files
+
+
+def _delete_files(spark, files: DataFrame) -> None:
+    """Delete the listed files (read in pieces; one name for each replaced file)."""
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        list(pool.map(lambda r: remove_path(spark, r.file_path), files.toLocalIterator()))
 
 
 def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = None,
@@ -95,28 +115,36 @@ def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = N
     record id) over that many buckets, so a day is never forced into one task
     and never scattered into one file per task.
 
+    Without it, rows landed by their own days (``ts_col``) are gathered by day to
+    files of about the advisory partition size; Spark splits a large day and
+    joins small ones, so tasks times days is not the number of files.
+
     ``merge=True`` (rows carrying ``_record``, one fixed ``day``) reproduces
     per-record files: a re-run of the same day replaces the records it lands
     again and keeps the day's other records. Without it the day is replaced.
+    The new files are written before the replaced ones are deleted; a run that is
+    lost in between is put right by running it again.
     """
     target = entity_dir(base, entity)
-    stage = None
+    replaced = None
     if merge:
         if ts_col is not None or day is None or RECORD not in df.columns:
             raise ValueError("merge needs a fixed day and a _record column")
-        df, stage = _merge_day(df, target, day_text(day))
+        df, replaced = _merge_day(df, target, day_text(day))
     out = with_day(df, day, ts_col)
     if files_per_day:
         key = F.col(spread_col or df.columns[0])
         bucket = F.pmod(F.xxhash64(key), F.lit(files_per_day))
         out = out.repartition(F.col(DAY_COL), bucket)
-    (out.write.mode("overwrite")
+    elif ts_col is not None:
+        out = out.hint("rebalance", F.col(DAY_COL))
+    (out.write.mode("overwrite" if replaced is None else "append")
         .option("partitionOverwriteMode", "dynamic")
         .options(**JSON_WRITE_OPTIONS)
         .partitionBy(DAY_COL)
         .json(target))
-    if stage:
-        remove_path(df.sparkSession, stage)   # the merged day is written; its staged copy is dead
+    if replaced is not None:
+        _delete_files(df.sparkSession, replaced)
     return target
 
 

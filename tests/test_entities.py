@@ -215,3 +215,15 @@ def test_salted_join(spark):
     small = spark.createDataFrame([("k1", "a"), ("k2", "b")], "k string, w string")
     out = skew.salted_join(big, small, "k", big.select("k").limit(1), buckets=3)
     assert sorted((r.k, r.v, r.w) for r in out.collect()) == [("k1", 1, "a"), ("k2", 2, "b")]
+
+
+def test_duplicate_documents_and_malformed_captions(spark):
+    tracks = [{"name": "English", "code": "en"}]
+    good, bad = [{"code": "en", "json_captions": '{"e": 1}'}], [{"code": "en", "json_captions": "{broken"}]
+    vids = [video("a", tracks=tracks, captions=good), video("a", tracks=tracks, captions=good), video("b", tracks=tracks, captions=bad),
+            video("c", tracks=tracks, captions=bad + good), video("d", tracks=tracks, captions=good + bad)]
+    v, c = raw.parse_videos(json_rows(spark, vids)), raw.parse_channels(json_rows(spark, [channel("ch1"), channel("ch1")]))
+    ent = entities.extract_entities(v, c, run_ts=1.0, distinct_videos=True)
+    assert sorted(r.VideoID for r in ent.video.collect()) == ["a", "b", "c", "d"]
+    assert sorted(r.VideoID for r in ent.caption.collect()) == ["a", "c"]      # the last caption of a code counts
+    assert {r.VideoID for r in ent.thumbnail.collect()} <= {"a", "c"}
