@@ -346,6 +346,30 @@ def legacy_layout_rows(spark, d):
     return spark.read.schema(legacy("thumbnail")).json(target)
 
 
+@query("legacy_layout_entities", f"""
+WITH v AS (SELECT o.*, c.c_mktsegment {_VIDEO_JOIN}),
+     cap AS (SELECT * FROM v WHERE coalesce(c_mktsegment <> 'HOUSEHOLD', false) AND coalesce(o_orderpriority <> '5-LOW', false))
+SELECT 'video' AS entity, 'VideoID,ChannelID,Length,Publish_date,Title,Views,Description' AS columns, count(*) AS n_rows,
+       count(DISTINCT o_orderkey) AS n_keys FROM v
+UNION ALL SELECT 'channel', 'ChannelID,URL,Name,Description,Subcribed,Keywords', count(*), count(DISTINCT o_custkey) FROM v
+  WHERE coalesce(c_mktsegment <> 'HOUSEHOLD', false)
+UNION ALL SELECT 'caption', 'Caption_id,VideoID,Language,Contents', 2 * count(*), 2 * count(DISTINCT o_orderkey) FROM cap
+UNION ALL SELECT 'thumbnail', 'ThumbnailID,VideoID,URL,Width,Height', 2 * count(*), 2 * count(DISTINCT o_orderkey) FROM cap
+  WHERE coalesce(o_orderpriority <> '4-NOT SPECIFIED', false)""")
+def legacy_layout_entities(spark, d):
+    """All four entities in the older layout, written twice (the second run overwrites) and read back."""
+    base, ent = work_dir(spark, "legacy-all"), _entities(spark, d)
+    out = None
+    for name, df in ent.tables().items():
+        for _ in range(2):
+            target = landing.land_legacy(df, base, name)
+        back = spark.read.schema(legacy(name)).json(target)
+        one = back.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(back.columns[0]).alias("n_keys")).select(
+            F.lit(name).alias("entity"), F.lit(",".join(back.columns)).alias("columns"), "n_rows", "n_keys")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 @query("append_twice", """
 SELECT * FROM customer UNION ALL SELECT * FROM customer""")
 def append_twice(spark, d):
@@ -679,6 +703,48 @@ def sql_gate_cell(spark, d):
                            args={"status": "F"})
 
 
+# (case, first cell as SQL text, rows kept, expected truth of the gate in SQL)
+_GATE_CASES = [
+    ("count", "count(*)", "o_orderstatus = 'F'", "count(*) FILTER (o_orderstatus = 'F') <> 0"),
+    ("zero", "count(*)", "o_orderkey < 0", "count(*) FILTER (o_orderkey < 0) <> 0"),
+    ("fraction", "sum(o_totalprice) / 1e12", "true", "sum(o_totalprice) <> 0"),
+    ("text_zero", "concat('0', left(min(o_orderstatus), 0))", "true", "count(*) > 0"),
+    ("text_empty", "left(min(o_orderstatus), 0)", "true", "count(*) < 0"),
+    ("null", "max(o_orderkey)", "o_orderkey < 0", "max(o_orderkey) FILTER (o_orderkey < 0) IS NOT NULL"),
+    ("boolean", "max(o_totalprice) > 0", "true", "max(o_totalprice) > 0"),
+    ("interval_zero", "max(o_orderdate) - max(o_orderdate)", "true", "count(*) < 0"),
+    ("interval", "max(o_orderdate) - min(o_orderdate)", "true", "max(o_orderdate) <> min(o_orderdate)"),
+]
+
+
+@query("sql_gate_truth", " UNION ALL ".join(
+    [f"SELECT '{name}' AS gate, CASE WHEN {want} THEN 'pass' ELSE 'stop' END AS by_cell, "
+     f"CASE WHEN {want} THEN 'pass' ELSE 'stop' END AS by_frame FROM orders" for name, _, _, want in _GATE_CASES]
+    + ["SELECT 'no_row', 'stop', 'stop' FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)",
+       "SELECT 'no_row_fails', 'error', 'stop' FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)",
+       "SELECT 'failure', 'error', 'pass' FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)",
+       "SELECT 'success', 'stop', 'pass' FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)",
+       "SELECT 'failure_before_success', 'error', 'pass' FROM orders WHERE o_orderkey = (SELECT max(o_orderkey) FROM orders)"]))
+def sql_gate_truth(spark, d):
+    """The gate's decisions over queries on ``orders``: by the driver's gate and by the one-row frame."""
+    register_tables(spark, d, ["orders"])
+    most = "SELECT max(o_orderkey) FROM orders"
+    cases = [(name, f"SELECT {cell} FROM orders WHERE {where}", {}) for name, cell, where, _ in _GATE_CASES]
+    cases += [("no_row", "SELECT o_orderkey FROM orders WHERE o_orderkey < 0", {}),
+              ("no_row_fails", "SELECT o_orderkey FROM orders WHERE o_orderkey < 0", {"fail_on_empty": True}),
+              ("failure", most, {"failure": lambda v: v > 0}), ("success", most, {"success": lambda v: v < 0}),
+              ("failure_before_success", most, {"failure": lambda v: v > 0, "success": lambda v: v > 0})]
+    rows = []
+    for name, sql, options in cases:
+        try:
+            cell = "pass" if gate.sql_gate(spark, sql, **options) else "stop"
+        except gate.GateError:
+            cell = "error"
+        frame = gate.gate_frame(spark, sql).first()
+        rows.append((name, cell, "pass" if frame and frame.passed else "stop"))
+    return spark.createDataFrame(rows, "gate string, by_cell string, by_frame string")
+
+
 @query("publish_requests", """
 SELECT event_id, event_type AS title, 'private' AS privacy,
        strftime(ts + INTERVAL 10 DAY, '%Y-%m-%dT%H:%M:%S.%g') || 'Z' AS published_at,

@@ -24,7 +24,6 @@ NODES = ["Exchange", "BroadcastExchange", "BroadcastHashJoin", "SortMergeJoin",
 def summarise(plan: str) -> dict:
     tree = plan.split("\n\n")[0]
     counts = {n: len(re.findall(rf"(?<![A-Za-z]){n} ", tree + " ")) for n in NODES}
-    counts["Exchange"] -= 0
     reads = re.findall(r"ReadSchema: (struct<[^\n]*>)", plan)
     pushed = [p for p in re.findall(r"PushedFilters: (\[[^\n]*\])", plan) if p != "[]"]
     parts = re.findall(r"PartitionFilters: (\[[^\n]*\])", plan)
