@@ -296,8 +296,10 @@ def landing_rerun_keeps_failed(spark, d):
     bad.write.mode("append").json(f"{target}/{landing.DAY_COL}=2024-1-1")
     landing.land(good.where("lang <> 'en'"), base, "video", day="2024-01-01", merge=True)
     rows, report = warehouse.strict_load(spark, target, _DOC_SCHEMA, table_path=table, day="2024-1-1")
-    refused = report.where("status = 'failed'").agg(F.sum("n_rows").alias("n_refused"))
-    return spark.read.parquet(table).agg(F.count(F.lit(1)).alias("n_loaded")).crossJoin(refused)   # one row each
+    zero = F.lit(0).cast("bigint")
+    both = (spark.read.parquet(table).groupBy().agg(F.count(F.lit(1)).alias("n_loaded")).select("n_loaded", zero.alias("n_refused"))
+            .unionByName(report.where("status = 'failed'").select(zero.alias("n_loaded"), F.col("n_rows").alias("n_refused"))))
+    return both.agg(F.sum("n_loaded").alias("n_loaded"), F.sum("n_refused").alias("n_refused"))
 
 
 @query("landing_paths", f"""
