@@ -124,11 +124,9 @@ def ingest_media(spark: SparkSession, videos: DataFrame, bucket_root: str, media
     rel = F.regexp_replace(F.col("path"), "^.*?\\Q" + root_text + "\\E/", "")
     names = eligibility.in_scope(listing.select(rel.alias("path")), scope=scope)
     ok = eligibility.eligible(videos, names).select("video_id")
-    files = media.read_media(spark, media_root, glob="*.mp4")
+    files = media.list_objects(spark, media_root, glob="*.mp4")     # names and lengths only
     chosen = files.join(ok, F.regexp_extract(files["path"], r"([^/]*)\.mp4$", 1) == ok["video_id"], "left_semi")
-    plan = media.manifest(chosen, source, media._ts(run_ts), keep=["content"])
-    media.write_objects(plan, dest_root)
-    return plan.drop("content")
+    return media.copy_objects(media.manifest(chosen, source, media._ts(run_ts)), dest_root)
 
 
 def export_query(spark: SparkSession, sql: str, out_dir: str, file_name: str, args: dict | None = None,

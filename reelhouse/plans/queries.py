@@ -598,8 +598,8 @@ SELECT page_id, url AS src_path,
 FROM pages""")
 def media_manifest(spark, d):
     pages = t(spark, d, "pages").select("page_id", F.col("url").alias("path"), F.length("html").alias("length"))
-    m = media.manifest(pages, "clips", run_ts=F.expr(RUN_NTZ))
-    return m.join(pages.select("page_id", F.col("path").alias("src_path")), "src_path").select(
+    m = media.manifest(pages, "clips", run_ts=F.expr(RUN_NTZ), keep=["page_id"])
+    return m.select(
         "page_id", "src_path", "dest_path", "content_type", "length",
         exprs.base_name("src_path").alias("base_name"), exprs.dir_name("src_path").alias("dir_name"))
 
@@ -607,6 +607,24 @@ def media_manifest(spark, d):
 _URL_LANG = r"^[a-z]+://[^/]+/([^/]+)/"
 
 
+@query("media_copy", """
+SELECT page_id, CAST(length(html) AS BIGINT) AS n_chars, 'application/json' AS content_type FROM pages""")
+def media_copy(spark, d):
+    """Pages land as JSON objects, which are copied to their manifest places and from there to plain names; every page is read back.
+
+    (Spark's local file system cannot read names with colons, which the manifest's times have; hence the second copy.)
+    """
+    root, dest, plain = (work_dir(spark, f"media-{x}") for x in ("src", "dest", "plain"))
+    t(spark, d, "pages").select("page_id", "html").write.json(root)
+    copied = media.copy_media(spark, root, dest, "clips", run_ts=F.expr(RUN_NTZ), glob="*.json")
+    again = copied.where("copied = length").select(F.concat(F.lit(media.qualified(spark, dest) + "/"), "dest_path").alias("src_path"),
+                                                   exprs.base_name("src_path").alias("dest_path"), "content_type", "length")
+    whole = media.copy_objects(again, plain).where("copied = length").select(F.col("dest_path").alias("name"), "content_type")
+    back = (spark.read.schema("page_id bigint, html string").json(plain)
+            .select("page_id", F.length("html").cast("bigint").alias("n_chars"), F.col("_metadata.file_name").alias("name")))
+    return back.join(whole, "name").select("page_id", "n_chars", "content_type")
+
+
 @query("media_bytes", f"""
 SELECT regexp_extract(url, '{_URL_LANG}', 1) AS lang,
        CAST(sum(strlen(html) - strlen(replace(html, chr(10), '')) + 1) AS BIGINT) AS n_lines,

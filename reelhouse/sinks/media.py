@@ -2,21 +2,24 @@
 
 The manifest is a DataFrame (src_path, dest_path, content_type, length):
 destination ``Video/<source>/<ingest day>/<ingest datetime>_<file name>``,
-content type from the extension map. The copy reads ``binaryFile`` rows
-and writes each file's bytes to its destination from the executors, one
-task per input split; nothing passes through the driver.
+content type from the extension map. The copy streams each file from its
+place to its destination on the executors; neither the driver nor a shuffle
+sees a file's bytes.
 """
 
 from __future__ import annotations
 
-import os
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.exprs import base_name, extension, padded_date, padded_datetime
 from ..functions.lookups import CONTENT_TYPE, DEFAULT_CONTENT_TYPE, lookup
+from ..session import work_dir
+
+COPY_CHUNK = 8 << 20
 
 
 def _ts(run_ts) -> Column:
@@ -63,7 +66,7 @@ def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> Dat
 
 
 def read_media(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """SRC-11: media objects as bytes (``path, length, content``)."""
+    """SRC-11: media objects as bytes (``path, length, content``), for objects that fit a row (below 2 GB)."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -74,37 +77,57 @@ def copy_media(spark: SparkSession, src_root: str, dest_root: str, source: str,
                glob: str | None = None) -> DataFrame:
     """Copy every media file to its manifest destination; returns the manifest.
 
-    One scan of the media files: the destination is a projection of the same
-    rows that carry the bytes (no join, no shuffle of content). Bytes are
-    written executor-side (``foreachPartition``) through ``pyarrow.fs``, which
-    resolves local, HDFS and object-store URIs; one file per row, so a task
-    holds one object at a time.
+    Files are listed without their bytes; :func:`copy_objects` streams them.
     """
-    media = read_media(spark, src_root, glob)
-    plan = manifest(media, source, _ts(run_ts), keep=["content"])
-    write_objects(plan, dest_root)
-    return plan.drop("content")
+    plan = manifest(list_objects(spark, src_root, glob), source, _ts(run_ts))
+    return copy_objects(plan, dest_root)
+
 
+def copy_objects(plan: DataFrame, dest_root: str) -> DataFrame:
+    """Copy each row's ``src_path`` to ``<dest_root>/<dest_path>`` on the executors; returns the rows with ``copied`` bytes.
 
-def write_objects(plan: DataFrame, dest_root: str) -> None:
-    """Write each row's ``content`` to ``<dest_root>/<dest_path>`` from the executors."""
-    root = dest_root.rstrip("/")
-    root_uri = root if "://" in root else "file://" + _abs(root)
+    Only names are shuffled. A task opens its objects one by one through ``pyarrow.fs``
+    (local, HDFS and object-store URIs) and copies them in chunks, so an object of any
+    size needs a constant amount of memory. A retried task writes the same bytes to the
+    same name. The result is written once under the checkpoint folder: reading it does not copy again.
+    """
+    spark = plan.sparkSession
+    root = qualified(spark, dest_root)
+    schema = T.StructType([*plan.schema.fields, T.StructField("copied", T.LongType())])
+    src, dest = plan.columns.index("src_path"), plan.columns.index("dest_path")
+    chunk = COPY_CHUNK
 
-    def write_partition(rows):
+    def run(batches):
         # Self-contained: executors need only pyarrow, not this package.
+        import pyarrow as pa
         from pyarrow import fs as pafs
 
-        fs, base = pafs.FileSystem.from_uri(root_uri)   # once per task
-        for r in rows:
-            path = f"{base.rstrip('/')}/{r.dest_path}"
-            fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
-            with fs.open_output_stream(path) as out:
-                out.write(bytes(r.content))
-
-    plan.select("dest_path", "content").foreachPartition(write_partition)
-
-
-def _abs(p: str) -> str:
-    p = p[len("file:"):] if p.startswith("file:") else p
-    return os.path.abspath(p)
+        def opened(uri):
+            if uri.startswith("file:/") and not uri.startswith("file://"):
+                uri = "file://" + uri[len("file:"):]
+            if uri.startswith("file://"):
+                return pafs.LocalFileSystem(), uri[len("file://"):]     # such names may hold spaces and other characters as they are
+            return pafs.FileSystem.from_uri(uri)
+
+        for b in batches:
+            sizes = []
+            for a, z in zip(b.column(src).to_pylist(), b.column(dest).to_pylist(), strict=True):
+                (from_fs, from_path), (to_fs, to_path) = opened(a), opened(f"{root}/{z}")
+                to_fs.create_dir(to_path.rsplit("/", 1)[0], recursive=True)
+                n = 0
+                with from_fs.open_input_stream(from_path) as i, to_fs.open_output_stream(to_path) as o:
+                    while data := i.read(chunk):
+                        o.write(data)
+                        n += len(data)
+                sizes.append(n)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(sizes, pa.int64())], [*b.schema.names, "copied"])
+
+    done = work_dir(spark, "media-copied")
+    plan.repartition(F.col("src_path")).mapInArrow(run, schema).write.parquet(done)
+    return spark.read.schema(schema).parquet(done)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: without one it means the cluster's default file system, as anywhere in Hadoop."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
