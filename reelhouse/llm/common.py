@@ -21,14 +21,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Rows of a narrow table that one writing task takes, where the number of rows is known.
+ROWS_PER_TASK = 200_000
+
+
+def stage(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back.
 
+    ``rows``, a known bound of its rows, keeps a small narrow table from becoming many files: the
+    last step then runs in one task for each `ROWS_PER_TASK` rows, so tasks grow with the table.
+
     Cuts lineage: a lost executor costs a re-read of the table, and values that depend on
     the partitioning (row ids, partition ids) are fixed from here on.
     """
     spark = df.sparkSession
     path = work_dir(spark, name)
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -39,7 +39,7 @@ def components(links: DataFrame) -> DataFrame:
     mark = F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
     seen = tuple(now.agg(*mark).first())
     while seen[0]:
-        now = stage(_star(_star(now, True), False), "links")
+        now = stage(_star(_star(now, True), False), "links", rows=2 * seen[0])
         after = tuple(now.agg(*mark).first())
         if after == seen:
             break

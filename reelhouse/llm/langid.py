@@ -36,7 +36,7 @@ from pyspark.sql import types as T
 from reelhouse.llm.common import sampled_ids, slices
 
 #: Bounds of the sample and of the model, for each language.
-ROWS_PER_LANG, WORDS, GRAMS, LONGEST, LANGS = 1_500, 20_000, 8_000, 4, 64
+ROWS_PER_LANG, WORDS, GRAMS, LONGEST, LANGS = 1_500, 12_000, 5_000, 4, 64
 UNKNOWN = "und"
 MEMO = 200_000
 
@@ -131,7 +131,7 @@ def train(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id",
     entries = kept.select("_lang", "size", "term", "n").toArrow()         # bounded: LANGS * (WORDS + LONGEST * GRAMS)
 
     index: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-    cells, n_rows = [], 0
+    cells, n_rows = [], 0      # freed on return; the model holds the table and the dictionaries
     for language, size, term, n in zip(*(entries.column(i).to_pylist() for i in range(4)), strict=True):
         row = index[size].get(term)
         if row is None:

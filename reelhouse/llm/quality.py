@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from reelhouse.llm.common import sampled_ids, slices, stage
 
 #: Bounds of the labelled sample, for each class.
-SAMPLE_ROWS, SAMPLE_BYTES = 2_000, 8 << 20
+SAMPLE_ROWS, SAMPLE_BYTES = 1_500, 4 << 20
 DICT_BYTES, PIECE_BYTES, LEVEL = 131_072, 512, 3
 
 

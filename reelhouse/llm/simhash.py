@@ -221,13 +221,14 @@ def linked_components(fps: DataFrame, tau: int) -> DataFrame:
     if n < 2:
         return nodes.select("fp", F.col("id").alias("least"))
     parts = plan(nodes.select("fp"), n, tau)
+    each = n * len(parts)                   # rows of a table with a value of each part
 
     # Contract: each fingerprint against the smallest one that has its value in a part.
     own = stage(nodes.select("fp", F.explode(_values(parts, F.col("fp"), False)).alias("at")).select("fp", "at.*"), "simhash-values")
     centres = own.groupBy("part", "value").agg(F.min("fp").alias("centre"), F.count("*").alias("members")).filter("members > 1")
-    shared = stage(own.join(centres, ["part", "value"]), "simhash-shared")
+    shared = stage(own.join(centres, ["part", "value"]), "simhash-shared", rows=each)
     stars = components(shared.filter(_linked("fp", "centre", tau)).select(F.col("fp").alias("a"), F.col("centre").alias("b")))
-    named = stage(nodes.select("fp").join(stars, nodes.fp == stars.node, "left").select("fp", F.coalesce("component", "fp").alias("comp")), "simhash-stars")
+    named = stage(nodes.select("fp").join(stars, nodes.fp == stars.node, "left").select("fp", F.coalesce("component", "fp").alias("comp")), "simhash-stars", rows=n)
 
     # The component with the most members of each value; it need not be held against itself.
     held = own.join(named, "fp")
@@ -236,7 +237,7 @@ def linked_components(fps: DataFrame, tau: int) -> DataFrame:
     probing = named.select("fp", "comp", F.explode(_values(parts, F.col("fp"), True)).alias("at")).select("fp", "comp", "at.*")
     if all(t == 0 for _, t in parts):
         most = most.filter("comps > 1")           # a value with one component has nothing to compare
-    data = stage(held.join(most, ["part", "value"]).select("part", "value", F.col("fp").alias("other"), F.col("comp").alias("other_comp"), "most"), "simhash-data")
+    data = stage(held.join(most, ["part", "value"]).select("part", "value", F.col("fp").alias("other"), F.col("comp").alias("other_comp"), "most"), "simhash-data", rows=each)
     probes = probing.join(most.select("part", "value", "most"), ["part", "value"])
     test = (F.col("fp") < F.col("other")) & (F.col("comp") != F.col("other_comp")) & _linked("fp", "other", tau)
 
@@ -244,11 +245,12 @@ def linked_components(fps: DataFrame, tau: int) -> DataFrame:
         p, d = probe.select("part", "value", "fp", "comp"), with_.select(F.col("part").alias("p"), F.col("value").alias("v"), "other", "other_comp")
         return p.join(d, (F.col("part") == F.col("p")) & (F.col("value") == F.col("v")) & test).select(F.col("comp").alias("a"), F.col("other_comp").alias("b"))
 
-    probes = stage(probes, "simhash-probes")
+    flips = sum(comb(len(part), k) for part, t in parts for k in range(t + 1))
+    probes = stage(probes, "simhash-probes", rows=n * flips)
     bridges = met(probes.filter("comp <> most"), data).unionByName(met(probes.filter("comp = most"), data.filter("other_comp <> most")))
     joined = components(bridges.distinct())
     groups = named.join(joined, named.comp == joined.node, "left").select("fp", F.coalesce("component", "comp").alias("group"))
-    groups = stage(groups.join(nodes, "fp").select("fp", "group", "id"), "simhash-groups")
+    groups = stage(groups.join(nodes, "fp").select("fp", "group", "id"), "simhash-groups", rows=n)
     least = groups.groupBy("group").agg(F.min("id").alias("least"))
     return groups.join(least, "group").select("fp", "least")
 
