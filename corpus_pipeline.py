@@ -34,7 +34,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each normalised text."""
-    return exact_dedup.deduplicate(docs, exact_dedup.new_index(spark))
+    return exact_dedup.deduplicate(docs, exact_dedup.new_index(spark, exact_dedup.buckets_for(docs.count())))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,6 +32,9 @@ from reelhouse.session import path_exists, work_dir
 WHITE_SPACE = r"[\x20\x09-\x0D]+"
 #: Texts with at least 1 / HOT_SHARE of a batch's rows are hot: there are HOT_SHARE of them at most.
 HOT_SHARE = 200
+#: A new index gets a bucket for each so many expected digests (about 200 MB of them), between two bounds;
+#: the upper one is Spark's own largest number of buckets.
+DIGESTS_PER_BUCKET, LEAST_BUCKETS, MOST_BUCKETS = 4_000_000, 64, 100_000
 
 
 def text_digest(text: Column | str) -> Column:
@@ -85,8 +88,13 @@ class DigestIndex:
         return both.withColumn("kept", F.coalesce(F.col("row") == F.col("keep_row"), F.lit(False))).drop("keep_row")
 
 
-def new_index(spark: SparkSession, buckets: int = 64) -> DigestIndex:
-    """An empty index of this run under the shared checkpoint folder."""
+def buckets_for(rows: int) -> int:
+    """Buckets of an index that is to hold the digests of ``rows`` texts; a bucket is one task's share."""
+    return min(MOST_BUCKETS, max(LEAST_BUCKETS, -(-rows // DIGESTS_PER_BUCKET)))
+
+
+def new_index(spark: SparkSession, buckets: int = LEAST_BUCKETS) -> DigestIndex:
+    """An empty index of this run under the shared checkpoint folder; see `buckets_for`."""
     return DigestIndex(spark, work_dir(spark, "digest-index"), buckets)
 
 

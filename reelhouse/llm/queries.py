@@ -23,7 +23,8 @@ def fold(id_col: str, parts: int) -> Column:
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.decisions(table(spark, sf_dir, "documents"), exact_dedup.new_index(spark))
+    docs = table(spark, sf_dir, "documents")
+    return exact_dedup.decisions(docs, exact_dedup.new_index(spark, exact_dedup.buckets_for(docs.count())))
 
 
 def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
