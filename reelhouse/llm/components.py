@@ -2,7 +2,8 @@
 
 Each round is two map-side-combined groupings and joins on (node, neighbour) pairs; links,
 nodes and labels stay in Spark. Every round is written under the checkpoint folder, and only a
-count and a checksum come to the driver, to see whether a round changed anything.
+count and one yes or no come to the driver: the rounds end when every link leads from a node
+with no other link to the centre of its star, which a further round would not change.
 """
 
 from __future__ import annotations
@@ -25,7 +26,15 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
         out = joined.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(joined.select("a", F.col("m").alias("b")))
-    return out.filter("a <> b").distinct()
+    return out.filter("a <> b")
+
+
+def _only_stars(links: DataFrame) -> bool:
+    """Whether each node is either a centre (never ``a``) or in one link only. One map-side-combined grouping."""
+    ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into")),
+                                          F.struct(F.col("b").alias("node"), F.lit(0).alias("out"), F.lit(1).alias("into")))).alias("end")).select("end.*")
+    each = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return each.agg(F.max((F.col("out") > 0).cast("int") * (F.col("out") - 1 + F.col("into")))).first()[0] in (None, 0)
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,14 +45,8 @@ def components(links: DataFrame) -> DataFrame:
     """
     links = links.select("a", "b").filter("a <> b")
     now = stage(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
-    mark = F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-    seen = tuple(now.agg(*mark).first())
-    while seen[0]:
-        now = stage(_star(_star(now, True), False), "links", rows=2 * seen[0])
-        after = tuple(now.agg(*mark).first())
-        if after == seen:
-            break
-        seen = after
+    while not _only_stars(now):
+        now = stage(_star(_star(now, True), False).distinct(), "links", rows=2 * now.count())
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     centres = now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
     return stars.unionByName(centres)

@@ -405,6 +405,26 @@ def test_simhash_keep_one(spark):
     assert simhash.near_duplicates(docs(spark, []), 4, 4).count() == 0
 
 
+def test_digest_index_grows_by_buckets():
+    """A bucket is one task's share, so their number follows the rows, between the two bounds."""
+    assert exact_dedup.buckets_for(0) == exact_dedup.buckets_for(1_000_000) == exact_dedup.LEAST_BUCKETS
+    assert exact_dedup.buckets_for(50_000_000_000) == 12_500
+    assert exact_dedup.buckets_for(10 ** 15) == exact_dedup.MOST_BUCKETS
+
+
+def test_components_of_stars_chains_and_grids(spark):
+    """Links that are stars already end without a round; long chains, cycles and crossing stars give one label each."""
+    schema = "a long, b long"
+    stars = [(i, i % 7) for i in range(7, 300)]
+    chain = [(1000 + i, 1001 + i) for i in range(130)]
+    cycle = [(2000 + i, 2000 + (i + 1) % 9) for i in range(9)]
+    grid = [(3000 + 10 * x + y, 3000 + 10 * u + v) for x in range(6) for y in range(6) for u, v in ((x + 1, y), (x, y + 1)) if u < 6 and v < 6]
+    for links in (stars, chain, cycle, grid, [*stars, *chain, *cycle, *grid, *stars]):
+        want = closed(links, {n for link in links for n in link})
+        got = components.components(spark.createDataFrame(links, schema)).collect()
+        assert len(got) == len(want) and {r.node: r.component for r in got} == want
+
+
 def test_components(spark):
     rng = random.Random(4)
     links = [(rng.randrange(400), rng.randrange(400)) for _ in range(260)] + [(i, i + 1) for i in range(500, 560)] + [(700, i) for i in range(701, 900)]
