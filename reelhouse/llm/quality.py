@@ -9,11 +9,13 @@ difference and the log of the length turns it into a calibrated score.
 The dictionaries are trained on one half of a bounded sample of the labelled rows, the curve
 is fitted on the other half, whose texts the dictionaries have not seen. The bounds are
 parameters (`SAMPLE_ROWS` and `SAMPLE_BYTES` per class); rows are taken in the order of a hash
-of their id. Scoring covers whole texts of every row and needs no shuffle.
+of their id. Every sampled row takes part: where the texts of a class exceed the bytes, the
+longest are held to one common length, in passages spread over the whole text, so no text uses
+up the others' share. Scoring covers whole texts of every row and needs no shuffle.
 
 Nulls count as empty; an empty text has no difference and gets the score the curve gives to
 that. Labels that are null or neither 0 nor 1 are ignored. With one class missing (or none)
-the score is the share of good rows seen, 0.5 without any. Only the id and the text of the
+the score is the share of good rows among all training rows, 0.5 without any. Only the id and the text of the
 scored table are read, so extra columns cannot clash; repeated rows are scored alike.
 """
 
@@ -22,6 +24,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +38,8 @@ from reelhouse.llm.common import sampled_ids, slices, stage
 #: Bounds of the labelled sample, for each class.
 SAMPLE_ROWS, SAMPLE_BYTES = 1_500, 4 << 20
 DICT_BYTES, PIECE_BYTES, LEVEL = 131_072, 512, 3
+#: A text that is too long for its share of the sample gives so many passages at most.
+PASSAGES = 64
 
 
 @dataclass(frozen=True)
@@ -100,23 +105,53 @@ def _fit(features: np.ndarray, label: np.ndarray, ridge: float = 1e-2, steps: in
     return w
 
 
+def common_length(lengths: list[int], size: int) -> int:
+    """The largest length to which all texts can be held so that they have ``size`` bytes together."""
+    left, n = size, len(lengths)
+    for i, x in enumerate(sorted(lengths)):
+        if x * (n - i) > left:
+            return max(left // (n - i), 1)
+        left -= x
+    return max(lengths, default=1)
+
+
+def held_to(text: str, limit: int) -> str:
+    """``text``, or passages of ``limit`` bytes together, spread evenly over it and placed by a hash."""
+    data = text.encode()
+    if len(data) <= limit:
+        return text
+    parts = min(max(limit // PIECE_BYTES, 1), PASSAGES)
+    width, length = len(data) // parts, max(limit // parts, 1)
+    starts = (i * width + crc32(b"%d/%d" % (i, len(data))) % (width - length + 1) for i in range(parts))
+    return b"".join(data[at:at + length] for at in starts).decode(errors="ignore")
+
+
 def sample_labelled(docs: DataFrame, labels: DataFrame, where: Column, id_col: str, text: str, label: str,
-                    rows: int, size: int) -> DataFrame:
-    """At most ``rows`` rows and about ``size`` bytes of each class: (_y, _text), whole texts.
+                    rows: int, size: int) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``rows`` rows and about ``size`` bytes of each class, (_id, _y, _text, _n), and the classes' numbers of training rows.
 
     The choice is made on ids and lengths; only then are the chosen texts read, through a
-    broadcast of at most ``2 * rows`` ids.
+    broadcast of at most ``2 * rows`` ids. ``_n`` is the size of the whole text.
     """
     marked = (labels.filter(F.col(label).isin(0, 1)).groupBy(F.col(id_col).alias("_id"))
               .agg(F.max(label).cast("int").alias("_y")))     # one label for an id: 1 if any row says so
     lengths = docs.filter(where).select(F.col(id_col).alias("_id"), F.octet_length(text).alias("_n")).filter("_n > 0")
-    known = stage(lengths.join(marked, "_id"), "quality-labelled")
+    known = stage(lengths.join(marked, "_id").groupBy("_y", "_id").agg(F.max("_n").alias("_n")), "quality-labelled")
+    counts = {0: 0, 1: 0} | {r["_y"]: r["count"] for r in known.groupBy("_y").count().collect()}
     top = sampled_ids(known, "_y", "_id", rows)                 # at most 2 * rows ids
-    sized = known.join(F.broadcast(top), ["_y", "_id"]).groupBy("_y", "_id", "rank").agg(F.max("_n").alias("_n"))
-    chosen = sized.withColumn("_sum", F.sum("_n").over(W.partitionBy("_y").orderBy("rank"))).filter(F.col("_sum") - F.col("_n") < size)
-    chosen = chosen.select("_id", "_y")
-    texts = docs.filter(where).select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
-    return texts.join(F.broadcast(chosen), "_id").groupBy("_id").agg(F.max("_y").alias("_y"), F.max("_text").alias("_text"))
+    chosen = stage(known.join(F.broadcast(top), ["_y", "_id"]).select("_id", "_y", "_n"), "quality-sample", 2 * rows)
+    sizes = chosen.select("_y", "_n").collect()                 # at most 2 * rows numbers
+    limit = {y: common_length([r["_n"] for r in sizes if r["_y"] == y], size) for y in (0, 1)}
+    texts = docs.filter(where).select(F.col(id_col).alias("_id"), F.col(text).alias("_text")).filter("_text <> ''")
+    found = texts.join(F.broadcast(chosen.select("_id", "_y")), "_id").select("_id", "_y", "_text", F.octet_length("_text").alias("_n"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, 2):
+            short = [held_to(t, limit[y]) for t, y in zip(b.column(2).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(short, pa.string()), b.column(3)], b.schema.names)
+
+    held = found.mapInArrow(run, found.schema).groupBy("_id").agg(F.max("_y").alias("_y"), F.max(F.struct("_text", "_n")).alias("_held"))
+    return held.select("_id", "_y", "_held.*"), counts
 
 
 def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_col: str = "doc_id", text: str = "text",
@@ -125,12 +160,11 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     import zstandard as z
 
     where = F.lit(True) if where is None else where
-    sample = sample_labelled(docs, labels, where, id_col, text, label, rows, size)
+    sample, counts = sample_labelled(docs, labels, where, id_col, text, label, rows, size)
     got = sample.orderBy(F.xxhash64("_id"), "_id").collect()    # at most 2 * rows texts and about 2 * size bytes
-    by_class = {y: [r["_text"].encode() for r in got if r["_y"] == y] for y in (0, 1)}
-    n = {y: len(v) for y, v in by_class.items()}
-    prior = n[1] / (n[0] + n[1]) if got else 0.5
-    if min(n.values()) < 8:
+    by_class = {y: [(r["_text"].encode(), r["_n"]) for r in got if r["_y"] == y] for y in (0, 1)}
+    prior = counts[1] / (counts[0] + counts[1]) if got else 0.5
+    if min(map(len, by_class.values())) < 8:
         return QualityModel(b"", b"", (), prior)
 
     def dictionary(texts: list[bytes]) -> bytes:
@@ -144,9 +178,9 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
         return b"".join(texts)[:DICT_BYTES]
 
     half = {y: (v[: len(v) // 2], v[len(v) // 2:]) for y, v in by_class.items()}
-    good, bad = dictionary(half[1][0]), dictionary(half[0][0])
+    good, bad = (dictionary([t for t, _ in half[y][0]]) for y in (1, 0))
     sizes = _sizer(good, bad)
-    held = [(sizes(t), y) for y in (0, 1) for t in half[y][1]]
+    held = [(np.array(sizes(t), float) * (whole / max(len(t), 1)), y) for y in (0, 1) for t, whole in half[y][1]]
     weights = _fit(_features(np.array([s for s, _ in held], float)), np.array([y for _, y in held], float))
     # The classes were sampled apart; move the curve to the shares that the labels have.
     share = labels.filter(F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from reelhouse.llm import bpe, chat, components, exact_dedup, langid, packing, quality, queries, simhash, spotsigs, tokencount, warc
-from reelhouse.llm.common import stage
+from reelhouse.llm.common import sampled_ids, stage
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -135,6 +135,27 @@ def test_quality_edges(spark):
     assert min(got[:60]) > max(got[60:120]) and got[-1] == got[-2] and 0 <= got[-1] <= 1
 
 
+def labelled_texts(n=60):
+    return [f"good words here {i} and more of them" for i in range(n)] + [f"BAD!! {i} ###" * 5 for i in range(n)]
+
+
+def test_quality_one_very_long_text_leaves_the_others_in(spark):
+    texts = labelled_texts()
+    rows = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, quality int")
+    first = {r.quality: r.doc_id for r in sampled_ids(rows, "quality", "doc_id", 60).filter("rank = 1").collect()}
+    for y, i in first.items():
+        plain = list(texts)
+        plain[i] = texts[i] * (5_000_000 // len(texts[i]) + 1)
+        sample, counts = quality.sample_labelled(docs(spark, plain), rows, F.lit(True), "doc_id", "text", "quality", 60, 4 << 20)
+        got = {r["_id"]: r for r in sample.collect()}
+        assert len(got) == 120 and counts == {0: 60, 1: 60}
+        assert 3_900_000 < len(got[i]["_text"]) <= 4 << 20 and got[i]["_n"] == len(plain[i])
+        assert all(got[j]["_text"] == t for j, t in enumerate(plain) if j != i)
+        scores = [r.score for r in quality.score(docs(spark, texts), quality.train(docs(spark, plain), rows)).orderBy("doc_id").collect()]
+        assert min(scores[:60]) > max(scores[60:]), y
+    assert quality.common_length([10, 20, 900, 1000], 400) == 185 and quality.common_length([10, 20], 400) == 20
+
+
 # --- op3 ------------------------------------------------------------------------------------
 
 def spot_sets(texts):
