@@ -182,11 +182,9 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     sizes = _sizer(good, bad)
     held = [(np.array(sizes(t), float) * (whole / max(len(t), 1)), y) for y in (0, 1) for t, whole in half[y][1]]
     weights = _fit(_features(np.array([s for s, _ in held], float)), np.array([y for _, y in held], float))
-    # The classes were sampled apart; move the curve to the shares that the labels have.
-    share = labels.filter(F.col(label).isin(0, 1)).agg(F.avg(label)).first()[0]
-    if 0 < share < 1:
-        seen = len(half[1][1]) / len(held)
-        weights[0] += math.log(share / (1 - share)) - math.log(seen / (1 - seen))
+    # The classes were sampled apart; move the curve to the shares that the training rows have.
+    seen = len(half[1][1]) / len(held)
+    weights[0] += math.log(prior / (1 - prior)) - math.log(seen / (1 - seen))
     return QualityModel(good, bad, tuple(map(float, weights)), prior)
 
 

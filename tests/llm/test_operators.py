@@ -156,6 +156,14 @@ def test_quality_one_very_long_text_leaves_the_others_in(spark):
     assert quality.common_length([10, 20, 900, 1000], 400) == 185 and quality.common_length([10, 20], 400) == 20
 
 
+def test_quality_learns_nothing_from_held_out_or_foreign_labels(spark):
+    df, held_out = docs(spark, labelled_texts()), queries.fold("doc_id", 5) == 0
+    lab = spark.createDataFrame([(i, int(i < 60)) for i in range(120)], "doc_id long, quality int")
+    flipped = lab.withColumn("quality", F.when(held_out, F.lit(1)).otherwise(F.col("quality")))
+    more = flipped.unionAll(lab.filter("doc_id < 7")).unionAll(spark.range(500, 900).selectExpr("id AS doc_id", "1 AS quality"))
+    assert quality.train(df, lab, ~held_out) == quality.train(df, more, ~held_out)
+
+
 # --- op3 ------------------------------------------------------------------------------------
 
 def spot_sets(texts):
