@@ -4,8 +4,9 @@ A turn becomes ``<turn>ROLE newline TEXT</turn> newline``. In role and text ``&`
 ``<`` becomes ``&lt;`` (in the role a newline becomes ``&#10;``), so the control strings cannot occur inside
 them and the way back is exact. The loss mask covers the escaped texts of assistant turns.
 
-Rows are sorted by conversation and turn over range partitions, so a very long conversation
-spreads over many tasks. Each task assembles its rows by columns: numpy computes the lengths of all
+Rows are sorted by conversation, turn, role and text over range partitions, so a very long
+conversation spreads over many tasks, also where its turns are null or repeated; the borders
+look at the first `BORDER` characters of a text only. Each task assembles its rows by columns: numpy computes the lengths of all
 segments (marks, roles, texts), their cumulative offsets and scatter indices, and copies
 headers and contents into one preallocated buffer, which becomes an Arrow string column of
 conversation parts. Parts are numbered (shard, part) in order; a conversation is
@@ -37,6 +38,7 @@ from reelhouse.llm.common import slices, utf8
 
 OPEN, MIDDLE, CLOSE = b"<turn>", b"\n", b"</turn>\n"
 SLICE = 1 << 20
+BORDER = 1_000
 PARTS = "conv_id long, shard int, part long, formatted string, loss array<struct<start:int,length:int>>"
 
 
@@ -95,7 +97,8 @@ def format_conversations(rows: DataFrame) -> DataFrame:
     """Conversation parts (`PARTS`) of rows (conv_id, turn, role, text)."""
     rows = rows.select(F.col("conv_id").cast("long"), "turn", utf8("role").alias("role"), utf8("text").alias("text"))
     order = ["conv_id", "turn", "role", "text"]
-    spread = rows.repartitionByRange(*[F.col(c) for c in order[:2]], F.xxhash64("role", "text")).sortWithinPartitions(*order)
+    # A beginning sorts as its text does, and texts of one beginning stay in one partition: shards follow the order.
+    spread = rows.repartitionByRange(*order[:3], F.substring("text", 1, BORDER)).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, number = TaskContext.get().partitionId(), 0

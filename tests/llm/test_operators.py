@@ -369,6 +369,23 @@ def test_chat_round_trip(spark):
     assert chat.read_back(chat.format_conversations(empty)).count() == 0
 
 
+@pytest.mark.parametrize("turn", [None, 3])
+def test_chat_order_of_rows_of_one_turn_over_several_partitions(spark, turn):
+    rng = random.Random(5)
+    rows = [(1, turn, rng.choice(["user", "assistant"]), f"{rng.choice(['', 'x' * 1500])}{rng.random()} " + "y" * 100) for _ in range(4000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        parts = stage(chat.format_conversations(df), "chat-order")
+        assert parts.select("shard").distinct().count() > 2
+        got = chat.read_back(parts).first()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    turns = sorted((r, x) for *_, r, x in rows)
+    assert got.n_turns == 4000 and got.turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+    assert got.loss_sha256 == hashlib.sha256("".join(x for r, x in turns if r == "assistant").encode()).hexdigest()
+
+
 # --- op9 ------------------------------------------------------------------------------------
 
 def plain_fingerprint(text):
