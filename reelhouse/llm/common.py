@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from reelhouse.session import work_dir
 
@@ -87,9 +88,10 @@ def sampled_ids(rows: DataFrame, group: str, id_col: str, limit: int) -> DataFra
     """
     sizes = {r[group]: r["count"] for r in rows.groupBy(group).count().collect()}
     place = F.pmod(F.xxhash64(F.lit("sample"), F.col(id_col)), F.lit(1 << 32))
-    share = F.lit(0).cast("long")
-    for value, n in sizes.items():
-        share = F.when(F.col(group) == F.lit(value), F.lit(int((1 << 32) * min(1.0, (1.1 * limit + 100) / n)))).otherwise(share)
-    let = rows.filter(place < share).select(group, id_col).distinct()
+    if not sizes:
+        return rows.select(group, id_col, F.lit(0).alias("rank")).limit(0)
+    shares = [(value, int((1 << 32) * min(1.0, (1.1 * limit + 100) / n))) for value, n in sizes.items() if value is not None]
+    share = rows.sparkSession.createDataFrame(shares, T.StructType([T.StructField(group, rows.schema[group].dataType), T.StructField("_share", T.LongType())]))
+    let = rows.join(F.broadcast(share), group).filter(place < F.col("_share")).select(group, id_col).distinct()     # a row for each group
     ranked = W.partitionBy(group).orderBy(place, id_col)
     return let.withColumn("rank", F.row_number().over(ranked)).filter(F.col("rank") <= limit)

@@ -11,9 +11,10 @@ independent.
 
 Training counts words and n-grams in Spark over a bounded sample of labelled rows
 (`ROWS_PER_LANG` rows of each language by a hash of the id; whole texts) and keeps the most
-frequent `WORDS` and, for each length, `GRAMS` of each language, and at most `LANGS` languages
-(the most frequent): so the model that executors get has a fixed bound. The languages' shares
-come from all training rows.
+frequent `WORDS` and, for each length, `GRAMS` of each language. Every language of the training
+rows is learned: above `LANGS` languages, they share the words and n-grams of `LANGS` evenly
+(`terms_for`), and the table holds only the counts that are not 0, so the model that executors
+get has a fixed bound. The languages' shares come from all training rows.
 
 Null texts and texts without a letter give `und` with score 0. Rows with a null language are
 never trained on. Without any training row every text is `und`. Repeated rows are independent;
@@ -35,19 +36,36 @@ from pyspark.sql import types as T
 
 from reelhouse.llm.common import sampled_ids, slices
 
-#: Bounds of the sample and of the model, for each language.
+#: Bounds of the sample and of the model, for each language; `LANGS` languages have them in full, more share as much.
 ROWS_PER_LANG, WORDS, GRAMS, LONGEST, LANGS = 1_500, 12_000, 5_000, 4, 64
 UNKNOWN = "und"
-MEMO = 200_000
+#: Bounds of a task's memo of unknown words: words, and numbers held for them.
+MEMO, MEMO_CELLS = 200_000, 200_000 * LANGS
+
+
+def terms_for(langs: int) -> tuple[int, int]:
+    """Words, and n-grams of each length, that the model keeps of each of ``langs`` languages."""
+    return tuple(max(1, n * LANGS // max(langs, LANGS)) for n in (WORDS, GRAMS))
 
 
 @dataclass(frozen=True)
 class LanguageModel:
     langs: tuple[str, ...]
     prior: np.ndarray
-    words: dict[str, int]                 # row of `table`
+    words: dict[str, int]                 # row of the table
     grams: tuple[dict[str, int], ...]     # by length - 1
-    table: np.ndarray                     # log probabilities, one column for each language
+    unseen: np.ndarray                    # by length (0: words): log probabilities of a known term in languages without it
+    begin: np.ndarray                     # row i of the table is begin[i]:begin[i + 1] of the next two
+    langs_of: np.ndarray                  # the languages that have the term
+    above: np.ndarray                     # its log probability there, less that of `unseen`
+
+    def rows(self, size: int, rows: list[int], times: np.ndarray) -> np.ndarray:
+        """Sum of ``times`` rows of the table, for terms of one length."""
+        at = np.array(rows)
+        n = self.begin[at + 1] - self.begin[at]
+        cells = np.arange(n.sum()) + np.repeat(self.begin[at] - np.cumsum(n) + n, n)
+        seen = np.bincount(self.langs_of[cells], self.above[cells] * np.repeat(times, n), len(self.langs))
+        return times.sum() * self.unseen[size] + seen
 
     def scorer(self):
         """A function from a text to (language, score)."""
@@ -56,6 +74,7 @@ class LanguageModel:
         letters = regex.compile(r"\p{L}+").findall
         memo: dict[str, np.ndarray] = {}
         none = np.zeros(len(self.langs))
+        most = min(MEMO, MEMO_CELLS // max(len(self.langs), 1))
 
         def backed_off(word: str) -> np.ndarray:
             marked = f"<{word}>"
@@ -63,7 +82,7 @@ class LanguageModel:
                 known = self.grams[n - 1]
                 rows = [known[g] for i in range(len(marked) - n + 1) if (g := marked[i:i + n]) in known]
                 if rows:
-                    return self.table[rows].mean(axis=0)
+                    return self.rows(n, rows, np.full(len(rows), 1 / len(rows)))
             return none
 
         def one(text: str | None) -> tuple[str, float]:
@@ -80,11 +99,11 @@ class LanguageModel:
                     continue
                 v = memo.get(word)
                 if v is None:
-                    if len(memo) >= MEMO:
+                    if len(memo) >= most:
                         memo.clear()
                     v = memo[word] = backed_off(word)
                 unknown += n * v
-            likelihood = unknown + (np.array(times, float) @ self.table[rows] if rows else 0)
+            likelihood = unknown + (self.rows(0, rows, np.array(times, float)) if rows else 0)
             total += likelihood / np.sqrt(sum(found.values()))
             best = int(np.argmax(total))
             return self.langs[best], float(1 / np.exp(total - total[best]).sum())
@@ -102,20 +121,21 @@ def train(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id",
     if where is not None:
         usable = usable & where
     labelled = docs.filter(usable)
-    shares = labelled.groupBy(F.col(lang).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(LANGS).collect()
+    shares = labelled.groupBy(F.col(lang).alias("lang")).count().collect()
     langs = tuple(sorted(r["lang"] for r in shares))
     if not langs:
-        return LanguageModel((), np.zeros(0), {}, ({},) * LONGEST, np.zeros((0, 0)))
+        return LanguageModel((), np.zeros(0), {}, ({},) * LONGEST, *[np.zeros(0)] * 4)
     at = {x: i for i, x in enumerate(langs)}
     prior = np.zeros(len(langs))
     for r in shares:
         prior[at[r["lang"]]] = np.log(r["count"])
     prior -= np.logaddexp.reduce(prior)
 
-    named = labelled.select(F.col(lang).alias("_lang"), F.col(id_col).alias("_id")).filter(F.col("_lang").isin(*langs))
-    ids = sampled_ids(named, "_lang", "_id", rows).drop("rank")            # at most rows * LANGS
+    named = labelled.select(F.col(lang).alias("_lang"), F.col(id_col).alias("_id"))
+    ids = sampled_ids(named, "_lang", "_id", rows).drop("rank")            # at most rows * languages
+    ids = F.broadcast(ids) if len(langs) <= LANGS else ids                 # of more, the join is left to Spark's size check
     texts = labelled.select(F.col(id_col).alias("_id"), F.col(lang).alias("_lang"), F.col(text).alias("_text"))
-    sample = texts.join(F.broadcast(ids), ["_id", "_lang"])
+    sample = texts.join(ids, ["_id", "_lang"])
     words = sample.select("_lang", _words(F.col("_text")).alias("term")).groupBy("_lang", "term").agg(F.count("*").alias("n")).withColumn("size", F.lit(0))
     marked = words.select("_lang", "n", F.concat(F.lit("<"), "term", F.lit(">")).alias("w"))
     grams = marked.select("_lang", "n", "w", F.explode(F.sequence(F.lit(1), F.lit(LONGEST))).alias("size")).filter(F.length("w") >= F.col("size"))
@@ -123,29 +143,30 @@ def train(docs: DataFrame, where: Column | None = None, id_col: str = "doc_id",
         F.sequence(F.lit(1), F.length("w") - F.col("size") + 1), lambda i: F.substring(F.col("w"), i, F.col("size")))).alias("term"))
     grams = grams.groupBy("_lang", "term", "size").agg(F.sum("n").alias("n"))
     counts = words.select("_lang", "term", "size", "n").unionByName(grams.select("_lang", "term", "size", "n"))
+    n_words, n_grams = terms_for(len(langs))
     top = W.partitionBy("_lang", "size").orderBy(F.desc("n"), "term")
     kept = (counts.withColumn("_k", F.row_number().over(top))
-            .filter(F.col("_k") <= max(WORDS, GRAMS))     # a fixed rank: each task cuts its share before the shuffle
-            .filter(F.col("_k") <= F.when(F.col("size") == 0, WORDS).otherwise(GRAMS)))
+            .filter(F.col("_k") <= max(n_words, n_grams))     # a fixed rank: each task cuts its share before the shuffle
+            .filter(F.col("_k") <= F.when(F.col("size") == 0, n_words).otherwise(n_grams)))
     totals = {(r["_lang"], r["size"]): r["n"] for r in counts.groupBy("_lang", "size").agg(F.sum("n").alias("n")).collect()}
-    entries = kept.select("_lang", "size", "term", "n").toArrow()         # bounded: LANGS * (WORDS + LONGEST * GRAMS)
+    entries = kept.select("_lang", "size", "term", "n").toArrow()         # at most LANGS * (WORDS + LONGEST * GRAMS)
 
     index: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-    cells, n_rows = [], 0      # freed on return; the model holds the table and the dictionaries
+    cells, n_rows = [], 0      # freed on return; the model holds arrays and the dictionaries
     for language, size, term, n in zip(*(entries.column(i).to_pylist() for i in range(4)), strict=True):
         row = index[size].get(term)
         if row is None:
             row = index[size][term] = n_rows
             n_rows += 1
         cells.append((row, at[language], n))
-    table = np.zeros((n_rows, len(langs)))
-    for row, col, n in cells:
-        table[row, col] = n
-    for size in range(LONGEST + 1):
-        own = np.fromiter(index[size].values(), np.int64, len(index[size]))
-        total = np.array([totals.get((x, size), 0) for x in langs], float)
-        table[own] = np.log((table[own] + 0.5) / (total + 0.5 * (len(own) + 1)))
-    return LanguageModel(langs, prior, index[0], tuple(index[1:]), table)
+    total = np.array([[totals.get((x, size), 0) for x in langs] for size in range(LONGEST + 1)], float)
+    size_of = np.zeros(n_rows, np.int64)
+    for size, own in enumerate(index):
+        size_of[np.fromiter(own.values(), np.int64, len(own))] = size
+    base = total + 0.5 * (np.bincount(size_of, minlength=LONGEST + 1)[:, None] + 1)
+    row, col, n = np.array(sorted(cells), np.int64).reshape(-1, 3).T
+    begin = np.searchsorted(row, np.arange(n_rows + 1))
+    return LanguageModel(langs, prior, index[0], tuple(index[1:]), np.log(0.5 / base), begin, col, np.log((n + 0.5) / 0.5))
 
 
 def identify(df: DataFrame, model: LanguageModel, text: str = "text", columns: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:

@@ -339,6 +339,19 @@ def test_language_edges(spark):
     assert {r.p for r in langid.identify(df, none, columns=("p", "s")).collect()} == {"und"}
 
 
+def test_language_learns_every_language(spark):
+    rng = random.Random(8)
+    own = {f"l{k:02d}": ["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(20)] for k in range(70)}
+    rows = [(i * 100 + k, " ".join(rng.choices(own[x], k=60)), x) for k, x in enumerate(own) for i in range(8 if k < 64 else 7)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == tuple(sorted(own))
+    new = [(" ".join(rng.choices(own[x], k=60)), x) for x in own]
+    got = langid.identify(spark.createDataFrame(new, "text string, lang string"), model).collect()
+    assert [r.lang_pred for r in got] == [r.lang for r in got] and min(r.score for r in got) > 0.5
+    words, grams = langid.terms_for(1000)
+    assert langid.terms_for(5) == (langid.WORDS, langid.GRAMS) and 0 < words * 1000 <= langid.WORDS * langid.LANGS and grams > 0
+
+
 # --- op8 ------------------------------------------------------------------------------------
 
 def test_chat_round_trip(spark):
