@@ -1,10 +1,14 @@
 """Document fingerprints by spot signatures, in DataFrame functions only.
 
-A text is lower-cased and cut into words (runs of letters and digits). Very common words (a fixed
-list for four languages) are anchors, all others content words. After each run of anchors, its last
+A text is lower-cased and cut into words (runs of letters and digits; Chinese and Japanese runs are
+cut at their function characters too). Very common words are anchors: a fixed list for languages in
+Latin script, the function characters, and in other scripts every word of at most three letters, as
+function words are short. All others are content words. After each run of anchors, its last
 word and the next `CHAIN` content words, anchors between them skipped, form one signature: a
 32-bit hash. Boilerplate without running speech has few anchors and so
-few signatures. The fingerprint is the set of signatures. A text with no complete chain has one
+few signatures. A text with fewer than one such chain for each `SPARSE` words (a language that no
+rule above meets) also gets a chain at each word whose hash is a multiple of `PICK`: that word and
+the next `CHAIN`. The fingerprint is the set of signatures. A text with no chain at all has one
 signature, of all its words, or of the raw text if it has no word; only the empty text has none.
 
 Two fingerprints are compared by Jaccard similarity, pruned by set length: the similarity is at
@@ -38,7 +42,26 @@ a an and are as at be but by for from had has have he her his i in is it its not
 au aux avec ce ces dans de des du elle en est et il ils je la le les leur lui mais ne nous on ou par pas plus pour que qui sa se ses son sont sur un une vous
 aber als am auch auf aus bei das dem den der des die ein eine einen einer er es für hat ich ihr im ist mit nach nicht noch sein sich sie sind über um und vom von war wie wir zu zum zur
 al como con del el ella ellos entre era esta este fue ha las lo los más me mi muy no nos para pero por sin su sus también te tiene todo una uno y ya
+che di della dei è gli il nel più sono
+ao às da do dos em foi mas não os pelo são uma
+aan bij dat een het maar niet ook te van voor werd wordt zijn
+att av det ett från för han inte jag och på som till var
+af at blev der eller fra har ikke med og på til
+ale do jak jest na nie od przez się to w z że
+ako ale byl jako je jsou která který na pro před se v ve že
+care cu din este la mai nu pe pentru prin și sunt
+bir bu çok da daha de gibi için ile olan olarak ve
+ei että hän ja joka kun mutta myös ne oli on ovat se
+az egy és hogy is meg nem volt
+ada dalam dan dari dengan di ini itu ke oleh pada untuk yang
+các cho có của đã được là một những này không trong và với
+katika kwa na ni wa ya za
 """.split()
+#: Chinese and Japanese function characters; each is a word of its own, and an anchor.
+CHARACTERS = "的了是在不和有这這也就のはをにがとでも"
+#: Words of other scripts that are anchors by their length.
+SHORT = r"[\p{L}&&[^\p{IsLatin}\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]{1,3}"
+SPARSE, PICK = 64, 4
 CHAIN = 2
 MARK = "\x01"
 THRESHOLD = 0.8
@@ -50,7 +73,7 @@ def _anchor_pattern() -> str:
     for w in ANCHORS:
         by_first.setdefault(w[0], set()).add(w[1:])
     branches = (f"{a}(?:{'|'.join(sorted(rest, key=lambda x: (-len(x), x)))})" for a, rest in sorted(by_first.items()))
-    return f" (?=(?:{'|'.join(branches)}) )"
+    return f" (?=(?:{'|'.join(branches)}|[{CHARACTERS}]|{SHORT}) )"
 
 
 def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
@@ -59,18 +82,25 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     Every anchor is first glued to the word before it, with a mark instead of the space, so that
     splitting at spaces gives the content words, each with the run of anchors that follows.
     """
-    s, e, c, z = (f"_{out}_{x}" for x in ("spaced", "words", "content", "chains"))
+    s, e, c, z, k = (f"_{out}_{x}" for x in ("spaced", "words", "content", "chains", "hashes"))
     spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(utf8(text)), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     df = df.withColumn(s, spaced)
+    df = df.withColumn(s, F.when(F.col(s).rlike(f"[{CHARACTERS}]"), F.regexp_replace(F.regexp_replace(s, f"([{CHARACTERS}])", " $1 "), " +", " ")).otherwise(F.col(s)))
     df = df.withColumn(e, F.split(F.rtrim(F.regexp_replace(F.col(s), _anchor_pattern(), MARK)), " "))
     df = df.withColumn(c, F.transform(F.col(e), lambda x: F.substring_index(x, MARK, 1)))
     size = F.greatest(F.size(e) - CHAIN, F.lit(0))
     fields = [F.slice(e, F.lit(1), size).alias("e"), *(F.slice(c, F.lit(i + 2), size).alias(f"c{i}") for i in range(CHAIN))]
     df = df.withColumn(z, F.filter(F.arrays_zip(*fields), lambda x: F.contains(x["e"], F.lit(MARK))))
     chains = F.transform(F.col(z), lambda x: F.hash(F.substring_index(x["e"], MARK, -1), *(x[f"c{i}"] for i in range(CHAIN))))
+    following = F.arrays_zip(F.slice(c, F.lit(1), size).alias("w"), *(F.slice(c, F.lit(i + 2), size).alias(f"c{i}") for i in range(CHAIN)))
+    picked = F.filter(following, lambda x: (x["w"] != "") & (F.pmod(F.hash(x["w"]), F.lit(PICK)) == 0))
+    picks = F.transform(picked, lambda x: F.hash(x["w"], *(x[f"c{i}"] for i in range(CHAIN))))
+    sparse = F.size(c) - 1 >= SPARSE * (F.size(z) + 1)
+    chains = F.when(sparse, F.concat(chains, picks)).otherwise(chains)
+    df, chains = df.withColumn(k, chains), F.col(k)
     whole = F.when(F.trim(s) != "", F.hash(s)).otherwise(F.hash(utf8(text)))
-    found = F.when(F.size(z) > 0, F.array_sort(F.array_distinct(chains))).when(utf8(text) == "", F.array().cast("array<int>")).otherwise(F.array(whole))
-    return df.withColumn(out, found).drop(s, e, c, z)
+    found = F.when(F.size(k) > 0, F.array_sort(F.array_distinct(chains))).when(utf8(text) == "", F.array().cast("array<int>")).otherwise(F.array(whole))
+    return df.withColumn(out, found).drop(s, e, c, z, k)
 
 
 def fingerprint(signatures: Column | str) -> Column:

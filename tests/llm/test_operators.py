@@ -218,6 +218,26 @@ def test_spot_near_duplicates_against_all_pairs(spark):
     assert got == want and len(set(want.values())) < len(texts) - 20
 
 
+SPOT_LANGUAGES = {
+    "ru": "Старый мост через реку был построен в прошлом веке и с тех пор не раз менялся, но жители города по нему ходят на рынок, "
+          "а дети из школы бегут к воде, где у берега стоят лодки и рыбаки продают свежую рыбу до самого вечера",
+    "el": "Το παλιό γεφύρι πάνω από το ποτάμι χτίστηκε τον περασμένο αιώνα και από τότε άλλαξε πολλές φορές, μα οι κάτοικοι της πόλης "
+          "περνούν με τα πόδια για την αγορά και τα παιδιά τρέχουν ως το νερό όπου οι βάρκες περιμένουν",
+    "zh": "老桥是在上个世纪建成的，从那以后城里的居民每天都在桥上走过，孩子们放学了就跑到河边看小船，渔夫在岸上卖新鲜的鱼，天黑了也不回家，市场和学校有很多人来往",
+    "it": "Il vecchio ponte sopra il fiume è stato costruito nel secolo scorso e da allora gli abitanti della città passano di qui per "
+          "andare al mercato, mentre i ragazzi che tornano dalla scuola corrono verso la riva dove sono ferme le barche dei pescatori",
+    "none": " ".join(f"vok{a}{b}lim" for a in "abcdefghij" for b in "klmnopqrst"),
+}
+
+
+def test_spot_signatures_of_other_languages_survive_one_changed_word(spark):
+    texts = [x for t in SPOT_LANGUAGES.values() for x in (t, t[:-2] + "xq")]
+    got = spotsigs.with_signatures(docs(spark, texts), "text", "sigs").select("doc_id", "sigs").orderBy("doc_id").collect()
+    for i, lang in enumerate(SPOT_LANGUAGES):
+        a, b = set(got[2 * i].sigs), set(got[2 * i + 1].sigs)
+        assert len(a) >= 5 and jaccard(a, b) >= 0.6, (lang, len(a), jaccard(a, b))
+
+
 # --- op4 ------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("seed", range(6))
