@@ -42,10 +42,24 @@ def text_digest(text: Column | str) -> Column:
     return F.unhex(F.sha2(F.regexp_replace(utf8(text), WHITE_SPACE, " ").cast("binary"), 256))
 
 
+def _made_with(spark: SparkSession, path: str) -> list[int]:
+    """The numbers of buckets of the indexes at ``path``, from their folders' names."""
+    if not path_exists(spark, path):
+        return []
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(folder)
+    names = [f.getPath().getName() for f in found]
+    return sorted(int(x.partition("=")[2]) for x in names if x.startswith("digest_buckets="))
+
+
 class DigestIndex:
-    """The persistent index at ``path``; reopened by another session with the same path and ``buckets``."""
+    """The persistent index at ``path``; reopened by path, with the buckets it was made with (``buckets`` is for a new one)."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        made = _made_with(spark, path)
+        if len(made) > 1:
+            raise ValueError(f"{path} holds several indexes, with {made} buckets; merge them first")
+        buckets = made[0] if made else buckets
         self.spark, self.buckets = spark, buckets
         self.path = f"{path.rstrip('/')}/digest_buckets={buckets}"
         self.table = f"digest_index_{uuid.uuid5(uuid.NAMESPACE_URL, self.path).hex}"

@@ -91,6 +91,14 @@ def test_exact_dedup_index_persists_and_appends(spark):
     assert exact_dedup.decisions(docs(spark, []), again).count() == 0
 
 
+def test_exact_dedup_index_keeps_its_buckets_when_reopened_with_another_count(spark):
+    index = exact_dedup.new_index(spark, 8)
+    exact_dedup.decisions(docs(spark, ["x", "y"]), index).count()
+    again = exact_dedup.DigestIndex(spark, index.path.rsplit("/", 1)[0], 16)
+    second = {r.doc_id: r.kept for r in exact_dedup.decisions(docs(spark, ["y", "z"], [10, 11]), again).collect()}
+    assert again.buckets == 8 and second == {10: False, 11: True} and again.read().count() == 3
+
+
 def test_exact_dedup_anti_join_reads_the_index_by_bucket(spark):
     index = exact_dedup.new_index(spark, 8)
     exact_dedup.decisions(docs(spark, ["x", "y"]), index)
