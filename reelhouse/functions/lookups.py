@@ -1,4 +1,4 @@
-"""Constant lookups (content type by extension, folder and table by entity).
+"""Constant lookups (content type by extension, folder by entity).
 
 They are small literal maps, so they are applied as ``create_map`` literals
 inside the projection: no join and no broadcast is planned for them.
@@ -14,12 +14,6 @@ from pyspark.sql import functions as F
 # Fixed values that must equal the rebuilt system's configuration.
 CONTENT_TYPE = {"json": "application/json", "mp4": "video/mp4"}
 FOLDER = {"video": "Video", "caption": "Caption", "thumbnail": "Thumbnail", "channel": "Channel"}
-TABLE_ID = {
-    "Video": "Metadata_video",
-    "Channel": "Metadata_channel",
-    "Caption": "Metadata_caption",
-    "Thumbnail": "Metadata_thumbnail",
-}
 SEARCH_TERM = "meme"
 WATCH_URL_PREFIX = "https://www.youtube.com/watch?v="
 DEFAULT_CONTENT_TYPE = "application/octet-stream"

@@ -5,13 +5,13 @@ age-restricted (FLT-2), it is already stored (FLT-3, a substring test
 against every object name), or it has no progressive mp4 stream with itag
 22 (FLT-4; a missing stream list counts as "no stream").
 
-The substring test (JOIN-2) never compares every candidate with every name:
-each object name is exploded into its substrings of the candidate-key
-lengths that occur, the substrings are de-duplicated (partial aggregation
-map-side, so a substring shared by a third of all names collapses before the
-shuffle) and the candidates are matched by *equality*, i.e. a hash /
-sort-merge join instead of a nested loop. The set of key lengths is a tiny
-aggregate (bounded by the longest key), the only value brought to the driver.
+The substring test (JOIN-2) never compares every candidate with every name.
+Names are probed in place with a Bloom filter of the candidate keys
+(``operators/bloom.py``), and only the pieces that pass are shuffled and
+matched by *equality*, which is the exact test. ``method="grams"`` is the
+same test without Python: each name is exploded into its substrings of the
+key lengths that occur, and these are matched. Key lengths (bounded by the
+longest key) and the filter (bounded in bits) are all that comes to the driver.
 
 Substring false positives (an id inside a longer id or a metadata file
 name) are kept: that is the rule being rebuilt.
@@ -22,6 +22,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import bloom
+
+
 def no_itag_22(streams: Column | str) -> Column:
     """FLT-4: true when no progressive mp4 stream has itag 22 (null list -> true)."""
     s = F.col(streams) if isinstance(streams, str) else streams
@@ -36,7 +39,7 @@ def _key_lengths(candidates: DataFrame, key: str) -> list[int]:
 
 
 def name_substrings(names: DataFrame, name_col: str, lengths: list[int]) -> DataFrame:
-    """Distinct substrings of the given lengths over all names (column ``gram``)."""
+    """Substrings of the given lengths of all names (column ``gram``), each name's own ones once."""
     n = F.length(F.col(name_col))
     none = F.array().cast("array<string>")
 
@@ -49,25 +52,28 @@ def name_substrings(names: DataFrame, name_col: str, lengths: list[int]) -> Data
     grams = F.flatten(F.array(*per_len)) if per_len else F.array().cast("array<string>")
     return (
         names.where(F.col(name_col).isNotNull())
-        .select(F.explode(grams).alias("gram"))
-        .distinct()
+        .select(F.explode(F.array_distinct(grams)).alias("gram"))
     )
 
 
 def stored_keys(candidates: DataFrame, names: DataFrame, key: str = "video_id",
-                name_col: str = "path") -> DataFrame:
+                name_col: str = "path", method: str = "bloom") -> DataFrame:
     """Distinct candidate keys found as a substring of some name (column ``key``)."""
-    lengths = _key_lengths(candidates, key)
-    grams = name_substrings(names, name_col, lengths)
     keys = candidates.select(F.col(key)).where(F.col(key).isNotNull()).distinct()
+    if method == "bloom":
+        grams = bloom.windows(names.select(name_col), keys)
+    elif method == "grams":
+        grams = name_substrings(names, name_col, _key_lengths(candidates, key))
+    else:
+        raise ValueError(f"unknown method {method!r}")
     return keys.join(grams, keys[key] == grams["gram"], "left_semi")
 
 
-def not_stored(candidates: DataFrame, names: DataFrame, key: str = "video_id", name_col: str = "path") -> DataFrame:
+def not_stored(candidates: DataFrame, names: DataFrame, key: str = "video_id", name_col: str = "path", method: str = "bloom") -> DataFrame:
     """JOIN-2 / FLT-3: candidates whose key is a substring of no name."""
     # Match distinct keys first (a key repeated by a third of all candidates is
     # one row here), then drop the hits from the candidates.
-    hits = stored_keys(candidates, names, key, name_col)
+    hits = stored_keys(candidates, names, key, name_col, method)
     return candidates.join(hits, key, "left_anti")
 
 

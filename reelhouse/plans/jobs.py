@@ -23,7 +23,7 @@ from ..functions.lookups import SEARCH_TERM
 from ..operators import eligibility, entities
 from ..operators.gate import sql_gate as gate  # noqa: F401  (J9)
 from ..operators.reference import categories, channel_artwork  # noqa: F401  (J10 / J12)
-from ..sinks import export, landing, media, publish, warehouse
+from ..sinks import export, landing, manifest, media, publish, warehouse
 from ..sources import raw
 from ..streaming import incremental
 
@@ -57,14 +57,19 @@ def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: Data
     try:
         if stage and parallel > 1:
             ent.joined.count()   # fill the staged rows once; the four writes then read them together
-        # Records keep their identity: re-running a day replaces only the records landed again.
-        def land_one(name: str) -> str:
-            return landing.land(tables[name], landing_base, name, day=day, merge=True)
+        # Records keep their identity: re-running a day replaces only the records landed again. All entities become visible at once.
+        folders = [landing.day_folder(name, day) for name in tables]
+        change = manifest.Change(spark, landing_base, folders)
 
-        if parallel > 1:
-            with ThreadPoolExecutor(max_workers=min(parallel, len(tables))) as pool:
-                return dict(zip(tables, pool.map(land_one, tables)))
-        return {name: land_one(name) for name in tables}
+        def land_one(name: str) -> str:
+            return landing.land(tables[name], landing_base, name, day=day, merge=True, change=change)
+
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tables)))) as pool:
+            landed = dict(zip(tables, pool.map(land_one, tables), strict=True))
+        change.commit()
+        with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tables)))) as pool:
+            list(pool.map(lambda f: manifest.vacuum(spark, landing_base, f), folders))
+        return landed
     finally:
         ent.unpersist()
 
@@ -78,8 +83,10 @@ def load_warehouse(spark: SparkSession, landing_base: str, warehouse_base: str,
     are submitted at once (threads sharing the session's scheduler), so
     small loads share the cluster instead of queueing behind each other.
     ``fail_fast`` loads strictly one after another in ``order``.
+    The loads are one change of the warehouse's manifest: ``warehouse.read_table`` sees all four or, if the run is lost, none.
     """
     day = landing.day_text(day)
+    change = manifest.Change(spark, warehouse_base, order)
 
     def load_one(name: str) -> DataFrame:
         src = landing.entity_dir(landing_base, name)
@@ -93,6 +100,7 @@ def load_warehouse(spark: SparkSession, landing_base: str, warehouse_base: str,
     else:
         with ThreadPoolExecutor(max_workers=min(parallel, len(order))) as pool:
             reports = list(pool.map(load_one, order))
+    change.commit()
     out = reports[0]
     for r in reports[1:]:
         out = out.unionByName(r)

@@ -505,14 +505,15 @@ def _listing(spark, d) -> DataFrame:
 
 @query("not_stored_contains", _NOT_STORED_SQL)
 def not_stored_contains(spark, d):
-    """The ``contains`` rule, by the equality plan (no nested loop)."""
+    """The ``contains`` rule: names probed with a Bloom filter of the keys, then an equality join (no nested loop)."""
     return eligibility.not_stored(_doc_candidates(spark, d), _listing(spark, d)) \
         .select("doc_id", "video_id")
 
 
 @query("not_stored_ngram", _NOT_STORED_SQL)
 def not_stored_ngram(spark, d):
-    return eligibility.not_stored(_doc_candidates(spark, d), _listing(spark, d)) \
+    """The same rule without Python: all substrings of the key lengths, then the equality join."""
+    return eligibility.not_stored(_doc_candidates(spark, d), _listing(spark, d), method="grams") \
         .select("doc_id", "video_id")
 
 
@@ -827,6 +828,9 @@ for _name, _text in SQL_TEXT.items():
     query(_name, _text)(_sql_query(_text))
 
 
+from . import table_queries  # noqa: E402, F401  (registers more)
+
+
 def entry_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagship: J1 on stand-in documents, then images per video (count, max width)."""
     ent = _entities(spark, sf_dir)

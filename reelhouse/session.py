@@ -47,7 +47,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     # Unset. A machine-local folder is only acceptable when everything runs in
     # this one process (local mode, tests); on a cluster executors could not
     # reach it, so the shared folder must be configured.
-    if not sc.master.startswith("local"):
+    if sc.master != "local" and not sc.master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store) for this cluster")
     local = tempfile.mkdtemp(prefix="reelhouse-ckpt-")
     sc.setCheckpointDir(local)
@@ -67,6 +67,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme: without one it means the cluster's default file system, as anywhere in Hadoop."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a job's own staging folder once its last reader has finished."""
     jvm = spark.sparkContext._jvm

@@ -2,7 +2,8 @@
 
 The day value is kept unpadded (``2023-6-4``, H5) and stored as a string
 partition, so ``2023-6-1`` never matches ``2023-6-14``. Writes use dynamic
-partition overwrite: re-landing a day replaces that day only. The logical
+partition overwrite: re-landing a day replaces that day only. Merges into a day go through
+a manifest (``sinks/manifest.py``), which makes them atomic. The logical
 per-record file name of the original layout
 (``<day>_metadata_<Entity>_<key>_<n>.json``) is kept as a column; one file
 per record is not reproduced (it would be millions of tiny files).
@@ -10,15 +11,14 @@ per record is not reproduced (it would be millions of tiny files).
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import dash_date
 from ..functions.lookups import FOLDER
-from ..session import path_exists, remove_path, work_dir
+from ..session import path_exists, work_dir
+from . import manifest
 
 DAY_COL = "ingest_date"
 # Landing-format field: the per-record key of the original one-file-per-record
@@ -71,43 +71,42 @@ def with_day(df: DataFrame, day=None, ts_col: str | None = None) -> DataFrame:
     return df.withColumn(DAY_COL, F.lit(day_text(day)))
 
 
-def _merge_day(df: DataFrame, target: str, day: str) -> tuple[DataFrame, DataFrame | None]:
-    """What to append to the day, and the files (``file_path``) that it replaces.
+def day_folder(entity: str, day: str) -> str:
+    """A day's folder of an entity, below the landing base."""
+    return f"Metadata/{FOLDER[entity]}/{DAY_COL}={day_text(day)}"
+
+
+def _merge_day(df: DataFrame, base: str, entity: str, day: str) -> tuple[DataFrame, DataFrame | None]:
+    """What to append to the day, and the names of the files (``file_name``) that it replaces.
 
     A file is replaced if it holds a record that is landed again; its other records are
     appended with the new rows. Files without such a record stay as they are, and so does a file with
     a line that the strict load would refuse: it keeps every line and stays refused.
     """
-    from .warehouse import line_checks   # that module reads this one's layout
+    from ..sources.landed import read_lines
+    from .warehouse import line_checks   # these modules read this one's layout
 
     spark = df.sparkSession
-    day_dir = f"{target}/{DAY_COL}={day}"
-    if not path_exists(spark, day_dir):
+    if not path_exists(spark, f"{base.rstrip('/')}/{day_folder(entity, day)}"):
         return df, None
-    lines = (spark.read.option("pathGlobFilter", "*.json").text(day_dir)
-             .select("value", F.col("_metadata.file_path").alias("file_path")).where(F.length(F.trim("value")) > 0))
     wire = T.StructType([f for f in df.schema.fields if f.name != RECORD])
-    checked = line_checks(lines, wire).select("value", "file_path", "is_bad", F.try_variant_get("v", f"$.{RECORD}", "string").alias(RECORD))
+    lines = read_lines(spark, entity_dir(base, entity), day).drop("file_path")
+    checked = line_checks(lines, wire).select("value", "file_name", "is_bad", F.try_variant_get("v", f"$.{RECORD}", "string").alias(RECORD))
     again = df.select(RECORD).distinct().withColumn("again", F.lit(True))
     marked = checked.join(again, RECORD, "left")
-    files = marked.groupBy("file_path").agg(F.bool_or("is_bad").alias("bad"), F.count("again").alias("hits")).where("NOT bad AND hits > 0")
-    # Decided once, before anything is written or deleted.
+    files = marked.groupBy("file_name").agg(F.bool_or("is_bad").alias("bad"), F.count("again").alias("hits")).where("NOT bad AND hits > 0")
+    # Decided once, before anything is written.
     path = work_dir(spark, "landing-replaced")
-    files.select("file_path").write.parquet(path)
-    files = spark.read.schema("file_path string").parquet(path)
-    kept = (marked.where("again IS NULL").join(files, "file_path", "left_semi")
+    files.select("file_name").write.parquet(path)
+    files = spark.read.schema("file_name string").parquet(path)
+    kept = (marked.where("again IS NULL").join(files, "file_name", "left_semi")
             .select(F.from_json("value", df.schema).alias("r")).select("r.*"))
     return df.unionByName(kept), files
 
 
-def _delete_files(spark, files: DataFrame) -> None:
-    """Delete the listed files (read in pieces; one name for each replaced file)."""
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        list(pool.map(lambda r: remove_path(spark, r.file_path), files.toLocalIterator()))
-
-
 def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = None,
-         files_per_day: int | None = None, spread_col: str | None = None, merge: bool = False) -> str:
+         files_per_day: int | None = None, spread_col: str | None = None, merge: bool = False,
+         change: manifest.Change | None = None) -> str:
     """SNK-1: write one entity's rows as JSON, one directory per day.
 
     ``files_per_day`` bounds the number of files per day directory: rows of a
@@ -122,15 +121,20 @@ def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = N
     ``merge=True`` (rows carrying ``_record``, one fixed ``day``) reproduces
     per-record files: a re-run of the same day replaces the records it lands
     again and keeps the day's other records. Without it the day is replaced.
-    The new files are written before the replaced ones are deleted; a run that is
-    lost in between is put right by running it again.
+    A merge is one change of the manifest under ``base``: readers of ``sources.landed`` see the day before it or after it, also if
+    the run is lost in between; what it left is not read and goes with the next merge of the day. A given ``change`` (of
+    the day's folder and perhaps others) is not committed here, so that several entities can become visible at once.
     """
-    target = entity_dir(base, entity)
-    replaced = None
+    target, spark = entity_dir(base, entity), df.sparkSession
+    own = None
     if merge:
         if ts_col is not None or day is None or RECORD not in df.columns:
             raise ValueError("merge needs a fixed day and a _record column")
-        df, replaced = _merge_day(df, target, day_text(day))
+        folder = day_folder(entity, day)
+        own = change or manifest.Change(spark, base, [folder])
+        df, replaced = _merge_day(df, base, entity, day)
+        if replaced is not None:
+            own.drop(folder, replaced)
     out = with_day(df, day, ts_col)
     if files_per_day:
         key = F.col(spread_col or df.columns[0])
@@ -138,13 +142,16 @@ def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = N
         out = out.repartition(F.col(DAY_COL), bucket)
     elif ts_col is not None:
         out = out.hint("rebalance", F.col(DAY_COL))
-    (out.write.mode("overwrite" if replaced is None else "append")
+    (out.write.mode("append" if merge else "overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .options(**JSON_WRITE_OPTIONS)
         .partitionBy(DAY_COL)
         .json(target))
-    if replaced is not None:
-        _delete_files(df.sparkSession, replaced)
+    if not merge:
+        manifest.refresh(spark, base, f"Metadata/{FOLDER[entity]}/")
+    elif change is None:
+        own.commit()
+        manifest.vacuum(spark, base, folder)
     return target
 
 

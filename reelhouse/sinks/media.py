@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ..functions.exprs import base_name, extension, padded_date, padded_datetime
 from ..functions.lookups import CONTENT_TYPE, DEFAULT_CONTENT_TYPE, lookup
-from ..session import work_dir
+from ..session import qualified, work_dir
+from ..sources.objects import list_tree, opener
 
 COPY_CHUNK = 8 << 20
 
@@ -58,11 +59,8 @@ def manifest(files: DataFrame, source: str | Column, run_ts=None, path_col: str
 
 
 def list_objects(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """SRC-6: every object under ``root`` (path, length, modificationTime), bytes not read."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.load(root).select("path", "length", "modificationTime")
+    """SRC-6: every object under ``root`` (path, length, modificationTime), listed in tasks; bytes are not read."""
+    return list_tree(spark, root, glob)
 
 
 def read_media(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
@@ -95,19 +93,10 @@ def copy_objects(plan: DataFrame, dest_root: str) -> DataFrame:
     root = qualified(spark, dest_root)
     schema = T.StructType([*plan.schema.fields, T.StructField("copied", T.LongType())])
     src, dest = plan.columns.index("src_path"), plan.columns.index("dest_path")
-    chunk = COPY_CHUNK
+    chunk, opened = COPY_CHUNK, opener()
 
     def run(batches):
-        # Self-contained: executors need only pyarrow, not this package.
         import pyarrow as pa
-        from pyarrow import fs as pafs
-
-        def opened(uri):
-            if uri.startswith("file:/") and not uri.startswith("file://"):
-                uri = "file://" + uri[len("file:"):]
-            if uri.startswith("file://"):
-                return pafs.LocalFileSystem(), uri[len("file://"):]     # such names may hold spaces and other characters as they are
-            return pafs.FileSystem.from_uri(uri)
 
         for b in batches:
             sizes = []
@@ -125,9 +114,3 @@ def copy_objects(plan: DataFrame, dest_root: str) -> DataFrame:
     done = work_dir(spark, "media-copied")
     plan.repartition(F.col("src_path")).mapInArrow(run, schema).write.parquet(done)
     return spark.read.schema(schema).parquet(done)
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with its scheme: without one it means the cluster's default file system, as anywhere in Hadoop."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString().rstrip("/")

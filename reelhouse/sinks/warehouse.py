@@ -27,10 +27,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists, work_dir
+from ..sinks import manifest
 from ..sinks.landing import DAY_COL, LANDING_FIELDS, day_text
 from ..sources.landed import read_lines
 
 
+REASON = "struct<key:string,expected:string,found:string>"
+
+
 class LoadError(RuntimeError):
     pass
 
@@ -72,7 +76,21 @@ def line_checks(lines: DataFrame, schema: T.StructType, extra_fields: tuple[str,
     bad = F.col("v").isNull() | keys.isNull() | (F.size(F.array_except(keys, expected)) > 0)
     for f in schema.fields:
         bad = bad | _field_bad(F.col("v"), f)
-    return parsed.withColumn("is_bad", F.coalesce(bad, F.lit(True)))
+    return parsed.withColumn("is_bad", F.coalesce(bad, F.lit(True))).withColumn("reason", F.when(F.col("is_bad"), _reason(F.col("v"), keys, expected, schema)))
+
+
+def _reason(v: Column, keys: Column, expected: Column, schema: T.StructType) -> Column:
+    """Why a bad line is refused: (key, expected, found) of the first fault, in the order of the checks."""
+    def why(key: Column, wanted: str, found: Column) -> Column:
+        return F.struct(key.alias("key"), F.lit(wanted).alias("expected"), found.alias("found"))
+
+    more = F.array_sort(F.array_except(keys, expected))
+    out = F.when(v.isNull(), why(F.lit(None).cast("string"), "object", F.lit("malformed")))
+    out = out.when(keys.isNull(), why(F.lit(None).cast("string"), "object", F.schema_of_variant(v)))
+    out = out.when(F.size(more) > 0, why(F.element_at(more, 1), "no such key", F.lit("a value")))
+    for f in schema.fields:
+        out = out.when(_field_bad(v, f), why(F.lit(f.name), f.dataType.simpleString(), F.schema_of_variant(F.variant_get(v, f"$.{f.name}", "variant"))))
+    return out
 
 
 def typed_columns(schema: T.StructType) -> list[Column]:
@@ -91,9 +109,12 @@ def typed_columns(schema: T.StructType) -> list[Column]:
 
 
 def load_report(checked: DataFrame, *extra: str) -> DataFrame:
-    """SNK-3: one row per file (file_path, file_name, extra columns of the file, n_rows, n_bad, status)."""
+    """SNK-3: one row per file (file_path, file_name, extra columns of the file, n_rows, n_bad, reason, status).
+
+    ``reason`` (key, expected and found type) is one refusal's, the least one; of any number of bad lines a file's row holds one.
+    """
     return (checked.groupBy("file_path", "file_name", *extra)
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_bad").cast("bigint").alias("n_bad"))
+            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_bad").cast("bigint").alias("n_bad"), F.min("reason").alias("reason"))
             .withColumn("status", F.when(F.col("n_bad") == 0, "loaded").otherwise("failed")))
 
 
@@ -109,13 +130,13 @@ def failed_files(checked: DataFrame, report: DataFrame) -> DataFrame:
 def empty_files(spark: SparkSession, path: str, day: str | None = None) -> DataFrame:
     """Report rows of files without a line (names and lengths only; no content is read)."""
     src = path if day is None else f"{path.rstrip('/')}/{DAY_COL}={day_text(day)}"
-    columns = "file_path string, file_name string, n_rows bigint, n_bad bigint, status string"
+    columns = f"file_path string, file_name string, n_rows bigint, n_bad bigint, reason {REASON}, status string"
     if not path_exists(spark, src):
         return spark.createDataFrame([], columns)
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.json").option("recursiveFileLookup", "true").load(src)
              .where("length = 0").select("path"))
     return files.select(F.col("path").alias("file_path"), F.regexp_extract("path", r"([^/]*)$", 1).alias("file_name"),
-                        F.lit(0).cast("bigint").alias("n_rows"), F.lit(0).cast("bigint").alias("n_bad"), F.lit("loaded").alias("status"))
+                        F.lit(0).cast("bigint").alias("n_rows"), F.lit(0).cast("bigint").alias("n_bad"), F.lit(None).cast(REASON).alias("reason"), F.lit("loaded").alias("status"))
 
 
 def strict_rows(checked: DataFrame, report: DataFrame, schema: T.StructType) -> DataFrame:
@@ -133,22 +154,30 @@ def strict_load(spark: SparkSession, path: str, schema: T.StructType, table_path
     are appended there (SNK-2; a re-run appends again, as the append-only
     log does).
     """
-    checked = line_checks(read_lines(spark, path, day), schema).select("file_path", "file_name", "v", "is_bad")
+    checked = line_checks(read_lines(spark, path, day), schema).select("file_path", "file_name", "v", "is_bad", "reason")
     load_id = uuid.uuid4().hex
     report_path = f"{table_path.rstrip('/')}_load_report" if table_path else work_dir(spark, "load-report")
     reported = load_report(checked).unionByName(empty_files(spark, path, day))
     reported.withColumn("load_id", F.lit(load_id)).write.mode("append").parquet(report_path)
     report = spark.read.parquet(report_path).where(F.col("load_id") == load_id).drop("load_id")
     if fail_fast:
-        failed = report.where("status = 'failed'").select("file_name").limit(1).collect()
+        failed = report.where("status = 'failed'").select("file_name", "reason").limit(1).collect()
         if failed:
-            raise LoadError(f"strict load failed on {failed[0].file_name}")
+            raise LoadError(f"strict load failed on {failed[0].file_name}: {failed[0].reason}")
     rows = strict_rows(checked, report, schema)
     if table_path:
         append(rows, table_path)
     return rows, report
 
 
+def read_table(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """A table's rows as the manifest of the warehouse counts them: loads of several tables are seen all at once."""
+    if not manifest.managed(spark, base, table):
+        return spark.read.parquet(f"{base.rstrip('/')}/{table}")
+    names = [f"{base.rstrip('/')}/{table}/{r.file}" for r in manifest.current(spark, base, table).collect()]     # Spark's own file index holds as many
+    return spark.read.parquet(*names)
+
+
 def append(df: DataFrame, table_path: str) -> None:
     """SNK-2 / SET-1: append-only table; every load is a union-all with the past."""
     df.write.mode("append").parquet(table_path)

@@ -2,24 +2,45 @@
 
 The day is a string partition value compared exactly (``2024-1-1`` is not
 ``2024-1-10``), so the filter becomes a partition filter and only that
-day's directory is listed and read.
+day's directory is listed and read. Of a day that was merged, the files
+that its manifest counts are read, so a merge is seen as a whole or not at all.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import path_exists
+from ..sinks import manifest
 from ..sinks.landing import DAY_COL, day_text
 
 
+def _below_root(entity_path: str) -> tuple[str, str] | None:
+    """(landing base, folder below it) of an entity's folder in the landing layout."""
+    base, found, folder = entity_path.rstrip("/").rpartition("/Metadata/")
+    return (base, f"Metadata/{folder}") if found else None
+
+
+def _counted(df: DataFrame, entity_path: str, day: Column) -> DataFrame:
+    """``df`` (with a ``file_name``) without the lines of files that the landing's manifest does not count."""
+    at = _below_root(entity_path)
+    if at is None or not manifest.version(df.sparkSession, at[0]):
+        return df
+    gone = manifest.stray(df.sparkSession, at[0], at[1] + "/").select(F.substring_index("folder", "=", -1).alias("_day"), F.col("file").alias("_file"))
+    return df.join(gone, (day == F.col("_day")) & (F.col("file_name") == F.col("_file")), "left_anti")
+
+
 def read_day(spark: SparkSession, entity_path: str, schema: T.StructType, day: str | None = None) -> DataFrame:
     """Typed rows of the landed JSON (plus ``ingest_date``), pruned to ``day``."""
     full = T.StructType(list(schema.fields) + [T.StructField(DAY_COL, T.StringType(), True)])
     df = spark.read.schema(full).option("pathGlobFilter", "*.json").json(entity_path)
-    return df.where(F.col(DAY_COL) == F.lit(day_text(day))) if day is not None else df
+    if day is not None:
+        df = df.where(F.col(DAY_COL) == F.lit(day_text(day)))
+    named = df.select("*", F.col("_metadata.file_name").alias("file_name"))
+    counted = _counted(named, entity_path, F.col(DAY_COL))
+    return df if counted is named else counted.drop("file_name")
 
 
 def read_lines(spark: SparkSession, entity_path: str, day: str | None = None) -> DataFrame:
@@ -30,4 +51,5 @@ def read_lines(spark: SparkSession, entity_path: str, day: str | None = None) ->
     df = (spark.read.option("pathGlobFilter", "*.json").text(src)
           .select("value", F.col("_metadata.file_path").alias("file_path"),
                   F.col("_metadata.file_name").alias("file_name")))
-    return df.where(F.length(F.trim("value")) > 0)
+    own = F.regexp_extract("file_path", f"{DAY_COL}=([^/]*)/", 1) if day is None else F.lit(day_text(day))
+    return _counted(df, entity_path, own).where(F.length(F.trim("value")) > 0)

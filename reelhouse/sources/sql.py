@@ -1,14 +1,18 @@
 """SQL sources: Spark SQL over registered views (SRC-7/8) and JDBC by type (SRC-9, SRC-12).
 
 For a database connection the query is pushed whole to the database
-(``query`` option) and fetched in batches of ``fetchsize`` rows, the
-counterpart of the original cursor ``arraysize``. Connector jars other
+and fetched in batches of ``fetchsize`` rows, the
+counterpart of the original cursor ``arraysize``; a large result is read in
+many tasks, each with a condition on a split column. Connector jars other
 than JDBC drivers are not bundled; the option builder still rejects an
 unknown connection type up front.
 """
 
 from __future__ import annotations
 
+from datetime import date, datetime
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Connection types the rebuilt sensor accepts (fixed values).
@@ -45,10 +49,80 @@ def source_options(conn_type: str, url: str, query: str, fetch_rows: int = DEFAU
     return "jdbc", {"url": url, "query": query, "fetchsize": str(fetch_rows), **extra}
 
 
+def _literal(value: object) -> str:
+    if isinstance(value, bool) or value is None:
+        raise TypeError(f"not a bound: {value!r}")
+    if isinstance(value, (int, float, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    return "'" + str(value).replace("'", "''") + "'"
+
+
+def bounds_query(query: str, column: str, parts: int) -> str:
+    """Query text for the first key of each of ``parts`` equal shares of the rows (at most ``parts`` rows), in order."""
+    return (f"SELECT MIN(k) AS k FROM (SELECT {column} AS k, NTILE({int(parts)}) OVER (ORDER BY {column}) AS share FROM ({query}) q WHERE {column} IS NOT NULL) s "
+            f"GROUP BY share ORDER BY share")
+
+
+def hash_predicates(column: str, parts: int) -> list[str]:
+    """Conditions that deal a whole-number column into ``parts`` splits; nulls are in the first."""
+    own = [f"MOD(ABS({column}), {parts}) = {i}" for i in range(parts)]
+    return [f"({own[0]} OR {column} IS NULL)", *own[1:]] if parts > 1 else ["1 = 1"]
+
+
+def range_predicates(column: str, bounds: list, spread: str | None = None) -> list[str]:
+    """Disjoint conditions that cover every row, from the shares' first keys (``bounds_query``).
+
+    The first split is open below and takes the nulls, the last is open above. A key that begins several shares holds as many
+    shares of the rows: with ``spread``, a whole-number column, that key alone is dealt over so many splits by it.
+    """
+    starts = sorted(set(bounds))
+    if not starts:
+        return ["1 = 1"]
+    out = []
+    for i, first in enumerate(starts):
+        low = f"{column} >= {_literal(first)}" if i else None
+        high = f"{column} < {_literal(starts[i + 1])}" if i + 1 < len(starts) else None
+        times = bounds.count(first)
+        if spread and times > 1:
+            out += [f"{column} = {_literal(first)} AND {p}" for p in hash_predicates(spread, times)]
+            low = f"{column} > {_literal(first)}"
+            if not i:
+                out.append(f"({column} < {_literal(first)} OR {column} IS NULL)")
+        elif not i:
+            out.append(f"({high} OR {column} IS NULL)" if high else "1 = 1")
+            continue
+        out.append(" AND ".join(x for x in (low, high) if x))
+    return out
+
+
+def split_options(conn_type: str, url: str, query: str, predicates: list[str], fetch_rows: int = DEFAULT_FETCH_ROWS,
+                  **extra: str) -> dict:
+    """Arguments of ``DataFrameReader.jdbc`` that read the query in one task for each condition."""
+    fmt, options = source_options(conn_type, url, query, fetch_rows, **extra)
+    if fmt != "jdbc":
+        raise UnsupportedConnection(f"{conn_type!r} splits its reads by itself")
+    properties = {k: v for k, v in options.items() if k not in ("url", "query")}
+    return {"url": url, "table": f"({query}) q", "predicates": predicates, "properties": properties}
+
+
 def read_connection(spark: SparkSession, conn_type: str, url: str, query: str,
-                    fetch_rows: int = DEFAULT_FETCH_ROWS, **extra: str) -> DataFrame:
+                    fetch_rows: int = DEFAULT_FETCH_ROWS, split_by: str | None = None, parts: int = 1,
+                    spread: str | None = None, **extra: str) -> DataFrame:
+    """The rows of a query over a connection.
+
+    With ``split_by`` the database is first asked for the bounds of ``parts`` equal shares of that column, and each share is
+    read by a task of its own (``range_predicates``); without, one task reads the whole result.
+    """
     fmt, opts = source_options(conn_type, url, query, fetch_rows, **extra)
-    return spark.read.format(fmt).options(**opts).load()
+    if split_by is None or fmt != "jdbc" or parts < 2:
+        return spark.read.format(fmt).options(**opts).load()
+    _, ask = source_options(conn_type, url, bounds_query(query, split_by, parts), fetch_rows, **extra)
+    bounds = [r[0] for r in spark.read.format("jdbc").options(**ask).load().collect()]        # at most `parts` rows
+    return spark.read.jdbc(**split_options(conn_type, url, query, range_predicates(split_by, sorted(bounds), spread), fetch_rows, **extra))
 
 
 # SRC-12: the warehouse, object-store and document-store connectors of the

@@ -92,11 +92,13 @@ def load_new_files(spark: SparkSession, src: str, schema: T.StructType, table_pa
     (or earlier in this run) is skipped. ``dedup_mode="state"`` keeps the
     seen keys in the stream's state store, which grows with the keys;
     ``"target"`` keeps no state and anti-joins each micro-batch against the
-    key columns of the target table. The table has one more column,
-    ``load_batch``.
+    key columns of the target table; with ``partition_by`` columns that belong to the key (a row's
+    day), only the partitions that the batch's rows fall into are read, so neither state nor reads grow with
+    the table, however late a row is. The table has one more column, ``load_batch``.
     """
     if dedup_mode not in ("state", "target"):
         raise ValueError(f"unknown dedup_mode {dedup_mode!r}")
+    own = [c for c in partition_by or [] if c in (dedup_keys or [])]
     stream = file_stream(spark, src, schema, fmt, glob)
     if transform is not None:
         stream = transform(stream)
@@ -110,11 +112,25 @@ def load_new_files(spark: SparkSession, src: str, schema: T.StructType, table_pa
         keys = T.StructType([f for f in stored_schema.fields if f.name in dedup_keys])
         s = batch.sparkSession
         _ensure(s, table_path)
-        return batch.dropDuplicates(dedup_keys).join(_stored(s, table_path, keys, label).select(*dedup_keys), dedup_keys, "left_anti")
+        stored = _stored(s, table_path, keys, label)
+        for c in own:
+            values = [r[0] for r in batch.select(c).distinct().collect()]          # the partitions of one batch
+            stored = stored.where(F.col(c).isin([v for v in values if v is not None]) | F.lit(None in values) & F.col(c).isNull())
+        batch = batch.dropDuplicates(dedup_keys)
+        return _null_safe_anti(batch, stored.select(*dedup_keys), dedup_keys)
 
     return _run(stream, table_path, checkpoint, fresh, partition_by)
 
 
+def _null_safe_anti(rows: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys are not stored; null keys equal null keys, as they do in ``dropDuplicates``."""
+    other = stored.select(*[F.col(k).alias(f"_stored_{k}") for k in keys])
+    same = F.lit(True)
+    for k in keys:
+        same = same & rows[k].eqNullSafe(other[f"_stored_{k}"])
+    return rows.join(other, same, "left_anti")
+
+
 def _ensure(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
