@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.exprs import epoch_seconds, json_variant, nth, slash_date
-from ..session import checkpoint_root
+from ..session import checkpoint_root, work_dir
 from ..sources.raw import strict_video_id
 from .skew import hot_keys, salted_join
 
@@ -51,7 +51,7 @@ def latest_channels(channels: DataFrame) -> DataFrame:
 
     Several documents of one channel are reduced to one before any join, so they
     cannot multiply a video's rows. Documents carry no time; the one with the largest hash
-    of these fields is taken, which any attempt of a task decides alike.
+    of these fields is taken, which any attempt of a task decides alike (:func:`one_of_each`).
     """
     grid = grid_contents(F.col(_TABS))
 
@@ -70,8 +70,29 @@ def latest_channels(channels: DataFrame) -> DataFrame:
         F.col(f"{_HEADER}.subscriberCountText.simpleText").alias("ch_subscribed"),
         F.transform(grid, narrow).alias("grid"),
     )
-    narrowed = channels.select("channel_url", doc.alias("doc"))
-    return narrowed.groupBy("channel_url").agg(F.max_by("doc", F.xxhash64("doc")).alias("doc"))
+    return one_of_each(channels.select("channel_url", doc.alias("doc")), "channel_url")
+
+
+def one_of_each(docs: DataFrame, key: str) -> DataFrame:
+    """One row for each ``key``: of several, the one with the largest content hash.
+
+    The parsed documents are written once as a table, so the raw text is read once however often the result is used. Keys that
+    occur more than once are found by narrow (key, hash) rows; they are a table of their own, whose size Spark knows. Without
+    any, which is usual, the rows are the table's; else only the documents of these keys are compared.
+    """
+    spark = docs.sparkSession
+    cols = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    path = work_dir(spark, "documents-parsed")
+    docs.withColumn("_hash", F.xxhash64(*cols)).write.parquet(path)
+    hashed = spark.read.parquet(path)
+    path = work_dir(spark, "documents-twice")
+    (hashed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.max("_hash").alias("_hash")).where("_n > 1").select(key, "_hash").write.parquet(path))
+    twice = spark.read.parquet(path)
+    if twice.isEmpty():
+        return hashed.drop("_hash")
+    single = hashed.join(twice.select(key), key, "left_anti")
+    chosen = hashed.join(twice, [key, "_hash"], "left_semi").dropDuplicates([key])       # equal hash: equal content
+    return single.unionByName(chosen.select(*single.columns)).drop("_hash")
 
 
 def channel_facts(latest: DataFrame) -> DataFrame:
@@ -92,21 +113,6 @@ def grid_items(latest: DataFrame) -> DataFrame:
     return latest.select("channel_url", F.posexplode("doc.grid").alias("pos", "item")).select("channel_url", "pos", "item.*")
 
 
-def latest_videos(videos: DataFrame) -> DataFrame:
-    """One document per ``video_id``: of several, the one with the largest content hash.
-
-    Only ids that occur more than once are looked up, by narrow (id, hash) rows, so documents
-    with a unique id are neither sorted nor compared.
-    """
-    cols = [F.col(f"`{f.name}`") for f in videos.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    hashed = videos.withColumn("_hash", F.xxhash64(*cols))
-    twice = (hashed.groupBy("video_id").agg(F.count(F.lit(1)).alias("_n"), F.max("_hash").alias("_hash"))
-             .where("_n > 1").select("video_id", "_hash"))
-    single = videos.join(twice.select("video_id"), "video_id", "left_anti")
-    chosen = hashed.join(twice, ["video_id", "_hash"], "left_semi").drop("_hash").dropDuplicates(["video_id"])   # equal hash: equal content
-    return single.unionByName(chosen.select(*single.columns))
-
-
 def lookup_descriptions(items: DataFrame, channel_key: str = "channel_url",
                         video_key: str = "item_video_id", pos: str = "pos",
                         text: str = "run_text", missing: str | None = "run_missing") -> DataFrame:
@@ -136,7 +142,7 @@ def join_documents(videos: DataFrame, channels: DataFrame, hot_share: float | No
     """
     v = videos.withColumn("video_id", strict_video_id(F.col("vid_info.videoDetails.videoId")))
     if distinct_videos:
-        v = latest_videos(v)
+        v = one_of_each(v, "video_id")
     latest = latest_channels(channels)
     facts = channel_facts(latest)
     desc = lookup_descriptions(grid_items(latest)).withColumnRenamed("item_video_id", "video_id")

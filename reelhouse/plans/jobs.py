@@ -67,8 +67,7 @@ def ingest_metadata(spark: SparkSession, videos: DataFrame | str, channels: Data
         with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tables)))) as pool:
             landed = dict(zip(tables, pool.map(land_one, tables), strict=True))
         change.commit()
-        with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(tables)))) as pool:
-            list(pool.map(lambda f: manifest.vacuum(spark, landing_base, f), folders))
+        manifest.vacuum(spark, landing_base, folders)
         return landed
     finally:
         ent.unpersist()

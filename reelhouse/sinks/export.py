@@ -55,6 +55,8 @@ CSV_OPTIONS = {
     "encoding": "UTF-8",
 }
 _DATETIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
+#: Rows that one writing task takes, of as many whole parts as fit (one at least).
+ROWS_PER_TASK = 100_000
 
 
 def render_datetimes(df: DataFrame) -> DataFrame:
@@ -197,10 +199,9 @@ def export_csv(df: DataFrame, out_dir: str, file_name: str, rows_per_part: int =
     lines = numbered.select("part", "_rn", csv_lines(data).alias("value"))
     headers = spark.range(1, n_parts + 1).select(F.col("id").alias("part"), F.lit(0).cast("bigint").alias("_rn"),
                                                  F.lit(_header_line(header)).alias("value"))
-    # Each part in exactly one task; many parts may share a task, so the task
-    # count stays bounded however many parts a large export has.
-    tasks = min(n_parts, max(spark.sparkContext.defaultParallelism,
-                             int(spark.conf.get("spark.sql.shuffle.partitions", "200"))))
+    # Each part in exactly one task. Tasks grow with the rows, so a task's share stays the
+    # same at any size; parts of few rows share a task.
+    tasks = min(n_parts, max(spark.sparkContext.defaultParallelism, -(-total // ROWS_PER_TASK)))
     (lines.unionByName(headers).repartition(tasks, "part").sortWithinPartitions("part", "_rn").select("part", "value")
      .write.mode("overwrite").option("lineSep", CSV_OPTIONS["lineSep"]).partitionBy("part").text(staging))
     fs, _, jvm = _fs(spark, staging)

@@ -151,7 +151,7 @@ def land(df: DataFrame, base: str, entity: str, day=None, ts_col: str | None = N
         manifest.refresh(spark, base, f"Metadata/{FOLDER[entity]}/")
     elif change is None:
         own.commit()
-        manifest.vacuum(spark, base, folder)
+        manifest.vacuum(spark, base, [folder])
     return target
 
 

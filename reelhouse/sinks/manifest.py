@@ -136,12 +136,14 @@ class Change:
 
     def _adopt(self, base: int) -> DataFrame:
         known = entries(self.spark, self.root, base)
-        new = self.names.join(known, "folder", "left_anti")
-        if new.isEmpty():
+        new = self.names.join(known, "folder", "left_anti") if base else self.names
+        if base and new.isEmpty():
+            self.base = base
             return known
         lies = new.join(_listed(self.spark, self.root, new), "folder", "left").select("folder", "file")
         _write(self.spark, self.root, base + 1, known.unionByName(lies))
-        return entries(self.spark, self.root, base + 1)
+        self.base = base + 1
+        return entries(self.spark, self.root, self.base)
 
     def drop(self, folder: str, files: DataFrame) -> None:
         """Files (names in the first column) of a folder that the next version no longer counts."""
@@ -170,7 +172,7 @@ class Change:
         def step(base: int) -> int:
             known = entries(spark, self.root, base)
             seen = known.join(self.names, "folder")
-            if not seen.exceptAll(self.mine).isEmpty() or not self.mine.exceptAll(seen).isEmpty():
+            if base != self.base and (not seen.exceptAll(self.mine).isEmpty() or not self.mine.exceptAll(seen).isEmpty()):
                 raise RuntimeError(f"a folder of this change was changed by another writer: {self.root}")
             others = known.join(self.names, "folder", "left_anti")
             if mark is not None:
@@ -200,7 +202,9 @@ def refresh(spark: SparkSession, root: str, below: str) -> None:
             continue
 
 
-def vacuum(spark: SparkSession, root: str, below: str = "") -> int:
-    """Delete, in tasks, the files of managed folders under ``below`` that don't count; returns their number. Run it when no writer is at work there."""
-    path = F.concat_ws("/", F.lit(qualified(spark, root)), "folder", "file")
-    return remove_objects(stray(spark, root, below).select(path.alias("path")))
+def vacuum(spark: SparkSession, root: str, folders: Iterable[str]) -> int:
+    """Delete, in tasks, the files in these managed folders that don't count; returns their number. Run it when no writer is at work there."""
+    names = spark.createDataFrame([(f,) for f in folders], "folder string")
+    known = entries(spark, root).join(names, "folder")
+    lies = _listed(spark, root, known.select("folder").distinct()).join(known, ["folder", "file"], "left_anti")
+    return remove_objects(lies.select(F.concat_ws("/", F.lit(qualified(spark, root)), "folder", "file").alias("path")))

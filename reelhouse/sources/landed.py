@@ -23,8 +23,17 @@ def _below_root(entity_path: str) -> tuple[str, str] | None:
     return (base, f"Metadata/{folder}") if found else None
 
 
+def counted_files(spark: SparkSession, entity_path: str, day: str) -> list[str] | None:
+    """The ``.json`` files of a day that its manifest counts; None if no manifest names the day (all that lie there count)."""
+    at, folder = _below_root(entity_path), f"{DAY_COL}={day_text(day)}"
+    if at is None or not manifest.managed(spark, at[0], f"{at[1]}/{folder}"):
+        return None
+    names = manifest.current(spark, at[0], f"{at[1]}/{folder}").where("file LIKE '%.json'").collect()     # Spark's own file index holds as many
+    return [f"{entity_path.rstrip('/')}/{folder}/{r.file}" for r in names]
+
+
 def _counted(df: DataFrame, entity_path: str, day: Column) -> DataFrame:
-    """``df`` (with a ``file_name``) without the lines of files that the landing's manifest does not count."""
+    """``df`` of all days (with a ``file_name``) without the lines of files that the landing's manifest does not count."""
     at = _below_root(entity_path)
     if at is None or not manifest.version(df.sparkSession, at[0]):
         return df
@@ -35,21 +44,27 @@ def _counted(df: DataFrame, entity_path: str, day: Column) -> DataFrame:
 def read_day(spark: SparkSession, entity_path: str, schema: T.StructType, day: str | None = None) -> DataFrame:
     """Typed rows of the landed JSON (plus ``ingest_date``), pruned to ``day``."""
     full = T.StructType(list(schema.fields) + [T.StructField(DAY_COL, T.StringType(), True)])
-    df = spark.read.schema(full).option("pathGlobFilter", "*.json").json(entity_path)
-    if day is not None:
-        df = df.where(F.col(DAY_COL) == F.lit(day_text(day)))
-    named = df.select("*", F.col("_metadata.file_name").alias("file_name"))
-    counted = _counted(named, entity_path, F.col(DAY_COL))
-    return df if counted is named else counted.drop("file_name")
+    reader = spark.read.schema(full).option("pathGlobFilter", "*.json")
+    if day is None:
+        df = reader.json(entity_path)
+        named = df.select("*", F.col("_metadata.file_name").alias("file_name"))
+        counted = _counted(named, entity_path, F.col(DAY_COL))
+        return df if counted is named else counted.drop("file_name")
+    files = counted_files(spark, entity_path, day)
+    if files is None:
+        return reader.json(entity_path).where(F.col(DAY_COL) == F.lit(day_text(day)))
+    return reader.option("basePath", entity_path).json(files) if files else spark.createDataFrame([], full)
 
 
 def read_lines(spark: SparkSession, entity_path: str, day: str | None = None) -> DataFrame:
     """Raw lines with their file (``value, file_path, file_name``)."""
     src = entity_path if day is None else f"{entity_path.rstrip('/')}/{DAY_COL}={day_text(day)}"
-    if not path_exists(spark, src):   # nothing landed for that day: nothing to load
+    files = None if day is None else counted_files(spark, entity_path, day)
+    if files == [] or not path_exists(spark, src):   # nothing landed for that day: nothing to load
         return spark.createDataFrame([], "value string, file_path string, file_name string")
-    df = (spark.read.option("pathGlobFilter", "*.json").text(src)
+    df = (spark.read.option("pathGlobFilter", "*.json").text(files or src)
           .select("value", F.col("_metadata.file_path").alias("file_path"),
                   F.col("_metadata.file_name").alias("file_name")))
-    own = F.regexp_extract("file_path", f"{DAY_COL}=([^/]*)/", 1) if day is None else F.lit(day_text(day))
-    return _counted(df, entity_path, own).where(F.length(F.trim("value")) > 0)
+    if day is None:
+        df = _counted(df, entity_path, F.regexp_extract("file_path", f"{DAY_COL}=([^/]*)/", 1))
+    return df.where(F.length(F.trim("value")) > 0)

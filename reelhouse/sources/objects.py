@@ -127,7 +127,6 @@ def list_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFr
 def remove_objects(paths: DataFrame) -> int:
     """Delete the objects named in the first column, in tasks; returns how many were there. A retried task finds them gone."""
     open_ = opener()
-    path = work_dir(paths.sparkSession, "removed")
 
     def run(batches) -> Iterator:
         import pyarrow as pa
@@ -142,5 +141,4 @@ def remove_objects(paths: DataFrame) -> int:
                     n += 1
             yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64())], ["n"])
 
-    paths.mapInArrow(run, "n bigint").write.parquet(path)
-    return paths.sparkSession.read.schema("n bigint").parquet(path).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return paths.mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
