@@ -15,10 +15,10 @@ set, so that copies meet nobody twice. Two nodes link when 100 * intersection >=
    `BITS` bits, each the parity of the members that hash to it, so two signatures differ in at most as many bits as the sets in members.
 4. What remains is compared exactly, by merging the sorted arrays.
 
-Only components are asked for, so a tile's pairs are not all made. First each set is held against its tile's smallest
-node, which contracts a group of copies with a few links a member. Then only sets of different components are compared: those
-outside a tile's largest component against all of the tile. Nothing is capped; the rest of a hot tile is an equality join on
-written tables, which Spark splits.
+Only components are asked for, so a tile's pairs are not all made. First each set is held against centres, the smallest
+node of its tile and of a random share of it, which contracts a group of copies with two links a member. Then only sets of different components are
+compared: those outside a tile's largest component against all of the tile, one pair for each two components first, then what still
+lies in two. Nothing is capped; the rest of a hot tile is an equality join on written tables, which Spark splits.
 
 Null and empty texts and texts without words have the empty set, linked with nothing. Whole texts are read, whatever
 their length (a set takes 8 bytes a word in one task). Repeated rows are kept; equal ids with different texts are different
@@ -44,6 +44,10 @@ BITS = 512
 SHARE = 3
 #: Members that a task sorts at once on the map side, and the mean number of them in a part on the other.
 CHUNK, PART = 1 << 21, 1 << 20
+#: The mean number of nodes whose counts one task adds up at a time.
+CROWD = 1 << 16
+#: Sets of a tile that share a centre, beside the tile's own.
+CREW = 8
 _WORDS = BITS // 64
 
 
@@ -114,8 +118,18 @@ def _least_and_most(members_: np.ndarray, nodes: np.ndarray) -> tuple[np.ndarray
     return m[first], n[first], n[np.r_[first[1:], len(n)] - 1] if len(m) else n
 
 
-def own_members(docs: DataFrame, words: int, parts: int, text: str = "text") -> DataFrame:
-    """(node, own): how many of the counted members no other node has."""
+def _summed(nodes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Each node once, with its counts added up."""
+    node, at = np.unique(np.concatenate(nodes), return_inverse=True)
+    return node, np.bincount(at, np.concatenate(counts), len(node)).astype(np.int64)
+
+
+def own_members(docs: DataFrame, words: int, parts: int, crowds: int, text: str = "text") -> DataFrame:
+    """(node, own): how many of the counted members no other node has.
+
+    Members are dealt over ``parts``, and what a part finds of its nodes over ``crowds`` of nodes, both as packed arrays: at
+    most one count for each counted member.
+    """
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush() -> pa.RecordBatch:
             m, low, high = _least_and_most(np.concatenate(ms), np.concatenate(ns))
@@ -149,7 +163,14 @@ def own_members(docs: DataFrame, words: int, parts: int, text: str = "text") ->
         def flush() -> pa.RecordBatch:
             _, low, high = _least_and_most(np.concatenate(ms), np.concatenate(ns))
             node, k = np.unique(low[low == high], return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(node), pa.array(k.astype(np.int64))], ["node", "own"])
+            crowd = node.view(np.uint64) % np.uint64(crowds)
+            order = np.argsort(crowd, kind="stable")
+            node, k, crowd = node[order], k[order].astype(np.int32), crowd[order].astype(np.int64)
+            cut = np.flatnonzero(np.r_[True, crowd[1:] != crowd[:-1]]) if len(node) else np.empty(0, np.int64)
+            ends = [*cut[1:], len(node)]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(crowd[cut]), pa.array([node[a:e].tobytes() for a, e in zip(cut, ends, strict=False)], pa.binary()),
+                 pa.array([k[a:e].tobytes() for a, e in zip(cut, ends, strict=False)], pa.binary())], ["crowd", "nodes", "counts"])
 
         now, ms, ns = None, [], []
         for b in batches:
@@ -163,9 +184,27 @@ def own_members(docs: DataFrame, words: int, parts: int, text: str = "text") ->
         if ms:
             yield flush()
 
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, counts, held = None, [], [], 0
+        for b in batches:
+            for crowd, n, k in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if crowd != now and nodes:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(nodes, counts)], ["node", "own"])
+                    nodes, counts, held = [], [], 0
+                now = crowd
+                nodes.append(np.frombuffer(n, np.int64))
+                counts.append(np.frombuffer(k, np.int32).astype(np.int64))
+                held += len(nodes[-1])
+                if held >= CHUNK:
+                    nodes, counts = ([x] for x in _summed(nodes, counts))
+                    held = 0
+        if nodes:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(nodes, counts)], ["node", "own"])
+
     blobs = docs.select(F.col(text).alias("_text")).mapInArrow(spread, "part long, members binary, nodes binary")
     dealt = blobs.repartition(parts, "part").sortWithinPartitions("part")
-    return dealt.mapInArrow(count, "node long, own long").groupBy("node").agg(F.sum("own").alias("own"))
+    found = dealt.mapInArrow(count, "crowd long, nodes binary, counts binary")
+    return found.repartition(crowds, "crowd").sortWithinPartitions("crowd").mapInArrow(total, "node long, own long")
 
 
 def sets_of(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
@@ -242,30 +281,58 @@ def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return joined.mapInArrow(run, pairs.schema)
 
 
+def _against_centres(own: DataFrame, least: int) -> DataFrame:
+    """(a, b): for each set the smallest and the greatest node among the centres that it may link with.
+
+    Centres are the smallest node of each tile and of random shares of about `CREW` sets of each tile, so the pairs grow as the tiles' rows do. A
+    set meets much the same centres in all its tiles, as the shares go by the node.
+    """
+    sizes = own.groupBy("band", "member").agg(F.count("*").alias("k")).filter("k > 1")
+    crews = own.join(sizes, ["band", "member"]).withColumn("crew", F.pmod(F.xxhash64("node"), F.ceil(F.col("k") / CREW)))
+    both = crews.drop("k").withColumn("crew", F.explode(F.array(F.lit(-1).cast("long"), F.col("crew"))))        # -1: the whole tile
+    home = both.groupBy("band", "member", "crew").agg(F.min(F.struct("away", "node")).alias("centre")).filter("centre.away = 0")
+    centres = both.join(home.select("band", "member", "crew", F.col("centre.node").alias("node")), ["band", "member", "crew", "node"])
+    keys = ["band", "member", "crew"]
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in rows.columns if c not in keys))
+
+    near = side(both, "x").join(side(centres, "y"), keys).filter((F.col("x_node") != F.col("y_node")) & _may_link(least))
+    chosen = near.groupBy("x_node").agg(F.min("y_node").alias("low"), F.max("y_node").alias("high"))
+    pairs = chosen.select("x_node", F.explode(F.array("low", "high")).alias("y_node"))
+    return pairs.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
+
+
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` (node, comp) after the links (c, d) between components."""
+    joined = components(links.select(F.col("c").alias("a"), F.col("d").alias("b")))
+    both = comps.join(joined.withColumnRenamed("node", "_old"), F.col("comp") == F.col("_old"), "left")
+    return stage(both.select("node", F.coalesce("component", "comp").alias("comp")), "setjoin-groups")
+
+
 def _linked_groups(sets: DataFrame, least: int) -> DataFrame:
-    """(node, group) for the nodes of ``sets`` that link with another."""
+    """(node, comp) for the nodes of ``sets`` that lie in tiles; those that link have one comp."""
     own = stage(tiles(sets, least), "setjoin-tiles")
-    home = own.groupBy("band", "member").agg(F.min(F.struct("away", "node")).alias("centre"), F.count("*").alias("k")).filter("k > 1 and centre.away = 0")
-    centres = _side(own, "y").join(home.select("band", "member", F.col("centre.node").alias("y_node")), ["band", "member", "y_node"])
-    near = _side(own, "x").join(centres, ["band", "member"]).filter((F.col("x_node") != F.col("y_node")) & _may_link(least))
-    pairs = near.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
-    stars = stage(components(linked(pairs, sets, least)), "setjoin-stars")
+    alone = own.select("node").distinct().withColumn("comp", F.col("node"))
+    first = linked(_against_centres(own, least), sets, least)
+    named = _merged(alone, first.withColumnsRenamed({"a": "c", "b": "d"}))
 
-    held = own.join(stars, "node", "left").withColumn("comp", F.coalesce("component", "node")).drop("component")
+    held = own.join(named, "node")
     counts = held.groupBy("band", "member", "comp").agg(F.count("*").alias("k"))
     most = counts.groupBy("band", "member").agg(F.max_by("comp", F.struct("k", "comp")).alias("most"), F.count("*").alias("comps"))
     open_ = stage(held.join(most.filter("comps > 1").drop("comps"), ["band", "member"]), "setjoin-open")
     # Each pair of components once: members outside the largest one against all; among themselves by order.
     x, y = _side(open_.filter("comp <> most").drop("most"), "x"), _side(open_, "y")
     test = (F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("y_most")) | (F.col("x_node") < F.col("y_node"))) & _may_link(least)
-    more = (x.join(y, ["band", "member"]).filter(test)
-            .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.col("x_comp").alias("c"), F.col("y_comp").alias("d")).distinct())
-    bridges = linked(more, sets, least).select(F.col("c").alias("a"), F.col("d").alias("b")).distinct()
-    joined = components(bridges)
-    alone = joined.join(stars.select(F.col("component").alias("node")).distinct(), "node", "left_anti")     # a set that only a bridge reaches
-    renamed = stars.join(joined.withColumnRenamed("component", "group"), F.col("component") == joined.node, "left").select(
-        stars.node, F.coalesce("group", "component").alias("group"))
-    return renamed.unionByName(alone.select("node", F.col("component").alias("group")))
+    met = (x.join(y, ["band", "member"]).filter(test)
+           .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.least("x_comp", "y_comp").alias("c"), F.greatest("x_comp", "y_comp").alias("d")))
+    met = stage(met.distinct(), "setjoin-met")
+    # One pair for each two components first; what then still lies in two is compared in full.
+    one = met.groupBy("c", "d").agg(F.min(F.struct("a", "b")).alias("pair")).select("pair.a", "pair.b", "c", "d")
+    named = _merged(named, linked(one, sets, least))
+    of = named.select(F.col("node").alias("_n"), F.col("comp").alias("_c"))
+    rest = (met.select("a", "b").join(of.withColumnsRenamed({"_n": "a", "_c": "c"}), "a").join(of.withColumnsRenamed({"_n": "b", "_c": "d"}), "b").filter("c <> d"))
+    return _merged(named, linked(rest, sets, least))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, least: int = 80, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -275,16 +342,17 @@ def near_duplicates(docs: DataFrame, words: int = 5, least: int = 80, id_col: st
     """
     rows = stage(described(docs, words, id_col, text), "setjoin-rows")
     nodes = stage(rows.filter("n > 0").groupBy("node").agg(F.max("n").alias("n"), F.min("id").alias("id")), "setjoin-nodes")
-    total = nodes.agg(F.sum("n")).first()[0] or 0
-    own = own_members(docs, words, 1 + total // SHARE // PART, text)
+    known, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    own = own_members(docs, words, 1 + total // SHARE // PART, 1 + known // CROWD, text)
     open_ = F.coalesce("own", F.lit(0)) <= F.col("n") - needed(F.col("n"), least)
     left = stage(nodes.join(own, "node", "left").filter(open_).select("node", "id"), "setjoin-left")
     read = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
     chosen = left.select(F.col("id").alias("_id"))
-    found = sets_of(read.join(chosen, read.id.eqNullSafe(chosen["_id"]), "left_semi"), words)
+    # The ids grow with the corpus, so they are never broadcast; only the texts of these sets are made into sets again.
+    found = sets_of(read.join(chosen.hint("merge"), read.id.eqNullSafe(chosen["_id"]), "left_semi"), words)
     sets = stage(found.join(left.select("node"), "node", "left_semi").dropDuplicates(["node"]), "setjoin-sets")
     groups = _linked_groups(sets, least)
-    named = stage(nodes.select("node", "id").join(groups, "node", "left").select("node", "id", F.coalesce("group", "node").alias("group")), "setjoin-groups")
+    named = stage(nodes.select("node", "id").join(groups, "node", "left").select("node", "id", F.coalesce("comp", "node").alias("group")), "setjoin-groups")
     smallest = named.groupBy("group").agg(F.min("id").alias("least"))
     labels = named.join(smallest, "group").select("node", F.col("least"), F.lit(True).alias("any"))
     linked_ = rows.join(labels, (rows.node == labels.node) & (rows.n > 0), "left")
