@@ -42,15 +42,15 @@ def sql_gate(spark: SparkSession, sql: str, args: dict | list | None = None,
              fail_on_empty: bool = False) -> bool:
     for name, fn in (("failure", failure), ("success", success)):
         if fn is not None and not callable(fn):
-            raise TypeError(f"{name} is present but not callable: {fn!r}")
+            raise TypeError(f"{name} has to be a function of the cell, not {fn!r}")
     rows = spark.sql(sql, args=args).limit(1).collect()
     if not rows:
         if fail_on_empty:
-            raise GateError("no rows returned and fail_on_empty is set")
+            raise GateError("the query gave no row, and this gate asks for one")
         return False
     cell = rows[0][0]
     if failure is not None and failure(cell):
-        raise GateError(f"failure criteria met: failure({cell!r}) is true")
+        raise GateError(f"the gate is closed by its failure test on {cell!r}")
     if success is not None:
         return bool(success(cell))
     passed = bool(cell)
