@@ -6,10 +6,11 @@ Latin script, the function characters, and in other scripts every word of at mos
 function words are short. All others are content words. After each run of anchors, its last
 word and the next `CHAIN` content words, anchors between them skipped, form one signature: a
 32-bit hash. Boilerplate without running speech has few anchors and so
-few signatures. A text with fewer than one such chain for each `SPARSE` words (a language that no
-rule above meets) also gets a chain at each word whose hash is a multiple of `PICK`: that word and
-the next `CHAIN`. The fingerprint is the set of signatures. A text with no chain at all has one
-signature, of all its words, or of the raw text if it has no word; only the empty text has none.
+few such signatures, and so has a language that no rule above meets. Therefore every text also gets a chain at
+each content word whose hash is a multiple of `PICK`, and at the one with the least hash: that word and the next `CHAIN`. These depend on
+the words alone, never on how many a text has, so a changed word changes the chains that hold it and no others (or, with chance one in the text's words, the
+least one). The fingerprint is the set of signatures. A text with no chain at all (fewer than `CHAIN` + 1 content words) has one
+signature, of all its words, or of the raw text if it has no word; only the empty text has none. Very long texts are read whole.
 
 Two fingerprints are compared by Jaccard similarity, pruned by set length: the similarity is at
 most the shorter length over the longer. Lengths fall into classes whose borders grow by
@@ -61,7 +62,8 @@ katika kwa na ni wa ya za
 CHARACTERS = "的了是在不和有这這也就のはをにがとでも"
 #: Words of other scripts that are anchors by their length.
 SHORT = r"[\p{L}&&[^\p{IsLatin}\p{IsHan}\p{IsHiragana}\p{IsKatakana}]]{1,3}"
-SPARSE, PICK = 64, 4
+#: One content word in so many starts a chain by its hash.
+PICK = 8
 CHAIN = 2
 MARK = "\x01"
 THRESHOLD = 0.8
@@ -82,7 +84,7 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     Every anchor is first glued to the word before it, with a mark instead of the space, so that
     splitting at spaces gives the content words, each with the run of anchors that follows.
     """
-    s, e, c, z, k = (f"_{out}_{x}" for x in ("spaced", "words", "content", "chains", "hashes"))
+    s, e, c, z, p, k = (f"_{out}_{x}" for x in ("spaced", "words", "content", "chains", "picks", "hashes"))
     spaced = F.concat(F.lit(" "), F.regexp_replace(F.lower(utf8(text)), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     df = df.withColumn(s, spaced)
     df = df.withColumn(s, F.when(F.col(s).rlike(f"[{CHARACTERS}]"), F.regexp_replace(F.regexp_replace(s, f"([{CHARACTERS}])", " $1 "), " +", " ")).otherwise(F.col(s)))
@@ -93,14 +95,15 @@ def with_signatures(df: DataFrame, text: str, out: str) -> DataFrame:
     df = df.withColumn(z, F.filter(F.arrays_zip(*fields), lambda x: F.contains(x["e"], F.lit(MARK))))
     chains = F.transform(F.col(z), lambda x: F.hash(F.substring_index(x["e"], MARK, -1), *(x[f"c{i}"] for i in range(CHAIN))))
     following = F.arrays_zip(F.slice(c, F.lit(1), size).alias("w"), *(F.slice(c, F.lit(i + 2), size).alias(f"c{i}") for i in range(CHAIN)))
-    picked = F.filter(following, lambda x: (x["w"] != "") & (F.pmod(F.hash(x["w"]), F.lit(PICK)) == 0))
-    picks = F.transform(picked, lambda x: F.hash(x["w"], *(x[f"c{i}"] for i in range(CHAIN))))
-    sparse = F.size(c) - 1 >= SPARSE * (F.size(z) + 1)
-    chains = F.when(sparse, F.concat(chains, picks)).otherwise(chains)
+    spoken = F.filter(following, lambda x: x["w"] != "")
+    df = df.withColumn(p, F.transform(spoken, lambda x: F.struct(F.hash(x["w"]).alias("h"), F.hash(x["w"], *(x[f"c{i}"] for i in range(CHAIN))).alias("sig"))))
+    picked = F.filter(F.col(p), lambda x: F.pmod(x["h"], F.lit(PICK)) == 0)
+    least = F.when(F.size(p) > 0, F.array(F.array_min(p)["sig"])).otherwise(F.array().cast("array<int>"))
+    chains = F.concat(chains, F.transform(picked, lambda x: x["sig"]), least)
     df, chains = df.withColumn(k, chains), F.col(k)
     whole = F.when(F.trim(s) != "", F.hash(s)).otherwise(F.hash(utf8(text)))
     found = F.when(F.size(k) > 0, F.array_sort(F.array_distinct(chains))).when(utf8(text) == "", F.array().cast("array<int>")).otherwise(F.array(whole))
-    return df.withColumn(out, found).drop(s, e, c, z, k)
+    return df.withColumn(out, found).drop(s, e, c, z, p, k)
 
 
 def fingerprint(signatures: Column | str) -> Column:
@@ -156,9 +159,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     base = docs.select(F.col(id_col).isNull().alias("k0"), F.coalesce(id_col, F.lit(0)).alias("k1"), F.xxhash64(utf8(text)).alias("h"), utf8(text).alias("text"))
     keys = stage(_ordered_keys(base.select("k0", "k1", "h", F.char_length("text").cast("long").alias("n"))), "spotsigs-order")
     once = W.partitionBy("k0", "k1", "h").orderBy("k0", "k1", "h")
-    joined = base.join(keys, ["k0", "k1", "h"]).withColumn("_rn", F.row_number().over(once)).filter("_rn = 1").drop("_rn")
-    # Both sides below read the same columns of the texts, so Spark shuffles the texts once and reuses that.
-    signed = with_signatures(joined, "text", "sigs").withColumn("n", F.char_length("text"))
+    # Signatures are taken before the texts are shuffled. Both sides below read the same columns, so Spark does both once and reuses that.
+    joined = with_signatures(base, "text", "sigs").join(keys, ["k0", "k1", "h"])
+    signed = joined.withColumn("_rn", F.row_number().over(once)).filter("_rn = 1").drop("_rn").withColumn("n", F.char_length("text"))
     head = F.substring("text", F.lit(1), F.col("n") - F.floor(F.col("n") / 2).cast("int"))
     own = signed.select("k0", "k1", "h", F.when(~F.col("k0"), F.col("k1")).cast(kind).alias("doc_id"), F.col("n").cast("long").alias("n"), "copies", "sigs", head.alias("head"))
     following = signed.select(F.col("p0").alias("k0"), F.col("p1").alias("k1"), F.col("ph").alias("h"),
