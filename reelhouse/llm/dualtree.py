@@ -221,15 +221,16 @@ def _searched(found: DataFrame, model, documents: int, total: int, k: int, item_
     return found.mapInArrow(run, schema)
 
 
-def search(docs: DataFrame, items: DataFrame, k: int = 50, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text") -> DataFrame:
+def search(docs: DataFrame, items: DataFrame, k: int = 50, id_col: str = "doc_id", item_col: str = "item_id", text: str = "text",
+           block: int = BLOCK) -> DataFrame:
     """(item, rank, doc, score): the k documents of the highest scores above 0 for each item, all if fewer; ranks begin at 1."""
     spark = docs.sparkSession
     held = stage(item_terms(items, item_col, text), "dualtree-items")
     item_kind, doc_kind = held.schema["item"].dataType.simpleString(), docs.schema[id_col].dataType.simpleString()
-    blocks = -(-held.count() // BLOCK)
+    blocks = -(-held.count() // block)
     out = spark.createDataFrame([], f"shard int, item {item_kind}, doc {doc_kind}, score long")
-    for block in range(blocks):
-        rows = held.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == block).collect()      # about BLOCK terms
+    for number in range(blocks):
+        rows = held.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == number).collect()      # about `block` terms
         if not rows:
             continue
         vocabulary = {t: i for i, t in enumerate(sorted({bytes(r["term"]) for r in rows}))}

@@ -207,8 +207,8 @@ def _combined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from t.combine_chunks().to_batches()
 
 
-def segments(rows: DataFrame) -> DataFrame:
-    """Staged segments of rows (conv_id, turn, role, text): their counts, rows and cheapest audits.
+def segments(rows: DataFrame, segment: int = SEGMENT) -> DataFrame:
+    """Staged segments (at most ``segment`` rows) of rows (conv_id, turn, role, text): their counts, rows and cheapest audits.
 
     (conv_id, shard, segment) orders a conversation's segments; a ``whole`` one is its conversation, with one audit.
     """
@@ -261,7 +261,7 @@ def segments(rows: DataFrame) -> DataFrame:
                 elif held and held[-1][:3] == row[:3]:          # equal rows of several batches
                     held[-1] = (*row[:3], held[-1][3] + copies, later)
                     continue
-                elif len(held) >= SEGMENT or size >= SEGMENT_BYTES:
+                elif len(held) >= segment or size >= SEGMENT_BYTES:
                     close(False)
                     alone = False
                 now, started = conv, True
