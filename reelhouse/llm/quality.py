@@ -7,7 +7,7 @@ difference of the two sizes over the text's bytes is the evidence, and a logisti
 difference and the log of the length turns it into a calibrated score.
 
 The dictionaries are trained on one half of a bounded sample of the labelled rows, the curve
-is fitted on the other half, whose texts the dictionaries have not seen. The bounds are
+is fitted on the other half, whose texts the dictionaries have not seen (a class of one text uses it for both). The bounds are
 parameters (`SAMPLE_ROWS` and `SAMPLE_BYTES` per class); rows are taken in the order of a hash
 of their id. Every sampled row takes part: where the texts of a class exceed the bytes, the
 longest are held to one common length, in passages spread over the whole text, so no text uses
@@ -164,7 +164,7 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
     got = sample.orderBy(F.xxhash64("_id"), "_id").collect()    # at most 2 * rows texts and about 2 * size bytes
     by_class = {y: [(r["_text"].encode(), r["_n"]) for r in got if r["_y"] == y] for y in (0, 1)}
     prior = counts[1] / (counts[0] + counts[1]) if got else 0.5
-    if min(map(len, by_class.values())) < 8:
+    if not all(by_class.values()):
         return QualityModel(b"", b"", (), prior)
 
     def dictionary(texts: list[bytes]) -> bytes:
@@ -173,11 +173,12 @@ def train(docs: DataFrame, labels: DataFrame, where: Column | None = None, id_co
         if total >= 20_000:
             try:
                 return z.train_dictionary(min(DICT_BYTES, total // 8), pieces).as_bytes()
-            except z.ZstdError:     # too few or too uniform pieces to train on: use the texts themselves
+            except z.ZstdError:     # too few or too uniform pieces to train on: use passages of all texts
                 pass
-        return b"".join(texts)[:DICT_BYTES]
+        limit = common_length([len(t) for t in texts], DICT_BYTES)
+        return b"".join(held_to(t.decode(), limit).encode() for t in texts)
 
-    half = {y: (v[: len(v) // 2], v[len(v) // 2:]) for y, v in by_class.items()}
+    half = {y: (v[: -(-len(v) // 2)], v[len(v) // 2:] if len(v) == 1 else v[-(-len(v) // 2):]) for y, v in by_class.items()}     # one text serves for both
     good, bad = (dictionary([t for t, _ in half[y][0]]) for y in (1, 0))
     sizes = _sizer(good, bad)
     held = [(np.array(sizes(t), float) * (whole / max(len(t), 1)), y) for y in (0, 1) for t, whole in half[y][1]]
