@@ -10,7 +10,8 @@ look at the first `BORDER` characters of a text only. Each task assembles its ro
 segments (marks, roles, texts), their cumulative offsets and scatter indices, and copies
 headers and contents into one preallocated buffer, which becomes an Arrow string column of
 conversation parts. Parts are numbered (shard, part) in order; a conversation is
-the concatenation of its parts. A slice of `SLICE` bytes of text bounds a task's memory.
+the concatenation of its parts. A slice of `SLICE` bytes of text bounds a task's memory; a longer text is a slice
+of its own and takes a few times its bytes (escaped it has to fit one cell, 2 GB).
 
 Reading back parses the formatted parts in order with running digests, so a conversation of any
 length needs constant memory; its bytes go through one task, as a digest of a whole is a
@@ -38,12 +39,14 @@ from reelhouse.llm.common import slices, utf8
 
 OPEN, MIDDLE, CLOSE = b"<turn>", b"\n", b"</turn>\n"
 SLICE = 1 << 20
+#: Segments above so many bytes are copied as a whole; index arrays take sixteen times the bytes that they copy.
+LONG = 4_096
 BORDER = 1_000
 PARTS = "conv_id long, shard int, part long, formatted string, loss array<struct<start:int,length:int>>"
 
 
 def _escaped(texts: pa.Array) -> pa.Array:
-    return pc.replace_substring(pc.replace_substring(texts, "&", "&amp;"), "<", "&lt;")
+    return pc.replace_substring(pc.replace_substring(texts.cast(pa.large_string()), "&", "&amp;"), "<", "&lt;")
 
 
 def unescaped(text: str) -> str:
@@ -59,7 +62,11 @@ def _content(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _scatter(out: np.ndarray, at: np.ndarray, data: np.ndarray, start: np.ndarray, length: np.ndarray) -> None:
-    """Copy data[start[i] : start[i] + length[i]] to out[at[i]:], for all i at once."""
+    """Copy data[start[i] : start[i] + length[i]] to out[at[i]:]: long segments one by one, all short ones at once by index arrays."""
+    for i in np.flatnonzero(length > LONG):
+        out[at[i]: at[i] + length[i]] = data[start[i]: start[i] + length[i]]
+    short = length <= LONG
+    at, start, length = at[short], start[short], length[short]
     total = int(length.sum())
     if total:
         run = np.arange(total) - np.repeat(np.cumsum(length) - length, length)
