@@ -165,6 +165,7 @@ def _base32(data: bytes) -> str:
 def converted(spark: SparkSession, path: str, key: str, with_block: bool = True) -> DataFrame:
     """The ARC records of ``path`` with what WARC needs: identifier, type, ISO date, digests; ``key`` is an HTTP header (a long)."""
     schema = T.StructType(_CONVERTED.fields if with_block else _CONVERTED.fields[:-1])
+    root = path.split("://")[-1].rstrip("/") + "/"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = pa.schema([pa.field(f.name, {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[f.dataType.simpleString()]) for f in schema])
@@ -172,7 +173,7 @@ def converted(spark: SparkSession, path: str, key: str, with_block: bool = True)
         def rows() -> Iterator[tuple]:
             for b in batches:
                 for name, content in zip(b.column(0), b.column(1), strict=True):
-                    archive = name.as_py().rpartition("/")[2]
+                    archive = name.as_py().partition(root)[2] or name.as_py()       # equal names in two folders are two archives
                     for r in parse_arc(_opened(memoryview(content.as_buffer()).tobytes())):
                         block, d = r["block"], r["date"]
                         http = block.startswith(b"HTTP/")
