@@ -229,9 +229,9 @@ def sets_of(docs: DataFrame, words: int, text: str = "text") -> DataFrame:
 
 
 def tiles(sets: DataFrame, least: int) -> DataFrame:
-    """(band, member, away, node, n, place, s0..) for each tile that a set of ``sets`` (one row a node) lies in.
+    """(band, member, away, node, n, place) for each tile that a set of ``sets`` (one row a node) lies in.
 
-    ``away`` is 1 in the band below the set's own; two sets that are both away meet in their own band.
+    ``away`` is 1 in the band below the set's own; two sets that are both away meet in their own band. Tiles of one set, or of none at home, are left out.
     """
     each = sets.select("node", "n", F.explode("members").alias("member"))
     shared = each.groupBy("member").agg(F.count("*").alias("sets")).filter("sets > 1")
@@ -241,16 +241,28 @@ def tiles(sets: DataFrame, least: int) -> DataFrame:
     placed = common.select("node", "n", own.alias("own"), F.posexplode(first).alias("at", "rare"))
     here = placed.select(F.posexplode(F.array(band(n, least), band(n, least) - 1)).alias("away", "band"), F.col("rare.member").alias("member"),
                          "node", "n", (F.col("own") + F.col("at")).alias("place"))
-    return here.join(sets.drop("members", "n"), "node")
+    here = stage(here, "setjoin-places")
+    met = here.groupBy("band", "member").agg(F.count("*").alias("k"), F.min("away").alias("least")).filter("k > 1 AND least = 0")
+    return here.join(met.select("band", "member", "k"), ["band", "member"])
 
 
-def _may_link(least: int) -> Column:
-    """Whether sets x_ and y_ of one tile can link, by their sizes, their places in it and their signatures."""
+def signatures(sets: DataFrame) -> DataFrame:
+    """(node, s0..): narrow rows, joined only where two sets may still link."""
+    return sets.select("node", *(f"s{k}" for k in range(_WORDS)))
+
+
+def _fits(least: int) -> Column:
+    """Whether sets x_ and y_ of one tile can link, by their sizes and their places in it."""
     n, m = F.col("x_n"), F.col("y_n")
-    must = overlap(n, m, least)
+    return ((F.col("x_away") + F.col("y_away") < 2) & (F.least(n, m) * 100 >= F.greatest(n, m) * least)
+            & (F.least(n - F.col("x_place"), m - F.col("y_place")) >= overlap(n, m, least)))
+
+
+def _near(least: int) -> Column:
+    """Whether sets x_ and y_ can link, by their signatures."""
     differ = sum((F.bit_count(F.col(f"x_s{k}").bitwiseXOR(F.col(f"y_s{k}"))) for k in range(_WORDS)), F.lit(0))
-    return ((F.col("x_away") + F.col("y_away") < 2) & (F.least(n, m) * 100 >= F.greatest(n, m) * least) & (F.least(n - F.col("x_place"), m - F.col("y_place")) >= must)
-            & (differ <= n + m - 2 * must))
+    n, m = F.col("x_n"), F.col("y_n")
+    return differ <= n + m - 2 * overlap(n, m, least)
 
 
 def _side(rows: DataFrame, name: str) -> DataFrame:
@@ -281,24 +293,22 @@ def linked(pairs: DataFrame, sets: DataFrame, least: int) -> DataFrame:
     return joined.mapInArrow(run, pairs.schema)
 
 
-def _against_centres(own: DataFrame, least: int) -> DataFrame:
+def _against_centres(own: DataFrame, marks: DataFrame, least: int) -> DataFrame:
     """(a, b): for each set the smallest and the greatest node among the centres that it may link with.
 
     Centres are the smallest node of each tile and of random shares of about `CREW` sets of each tile, so the pairs grow as the tiles' rows do. A
     set meets much the same centres in all its tiles, as the shares go by the node.
     """
-    sizes = own.groupBy("band", "member").agg(F.count("*").alias("k")).filter("k > 1")
-    crews = own.join(sizes, ["band", "member"]).withColumn("crew", F.pmod(F.xxhash64("node"), F.ceil(F.col("k") / CREW)))
-    both = crews.drop("k").withColumn("crew", F.explode(F.array(F.lit(-1).cast("long"), F.col("crew"))))        # -1: the whole tile
-    home = both.groupBy("band", "member", "crew").agg(F.min(F.struct("away", "node")).alias("centre")).filter("centre.away = 0")
-    centres = both.join(home.select("band", "member", "crew", F.col("centre.node").alias("node")), ["band", "member", "crew", "node"])
     keys = ["band", "member", "crew"]
-
-    def side(rows: DataFrame, name: str) -> DataFrame:
-        return rows.select(*keys, *(F.col(c).alias(f"{name}_{c}") for c in rows.columns if c not in keys))
-
-    near = side(both, "x").join(side(centres, "y"), keys).filter((F.col("x_node") != F.col("y_node")) & _may_link(least))
-    chosen = near.groupBy("x_node").agg(F.min("y_node").alias("low"), F.max("y_node").alias("high"))
+    crew = F.pmod(F.xxhash64("node"), F.ceil(F.col("k") / CREW))
+    both = own.withColumn("crew", F.explode(F.array(F.lit(-1).cast("long"), crew))).drop("k")        # -1: the whole tile
+    home = both.groupBy(*keys).agg(F.min(F.struct("away", "node", "n", "place")).alias("y")).filter("y.away = 0")
+    home = home.select(*keys, *(F.col(f"y.{c}").alias(f"y_{c}") for c in ("away", "node", "n", "place")))
+    x = both.select(*keys, *(F.col(c).alias(f"x_{c}") for c in ("away", "node", "n", "place")))
+    near = x.join(home, keys).filter((F.col("x_node") != F.col("y_node")) & _fits(least)).select("x_node", "y_node", "x_n", "y_n").distinct()
+    for side in ("x", "y"):
+        near = near.join(marks.select(*(F.col(c).alias(f"{side}_{c}") for c in marks.columns)), f"{side}_node")
+    chosen = near.filter(_near(least)).groupBy("x_node").agg(F.min("y_node").alias("low"), F.max("y_node").alias("high"))
     pairs = chosen.select("x_node", F.explode(F.array("low", "high")).alias("y_node"))
     return pairs.select(F.greatest("x_node", "y_node").alias("a"), F.least("x_node", "y_node").alias("b")).distinct()
 
@@ -313,17 +323,18 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
 def _linked_groups(sets: DataFrame, least: int) -> DataFrame:
     """(node, comp) for the nodes of ``sets`` that lie in tiles; those that link have one comp."""
     own = stage(tiles(sets, least), "setjoin-tiles")
+    marks = signatures(sets)
     alone = own.select("node").distinct().withColumn("comp", F.col("node"))
-    first = linked(_against_centres(own, least), sets, least)
+    first = linked(_against_centres(own, marks, least), sets, least)
     named = _merged(alone, first.withColumnsRenamed({"a": "c", "b": "d"}))
 
-    held = own.join(named, "node")
+    held = own.drop("k").join(named, "node")
     counts = held.groupBy("band", "member", "comp").agg(F.count("*").alias("k"))
     most = counts.groupBy("band", "member").agg(F.max_by("comp", F.struct("k", "comp")).alias("most"), F.count("*").alias("comps"))
-    open_ = stage(held.join(most.filter("comps > 1").drop("comps"), ["band", "member"]), "setjoin-open")
+    open_ = stage(held.join(most.filter("comps > 1").drop("comps"), ["band", "member"]).join(marks, "node"), "setjoin-open")
     # Each pair of components once: members outside the largest one against all; among themselves by order.
     x, y = _side(open_.filter("comp <> most").drop("most"), "x"), _side(open_, "y")
-    test = (F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("y_most")) | (F.col("x_node") < F.col("y_node"))) & _may_link(least)
+    test = (F.col("x_comp") != F.col("y_comp")) & ((F.col("y_comp") == F.col("y_most")) | (F.col("x_node") < F.col("y_node"))) & _fits(least) & _near(least)
     met = (x.join(y, ["band", "member"]).filter(test)
            .select(F.col("x_node").alias("a"), F.col("y_node").alias("b"), F.least("x_comp", "y_comp").alias("c"), F.greatest("x_comp", "y_comp").alias("d")))
     met = stage(met.distinct(), "setjoin-met")
