@@ -38,7 +38,7 @@ def test_listing_of_thousands_of_folders_and_one_large_one(spark, tmp_path):
     assert {r.path for r in objects.list_tree(spark, str(tmp_path), "*.{json,txt}").collect()} == {root + "/top.json"}
     assert {r.path for r in media.list_objects(spark, str(tmp_path), "7?.mp4").collect()} == {f"{root}/all/7{k}.mp4" for k in range(10)}
     spark_names = {r.path for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(str(tmp_path)).select("path").collect()}
-    assert {p for p, _ in got} == {unquote(unquote(p)) for p in spark_names}
+    assert {p for p, n in got if n} == {unquote(unquote(p)) for p in spark_names}         # a scan makes no split of an empty object
 
 
 def test_listing_of_nothing_and_removal(spark, tmp_path):
