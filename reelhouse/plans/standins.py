@@ -25,6 +25,8 @@ from ..functions.lookups import SEARCH_TERM
 from ..session import path_exists, work_dir
 from ..sources import raw
 
+#: Documents in one raw file: compressed files are not split, so this bounds what a task reads of one.
+RAW_DOCUMENTS = 250_000
 CHANNEL_URL_PREFIX = "https://video.example.com/channel/C"
 RUN_TS = 1704067200.0  # 2024-01-01T00:00:00Z, pinned so results are comparable
 
@@ -156,7 +158,7 @@ _LANDED: list[tuple[str, DataFrame, str]] = []   # (application, payload plan, f
 
 
 def land_documents(payloads: DataFrame, name: str) -> str:
-    """Write JSON document lines as raw NDJSON files (the at-rest form J1 reads).
+    """Write JSON document lines as raw NDJSON files, gzipped (the at-rest form J1 reads).
 
     Within one application the same payload plan (``sameSemantics``) is
     written once and its folder reused, so queries sharing a stand-in input
@@ -168,7 +170,7 @@ def land_documents(payloads: DataFrame, name: str) -> str:
         if app_id == app and plan.sameSemantics(payloads) and path_exists(spark, path):
             return path
     path = work_dir(spark, f"raw-{name}")
-    payloads.write.mode("overwrite").text(path)
+    payloads.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", RAW_DOCUMENTS).text(path)
     _LANDED.append((app, payloads, path))
     return path
 
