@@ -4,7 +4,8 @@
 through ``pyarrow.fs`` and their entries are written under the checkpoint folder, where the next level's folders are read.
 The driver sees the number of folders of a level and nothing else, so neither millions of names nor
 thousands of folders weigh on it. Folders of one level are dealt over tasks by a hash of their name.
-One folder is one listing call, as storage lists a folder in order; its names stream on in batches.
+One folder is one listing call, as storage lists a folder in order; its names stream on in batches, those of small folders together.
+A level has at most `TASKS_PER_CORE` tasks a core, so a deal of a level among tasks stays small however many folders it has.
 A folder that disappears while the walk runs counts as empty. A lost executor costs the listing of its folders.
 
 Names that begin with ``_`` or ``.`` are left out with all below them, as in Spark's own file sources.
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from ..session import qualified, work_dir
 
 #: Folders that one task lists, and names in one batch.
-FOLDERS_PER_TASK, NAMES = 64, 10_000
+FOLDERS_PER_TASK, NAMES, TASKS_PER_CORE = 64, 10_000, 8
 ENTRY = "parent string, name string, is_folder boolean, length bigint, modificationTime timestamp"
 LISTING = "path string, length bigint, modificationTime timestamp"
 
@@ -79,21 +80,26 @@ def _entries(root: str):
         store, base = open_(root)
         base = base.rstrip("/")
 
-        def batch(parent: str, found: list):
+        def batch(found: list):
             return pa.RecordBatch.from_arrays(
-                [pa.array([parent] * len(found), pa.string()), pa.array([f.base_name for f in found], pa.string()),
-                 pa.array([f.type == fs.FileType.Directory for f in found], pa.bool_()),
-                 pa.array([None if f.type == fs.FileType.Directory else f.size for f in found], pa.int64()),
-                 pa.array([f.mtime_ns and f.mtime_ns // 1000 for f in found], pa.timestamp("us", tz="UTC"))],
+                [pa.array([p for p, _ in found], pa.string()), pa.array([f.base_name for _, f in found], pa.string()),
+                 pa.array([f.type == fs.FileType.Directory for _, f in found], pa.bool_()),
+                 pa.array([None if f.type == fs.FileType.Directory else f.size for _, f in found], pa.int64()),
+                 pa.array([f.mtime_ns and f.mtime_ns // 1000 for _, f in found], pa.timestamp("us", tz="UTC"))],
                 ["parent", "name", "is_folder", "length", "modificationTime"])
 
+        held = []
         for b in batches:
             for parent in b.column(0).to_pylist():
                 at = f"{base}/{parent}" if parent else base
                 found = store.get_file_info(fs.FileSelector(at, recursive=False, allow_not_found=True))
-                found = [f for f in found if f.type in (fs.FileType.File, fs.FileType.Directory) and f.base_name[:1] not in ("_", ".")]
-                for i in range(0, len(found), most):
-                    yield batch(parent, found[i:i + most])
+                held += [(parent, f) for f in found if f.type in (fs.FileType.File, fs.FileType.Directory) and f.base_name[:1] not in ("_", ".")]
+                if len(held) >= most:
+                    for i in range(0, len(held), most):
+                        yield batch(held[i:i + most])
+                    held = []
+        if held:
+            yield batch(held)
 
     return run
 
@@ -107,8 +113,9 @@ def list_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFr
     """(path, length, modificationTime) of every object below ``root`` whose name fits ``glob``; bytes are not read."""
     top = qualified(spark, root)
     levels, folders, n = [], spark.createDataFrame([("",)], "parent string"), 1
+    tasks = TASKS_PER_CORE * spark.sparkContext.defaultParallelism
     while n:
-        dealt = folders.repartition(max(1, -(-n // FOLDERS_PER_TASK)), "parent") if n > 1 else folders.coalesce(1)
+        dealt = folders.repartition(min(tasks, -(-n // FOLDERS_PER_TASK)), "parent") if n > 1 else folders.coalesce(1)
         path = work_dir(spark, "listing")
         list_folders(dealt, top).write.parquet(path)
         level = spark.read.schema(ENTRY).parquet(path)
@@ -124,6 +131,30 @@ def list_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFr
     return found.select(F.concat_ws("/", F.lit(top), F.when(F.col("parent") != "", F.col("parent")), "name").alias("path"), "length", "modificationTime")
 
 
+def put_objects(objects: DataFrame, root: str) -> int:
+    """Write each row's text (second column) as the object that the first column names below ``root``, in tasks; returns their number.
+
+    A retried task writes the same bytes to the same names.
+    """
+    open_, spark = opener(), objects.sparkSession
+    base = qualified(spark, root)
+
+    def run(batches) -> Iterator:
+        import pyarrow as pa
+
+        store, top = open_(base)
+        for b in batches:
+            for name, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                at = f"{top}/{name}"
+                store.create_dir(at.rsplit("/", 1)[0], recursive=True)
+                with store.open_output_stream(at) as out:
+                    out.write(text.encode())
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], ["n"])
+
+    dealt = objects.repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism)
+    return dealt.mapInArrow(run, "n bigint").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
 def remove_objects(paths: DataFrame) -> int:
     """Delete the objects named in the first column, in tasks; returns how many were there. A retried task finds them gone."""
     open_ = opener()
