@@ -1,7 +1,8 @@
 """Compaction of an append-only Parquet table, with clustering (SNK-2, SET-1).
 
 Each load leaves files of its own, so after many loads a table is many small files, and a lookup reads them all.
-``compact`` rewrites the small files of a table (those below half the target) as files of about the target size and leaves the others alone. The rewritten rows
+``compact`` rewrites the small files of a table (those below half the target) as files of about the target size and leaves the others alone. A task
+sorts the rows of one file, so a file whose rows compress well also ends at `SORTED_BYTES` of rows in memory, and one that holds half of that is not small. The rewritten rows
 are ordered by a space-filling curve over the clustering columns: each column's values are numbered by quantile (`STEPS` of
 them) and the numbers' bits are interleaved, so a file covers a narrow range of every column, its Parquet statistics are narrow too, and a lookup
 by any of the columns skips most files.
@@ -17,11 +18,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import qualified
+from ..session import qualified, work_dir
 from ..sources.objects import list_folders
 from . import manifest
 
 TARGET_BYTES = 256 << 20
+#: Bytes of the rows of one file while they are sorted.
+SORTED_BYTES = 512 << 20
 #: Quantile steps of a clustering column: a power of two.
 STEPS = 64
 #: Bytes of a text that place it; texts are in byte order up to there.
@@ -62,20 +65,42 @@ def files(spark: SparkSession, root: str, table: str) -> DataFrame:
     return lies.join(manifest.current(spark, root, table), "file", "left_semi")
 
 
+def _width(df: DataFrame) -> Column:
+    """Bytes of a row in a sort: a word for the nulls, three for its place, one for each value, and what texts and nested values hold (these as JSON)."""
+    width = F.lit(8 * (4 + len(df.columns))).cast("long")
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            width = width + F.coalesce(F.octet_length(c), F.lit(0)) + 7
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0))
+    return width
+
+
 def compact(spark: SparkSession, root: str, table: str, cluster_by: list[str], target_bytes: int = TARGET_BYTES) -> int:
     """Rewrite the table's files below half of ``target_bytes``; returns how many were replaced (0: nothing to do)."""
     base = f"{qualified(spark, root)}/{table}"
     change = manifest.Change(spark, root, [table])
     small = files(spark, root, table).where(F.col("length") < target_bytes // 2)
-    count, size = small.agg(F.count(F.lit(1)), F.sum("length")).first()
-    if count < 2:
+    names = [f"{base}/{r.file}" for r in small.select("file").collect()]            # Spark's own file index holds as many
+    if len(names) < 2:
         change.abandon()
         return 0
-    names = [f"{base}/{r.file}" for r in small.select("file").collect()]            # Spark's own file index holds as many
+    # Files of many rows are full, however few bytes they take.
     rows = spark.read.parquet(*names)
+    path = work_dir(spark, "compaction-files")
+    (rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.sum(_width(rows)).alias("width"))
+     .join(small, "file", "right").select("file", "length", F.coalesce("width", F.lit(0)).cast("bigint").alias("width")).write.parquet(path))
+    small = spark.read.schema("file string, length bigint, width bigint").parquet(path).where(F.col("width") < SORTED_BYTES // 2)
+    count, size, width = small.agg(F.count(F.lit(1)), F.sum("length"), F.sum("width")).first()
+    if count < 2:
+        change.abandon()
+        return 0
+    rows = spark.read.parquet(*[f"{base}/{r.file}" for r in small.select("file").collect()])
     change.drop(table, small.select("file"))
+    parts = max(1, -(-size // target_bytes), -(-width // SORTED_BYTES))
     placed = rows.withColumn("_place", curve(rows, cluster_by))
-    ordered = placed.repartitionByRange(max(1, -(-size // target_bytes)), "_place", *cluster_by).sortWithinPartitions("_place", *cluster_by)
+    ordered = placed.repartitionByRange(parts, "_place", *cluster_by).sortWithinPartitions("_place", *cluster_by)
     ordered.drop("_place").write.mode("append").parquet(base)
     change.commit()
     return count
