@@ -39,6 +39,8 @@ from .skew import hot_keys, salted_join
 _HEADER = "initial_data.header.c4TabbedHeaderRenderer"
 _META = "initial_data.metadata.channelMetadataRenderer"
 _TABS = "initial_data.contents.twoColumnBrowseResultsRenderer.tabs"
+#: Fields of a video document that no entity holds.
+_NOT_PROJECTED = ("search_term", "page", "age_restricted", "streams")
 
 
 def grid_contents(tabs: Column) -> Column:
@@ -73,8 +75,8 @@ def latest_channels(channels: DataFrame) -> DataFrame:
     return one_of_each(channels.select("channel_url", doc.alias("doc")), "channel_url")
 
 
-def one_of_each(docs: DataFrame, key: str) -> DataFrame:
-    """One row for each ``key``: of several, the one with the largest content hash.
+def one_of_each(docs: DataFrame, key: str, unused: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each ``key``: of several, the one with the largest content hash. ``unused`` columns count for that and are then left out.
 
     The parsed documents are written once as a table, so the raw text is read once however often the result is used. Keys that
     occur more than once are found by narrow (key, hash) rows; they are a table of their own, whose size Spark knows. Without
@@ -83,7 +85,7 @@ def one_of_each(docs: DataFrame, key: str) -> DataFrame:
     spark = docs.sparkSession
     cols = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     path = work_dir(spark, "documents-parsed")
-    docs.withColumn("_hash", F.xxhash64(*cols)).write.parquet(path)
+    docs.withColumn("_hash", F.xxhash64(*cols)).drop(*unused).write.parquet(path)
     hashed = spark.read.parquet(path)
     path = work_dir(spark, "documents-twice")
     (hashed.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), F.max("_hash").alias("_hash")).where("_n > 1").select(key, "_hash").write.parquet(path))
@@ -138,11 +140,11 @@ def join_documents(videos: DataFrame, channels: DataFrame, hot_share: float | No
     over ``hot_buckets`` tasks (deterministic salt on the video id); without
     it the join is left to size-checked broadcast / AQE skew handling.
     ``distinct_videos`` keeps one document per video (a video listed twice
-    lands once).
+    lands once); fields of documents that no entity holds are then left out.
     """
     v = videos.withColumn("video_id", strict_video_id(F.col("vid_info.videoDetails.videoId")))
     if distinct_videos:
-        v = one_of_each(v, "video_id")
+        v = one_of_each(v, "video_id", _NOT_PROJECTED)
     latest = latest_channels(channels)
     facts = channel_facts(latest)
     desc = lookup_descriptions(grid_items(latest)).withColumnRenamed("item_video_id", "video_id")

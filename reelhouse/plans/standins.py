@@ -170,7 +170,8 @@ def land_documents(payloads: DataFrame, name: str) -> str:
         if app_id == app and plan.sameSemantics(payloads) and path_exists(spark, path):
             return path
     path = work_dir(spark, f"raw-{name}")
-    payloads.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", RAW_DOCUMENTS).text(path)
+    payloads.write.mode("overwrite").option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED") \
+        .option("maxRecordsPerFile", RAW_DOCUMENTS).text(path)
     _LANDED.append((app, payloads, path))
     return path
 

@@ -94,6 +94,10 @@ def _merge_day(df: DataFrame, base: str, entity: str, day: str) -> tuple[DataFra
     checked = line_checks(lines, wire).select("value", "file_name", "is_bad", F.try_variant_get("v", f"$.{RECORD}", "string").alias(RECORD))
     again = df.select(RECORD).distinct().withColumn("again", F.lit(True))
     marked = checked.join(again, RECORD, "left")
+    # Checked and joined once: the lines that may be kept, and a mark for each other line.
+    path = work_dir(spark, "landing-marked")
+    marked.select("file_name", "is_bad", "again", F.when(F.col("again").isNull(), F.col("value")).alias("value")).write.parquet(path)
+    marked = spark.read.schema("file_name string, is_bad boolean, again boolean, value string").parquet(path)
     files = marked.groupBy("file_name").agg(F.bool_or("is_bad").alias("bad"), F.count("again").alias("hits")).where("NOT bad AND hits > 0")
     # Decided once, before anything is written.
     path = work_dir(spark, "landing-replaced")

@@ -20,6 +20,7 @@ is one aggregate row per file; the load leaves out the failed files.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -71,12 +72,36 @@ def line_checks(lines: DataFrame, schema: T.StructType, extra_fields: tuple[str,
     """
     expected = F.array(*[F.lit(f.name) for f in schema.fields], *[F.lit(x) for x in extra_fields])
     parsed = lines.withColumn("v", F.try_parse_json(F.col("value")))
+    names, v, plain = parsed.columns, F.col("v"), _plain_line(F.col("value"), schema, extra_fields)
+    if plain is not None:
+        # Only the other lines are parsed for the checks; who needs no values then parses nothing of a plain line.
+        parsed = parsed.withColumn("_plain", F.coalesce(plain, F.lit(False))).withColumn("_v", F.when(~F.col("_plain"), F.try_parse_json("value")))
+        v = F.col("_v")
     # Keys from the parsed value (no second parse of the text); null unless an object.
-    keys = F.map_keys(F.try_variant_get(F.col("v"), "$", "map<string,variant>"))
-    bad = F.col("v").isNull() | keys.isNull() | (F.size(F.array_except(keys, expected)) > 0)
+    keys = F.map_keys(F.try_variant_get(v, "$", "map<string,variant>"))
+    bad = v.isNull() | keys.isNull() | (F.size(F.array_except(keys, expected)) > 0)
     for f in schema.fields:
-        bad = bad | _field_bad(F.col("v"), f)
-    return parsed.withColumn("is_bad", F.coalesce(bad, F.lit(True))).withColumn("reason", F.when(F.col("is_bad"), _reason(F.col("v"), keys, expected, schema)))
+        bad = bad | _field_bad(v, f)
+    bad = F.coalesce(bad, F.lit(True))
+    parsed = parsed.withColumn("is_bad", bad if plain is None else F.when(F.col("_plain"), F.lit(False)).otherwise(bad))
+    return parsed.withColumn("reason", F.when(F.col("is_bad"), _reason(v, keys, expected, schema))).select(*names, "is_bad", "reason")
+
+
+def _plain_line(text: Column, schema: T.StructType, extra_fields: tuple[str, ...]) -> Column | None:
+    """True for lines whose text alone shows that they are good; a good line need not be plain. None if the schema has other types.
+
+    Plain lines are JSON objects as the landing writes them: the known keys in order, each at most once, without blanks between, with
+    scalars of the declared type. Their strings are ASCII and hold no quote; what a backslash may start is checked by itself.
+    """
+    number = "-?(?:0|[1-9][0-9]{0,17})"
+    string = r'"[ !#-~]*+(?<!\\)"'
+    kinds = {T.StringType: string, T.LongType: number, T.DoubleType: number + r"(?:\.[0-9]{1,18})?(?:E-?[0-9]{1,2})?", T.BooleanType: "true|false"}
+    fields = [(x, T.StringType) for x in extra_fields if x not in schema.names] + [(f.name, type(f.dataType)) for f in schema.fields]
+    if not all(kind in kinds and re.fullmatch("[A-Za-z_][A-Za-z0-9_]*", name) for name, kind in fields):
+        return None
+    line = "".join(f'(?:"{name}":(?:null|{kinds[kind]})(?:,(?=")|(?=\\}})))?' for name, kind in fields)
+    escapes = r'\\(?![\\/bfnrt]|u(?![dD][89a-fA-F])[0-9a-fA-F]{4})'     # an unpaired surrogate is left to the parser
+    return (F.octet_length(text) < 1_000_000) & text.rlike(r"^\{" + line + r"\}\z") & (~text.contains("\\") | ~text.rlike(escapes))
 
 
 def _reason(v: Column, keys: Column, expected: Column, schema: T.StructType) -> Column:
@@ -113,8 +138,10 @@ def load_report(checked: DataFrame, *extra: str) -> DataFrame:
 
     ``reason`` (key, expected and found type) is one refusal's, the least one; of any number of bad lines a file's row holds one.
     """
-    return (checked.groupBy("file_path", "file_name", *extra)
-            .agg(F.count(F.lit(1)).alias("n_rows"), F.count_if("is_bad").cast("bigint").alias("n_bad"), F.min("reason").alias("reason"))
+    # Counted by reason first: the least of structs would sort every line, few rows are left for it here.
+    counted = checked.groupBy("file_path", "file_name", *extra, "is_bad", "reason").agg(F.count(F.lit(1)).alias("n"))
+    return (counted.groupBy("file_path", "file_name", *extra)
+            .agg(F.sum("n").alias("n_rows"), F.sum(F.when(F.col("is_bad"), F.col("n")).otherwise(0)).alias("n_bad"), F.min("reason").alias("reason"))
             .withColumn("status", F.when(F.col("n_bad") == 0, "loaded").otherwise("failed")))
 
 

@@ -67,4 +67,4 @@ def read_lines(spark: SparkSession, entity_path: str, day: str | None = None) ->
                   F.col("_metadata.file_name").alias("file_name")))
     if day is None:
         df = _counted(df, entity_path, F.regexp_extract("file_path", f"{DAY_COL}=([^/]*)/", 1))
-    return df.where(F.length(F.trim("value")) > 0)
+    return df.where(F.trim("value") != "")
