@@ -705,7 +705,7 @@ def test_query_matches_sql(spark, name):
     import duckdb
     from tools.check_oracle import rows_of
     con = duckdb.connect()
-    for t in ("documents", "pages", "conversations"):
+    for t in ("documents", "pages", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = queries.QUERIES[name](spark, SF)
     res = con.execute(queries.ORACLE[name])
